@@ -1,0 +1,8 @@
+"""Streaming.
+
+The original application is batch only (no stream source, watermark, window or
+state), so there is no streaming operator here. The row-wise operators
+(``open_records``, the cleaning functions, ``encode`` on its broadcast path)
+are plain projections/filters/broadcast joins and also accept a streaming
+DataFrame; the entity-level aggregations are batch operations.
+"""
