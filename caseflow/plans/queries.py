@@ -20,6 +20,9 @@ from ..operators.vocab import build_vocabulary, encode
 from ..sources.io import read_event_log, write_table
 from ..session import scratch_path
 from .fixtures import TICKETS, TICKETS_SQL, table, tickets
+from ..ml.evaluate import ATTEMPTS, attempts_histogram, attempts_needed, prediction_attempts
+from ..ml.features import INDEXED_LABEL, index_categories, key_bucket, split_by_key
+from ..ml.models import evaluate_labels, evaluate_model, train_model, score, KINDS
 from .flow import prepare_model_table
 
 S = TICKETS
@@ -120,6 +123,77 @@ def q_full_flow(spark: SparkSession, sf: str) -> DataFrame:
     return prepare_model_table(tickets(spark, sf), S).table
 
 
+# ------------------------------------------------------------ ML queries
+
+def _embedding_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", "label", attempts_needed(F.col("embedding"), F.col("label")).alias(ATTEMPTS))
+
+
+def q_attempts_needed(spark: SparkSession, sf: str) -> DataFrame:
+    return _embedding_attempts(spark, sf)
+
+
+def q_attempts_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    a = _embedding_attempts(spark, sf)
+    return a.groupBy(ATTEMPTS).agg(F.count(F.lit(1)).alias("count")).orderBy(ATTEMPTS)
+
+
+def q_split_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", (key_bucket("o_orderkey") < 7).alias("in_train"))
+
+
+STRING_INDEX_COLS = ("ostatus", "priority", "sparse", "status", "grp")
+
+
+def q_string_index(spark: SparkSession, sf: str) -> DataFrame:
+    merged = consolidate(tickets(spark, sf), S.id_col, CONSOLIDATE_INPUTS, S.labels, S.order_by)
+    model = index_categories(STRING_INDEX_COLS).fit(merged)
+    out = model.transform(merged)
+    return out.select("id", *[c for c in out.columns if c.startswith("indexed")])
+
+
+def _nb_orders(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", "o_orderstatus",
+                    (F.col("o_custkey") % 7).cast("string").alias("cust7"),
+                    F.col("o_orderpriority").alias("label"))
+
+
+def q_naive_bayes_score(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = split_by_key(_nb_orders(spark, sf), "o_orderkey")
+    model = train_model(train, "naive_bayes", [], ["o_orderstatus", "cust7"])
+    pred = score(model, test)
+    return pred.select("o_orderkey", INDEXED_LABEL, "prediction",
+                       prediction_attempts(pred).alias(ATTEMPTS))
+
+
+def q_naive_bayes_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    frame = _nb_orders(spark, sf)
+    ev = evaluate_model(frame, "label", ["label"], "naive_bayes", "o_orderkey")
+    return ev.metrics.withColumn("accuracy", F.round("accuracy", 6))
+
+
+def _model_table(spark: SparkSession, sf: str) -> DataFrame:
+    return prepare_model_table(tickets(spark, sf), S).table
+
+
+def _attempts_query(kind: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ev = evaluate_model(_model_table(spark, sf), S.labels[0], S.labels, kind, S.id_col,
+                            numeric=S.numeric, drop=S.not_relevant)
+        return ev.histogram
+    run.__name__ = f"q_{kind}_attempts"
+    return run
+
+
+def q_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    metrics, _ = evaluate_labels(_model_table(spark, sf), S.labels, KINDS, S.id_col,
+                                 numeric=S.numeric, drop=S.not_relevant)
+    return metrics
+
+
 QUERIES = {
     "open_records": q_open_records,
     "distinct_entities": q_distinct_entities,
@@ -137,6 +211,18 @@ QUERIES = {
     "group_count_histogram": q_group_count_histogram,
     "csv_roundtrip": q_csv_roundtrip,
     "full_flow": q_full_flow,
+    "attempts_needed": q_attempts_needed,
+    "attempts_histogram": q_attempts_histogram,
+    "split_by_key": q_split_by_key,
+    "string_index": q_string_index,
+    "naive_bayes_score": q_naive_bayes_score,
+    "naive_bayes_metrics": q_naive_bayes_metrics,
+    "logreg_attempts": _attempts_query("logistic_regression"),
+    "tree_attempts": _attempts_query("decision_tree"),
+    "forest_attempts": _attempts_query("random_forest"),
+    "naive_bayes_attempts": _attempts_query("naive_bayes"),
+    "mlp_attempts": _attempts_query("multilayer_perceptron"),
+    "model_metrics": q_model_metrics,
 }
 
 
@@ -270,6 +356,66 @@ SELECT c.id,
 FROM c LEFT JOIN vocab a ON c.ostatus = a.value LEFT JOIN vocab b ON c.status = b.value
        LEFT JOIN vocab g ON c.grp = g.value"""
 
+ATTEMPTS_SQL = ("SELECT vec_id, label, CAST(1 + len(list_filter(embedding, lambda x: x > embedding[label + 1]))"
+                " AS INTEGER) AS Groups_assigned FROM embeddings")
+_KEY_BUCKET = "CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8) AS BIGINT) % 10"
+
+
+def _rank_sql(c: str, src: str) -> str:
+    return (f"ix_{c} AS (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE)"
+            f" AS idx FROM {src} WHERE {c} IS NOT NULL GROUP BY {c})")
+
+
+STRING_INDEX_SQL = (CONSOLIDATE_SQL.replace("\nSELECT f.id,", ",\nc AS (SELECT f.id,", 1)
+                    + "),\n" + ",\n".join(_rank_sql(c, "c") for c in STRING_INDEX_COLS)
+                    + "\nSELECT c.id, " + ", ".join(f"ix_{c}.idx AS indexed{c[:1].upper()}{c[1:]}"
+                                                    for c in STRING_INDEX_COLS)
+                    + " FROM c " + " ".join(f"JOIN ix_{c} ON c.{c} = ix_{c}.v" for c in STRING_INDEX_COLS))
+
+# Multinomial naive Bayes on one-hot inputs in closed form (smoothing 1):
+#   pi_y = ln(n_y + 1) - ln(N + C);  theta_yj = ln(n_yj + 1) - ln(sum_j n_yj + F)
+# with F the one-hot width (last category dropped). Prediction = best score,
+# ties to the lower class; attempts = 1 + classes scoring strictly higher.
+NAIVE_BAYES_SQL = f"""WITH o AS (
+  SELECT o_orderkey, o_orderstatus AS s, CAST(o_custkey % 7 AS VARCHAR) AS c, o_orderpriority AS y,
+         {_KEY_BUCKET.format(k="o_orderkey")} < 7 AS in_train FROM orders),
+tr AS (SELECT * FROM o WHERE in_train), te AS (SELECT * FROM o WHERE NOT in_train),
+six AS (SELECT s AS v, row_number() OVER (ORDER BY count(*) DESC, s) - 1 AS idx FROM tr GROUP BY s),
+cix AS (SELECT c AS v, row_number() OVER (ORDER BY count(*) DESC, c) - 1 AS idx FROM tr GROUP BY c),
+yix AS (SELECT y AS v, row_number() OVER (ORDER BY count(*) DESC, y) - 1 AS idx FROM tr GROUP BY y),
+dims AS (SELECT (SELECT count(*) FROM six) AS ns, (SELECT count(*) FROM cix) AS nc,
+                (SELECT count(*) FROM yix) AS ny),
+feat AS (  -- one-hot position of each training row's features
+  SELECT yix.idx AS y, CASE WHEN six.idx < dims.ns - 1 THEN six.idx END AS fs,
+         CASE WHEN cix.idx < dims.nc - 1 THEN dims.ns - 1 + cix.idx END AS fc
+  FROM tr JOIN six ON tr.s = six.v JOIN cix ON tr.c = cix.v JOIN yix ON tr.y = yix.v, dims),
+ncls AS (SELECT y, count(*) AS n FROM feat GROUP BY y),
+pri AS (SELECT y, ln(n + 1) - ln((SELECT sum(n) FROM ncls) + (SELECT ny FROM dims)) AS pi FROM ncls),
+hits AS (SELECT y, f, count(*) AS n FROM (SELECT y, fs AS f FROM feat UNION ALL SELECT y, fc FROM feat)
+         WHERE f IS NOT NULL GROUP BY y, f),
+tot AS (SELECT ncls.y, coalesce(sum(hits.n), 0) AS t FROM ncls LEFT JOIN hits ON ncls.y = hits.y GROUP BY ncls.y),
+grid AS (SELECT tot.y, f.f, ln(coalesce(hits.n, 0) + 1) - ln(tot.t + (SELECT ns + nc - 2 FROM dims)) AS theta
+         FROM tot CROSS JOIN (SELECT range AS f FROM range((SELECT ns + nc - 2 FROM dims))) f
+         LEFT JOIN hits ON hits.y = tot.y AND hits.f = f.f),
+tx AS (SELECT te.o_orderkey, yix.idx AS ytrue,
+              CASE WHEN six.idx < dims.ns - 1 THEN six.idx END AS fs,
+              CASE WHEN cix.idx < dims.nc - 1 THEN dims.ns - 1 + cix.idx END AS fc
+       FROM te JOIN six ON te.s = six.v JOIN cix ON te.c = cix.v JOIN yix ON te.y = yix.v, dims),
+sc AS (SELECT tx.o_orderkey, tx.ytrue, pri.y,
+              (coalesce(gs.theta, 0) + coalesce(gc.theta, 0)) + pri.pi AS score
+       FROM tx CROSS JOIN pri
+       LEFT JOIN grid gs ON gs.y = pri.y AND gs.f = tx.fs
+       LEFT JOIN grid gc ON gc.y = pri.y AND gc.f = tx.fc),
+best AS (SELECT o_orderkey, y AS yhat FROM (
+           SELECT o_orderkey, y, row_number() OVER (PARTITION BY o_orderkey ORDER BY score DESC, y) AS r FROM sc)
+         WHERE r = 1),
+own AS (SELECT o_orderkey, score AS s0 FROM sc WHERE y = ytrue)
+SELECT sc.o_orderkey, CAST(any_value(sc.ytrue) AS DOUBLE) AS indexedLabel,
+       CAST(any_value(best.yhat) AS DOUBLE) AS prediction,
+       CAST(1 + count(*) FILTER (WHERE sc.score > own.s0) AS INTEGER) AS Groups_assigned
+FROM sc JOIN own USING (o_orderkey) JOIN best USING (o_orderkey)
+GROUP BY sc.o_orderkey"""
+
 ORACLES = {
     "open_records": f"{T}\nSELECT * FROM tickets WHERE status NOT IN ('F')",
     "distinct_entities": f"""{T}
@@ -291,4 +437,10 @@ FROM tickets""",
     "group_count_histogram": HISTOGRAM_SQL,
     "csv_roundtrip": f"{T}\nSELECT * FROM tickets",
     "full_flow": FULL_FLOW_SQL,
+    "attempts_needed": ATTEMPTS_SQL,
+    "attempts_histogram": (f"SELECT Groups_assigned, count(*) AS count FROM ({ATTEMPTS_SQL}) a "
+                           "GROUP BY Groups_assigned ORDER BY Groups_assigned"),
+    "split_by_key": f"SELECT o_orderkey, {_KEY_BUCKET.format(k='o_orderkey')} < 7 AS in_train FROM orders",
+    "string_index": STRING_INDEX_SQL,
+    "naive_bayes_score": NAIVE_BAYES_SQL,
 }
