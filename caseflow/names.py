@@ -20,3 +20,12 @@ def as_list(value) -> list[str]:
     if isinstance(value, str):
         return [value]
     return list(value)
+
+
+def literal(value) -> str:
+    """A Spark SQL literal for a string or number."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)

@@ -13,6 +13,15 @@ column. Constancy uses the flag ``count(c) = 0 OR (count(c) = n AND min(c) =
 max(c))`` per entity, which equals "one distinct (entity, value) pair" and
 needs no ``count(DISTINCT)`` (which would plan an ``Expand`` of k copies of
 every row).
+
+Fixed-width values (numbers, dates, timestamps, booleans) are compared by
+their own ``min``/``max``. Variable-width values (text, binary, wide
+decimals, nested) would force a sort-based, non-codegen aggregation over
+the whole log; by default they are compared through a 96-bit fingerprint
+(xxhash64 and murmur3 of the value), which keeps the aggregation hash-based
+with fixed-width buffers. Two different values of one entity would have to
+collide in both functions to be taken as equal (about 2**-96 per pair).
+``exact=True`` compares the values themselves instead.
 """
 
 from __future__ import annotations
@@ -21,8 +30,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType,
+                               FloatType, IntegerType, LongType, ShortType, TimestampNTZType,
+                               TimestampType)
 
-from ..names import as_list, col
+from ..names import as_list, col, literal, quote
 
 # Fixed values of the original application (defaults only).
 DEFAULT_CLOSED_STATUSES = ("Resolved  (4)", "Cancelled  (6)")
@@ -80,50 +92,85 @@ def entity_counts(df: DataFrame, id_col: str, status_col: str,
     )
 
 
-def _constant_flag(c: Column, n: Column) -> Column:
-    """Per entity: one distinct value among ``n`` rows (aggregate expression)."""
-    nn = F.count(c)
-    return (nn == 0) | ((nn == n) & F.coalesce(F.min(c) == F.max(c), F.lit(False)))
+_FIXED = (BooleanType, ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DateType,
+          TimestampType, TimestampNTZType)
+
+
+def _fixed_width(dtype: DataType) -> bool:
+    return isinstance(dtype, _FIXED) or (isinstance(dtype, DecimalType) and dtype.precision <= 18)
+
+
+# The per-column aggregates are written as SQL text: one expression per
+# aggregate instead of dozens of driver round trips per column.
+
+def _sql_missing(q: str, tokens: Sequence[str]) -> str:
+    tokens = as_list(tokens)
+    if not tokens:
+        return f"({q} IS NULL)"
+    return f"({q} IS NULL OR coalesce(CAST({q} AS STRING) IN ({', '.join(map(literal, tokens))}), false))"
+
+
+def _sql_constant_flag(q: str, dtype: DataType, where: str, exact: bool) -> str:
+    """Per entity, over rows where ``where`` holds: one distinct value of ``q``
+    (NULL included). Aggregate expression, result 0/1 as bigint."""
+    n = f"count(CASE WHEN {where} THEN 1 END)"
+    nn = f"count(CASE WHEN {where} THEN {q} END)"
+    if exact or _fixed_width(dtype):
+        comparands = [q]
+    else:
+        comparands = [f"xxhash64({q})", f"hash({q})"]
+    same = " AND ".join(
+        f"coalesce(min(CASE WHEN {where} AND {q} IS NOT NULL THEN {v} END) = "
+        f"max(CASE WHEN {where} AND {q} IS NOT NULL THEN {v} END), false)" for v in comparands)
+    return f"CAST(({nn} = 0) OR ({nn} = {n} AND {same}) AS BIGINT)"
+
+
+def _rows(cols: list[str], fields) -> str:
+    """``inline(array(named_struct(...), ...))`` turning one wide row into one row per column."""
+    structs = [f"named_struct({', '.join(f'{literal(k)}, {v}' for k, v in fields(i, c))})"
+               for i, c in enumerate(cols)]
+    return f"inline(array({', '.join(structs)}))"
 
 
 def constancy(df: DataFrame, id_col: str, status_col: str,
               closed: Sequence[str] = DEFAULT_CLOSED_STATUSES,
-              columns: Sequence[str] | None = None, skip: Sequence[str] = ()) -> DataFrame:
+              columns: Sequence[str] | None = None, skip: Sequence[str] = (),
+              exact: bool = False) -> DataFrame:
     """A5: ``(column_name, constancy)`` over open records.
 
     Zero open entities gives NULL (the original produced NaN and kept the
     column; here it is rejected by :func:`select_inputs`).
     """
     cols = as_list(columns) if columns is not None else profiled_columns(df, id_col, skip)
-    opened = open_records(df.select(col(id_col), col(status_col), *[col(c) for c in cols if c != status_col]),
-                          status_col, closed)
-    n = F.count(F.lit(1))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
+    opened = open_records(df.select(*[col(c) for c in needed]), status_col, closed)
     per_id = opened.groupBy(col(id_col)).agg(
-        *[_constant_flag(col(c), n).cast("long").alias(f"k{i}") for i, c in enumerate(cols)])
+        *[F.expr(_sql_constant_flag(quote(c), types[c], "true", exact)).alias(f"k{i}") for i, c in enumerate(cols)])
     totals = per_id.agg(F.count(F.lit(1)).alias("ids"),
                         *[F.sum(f"k{i}").alias(f"k{i}") for i in range(len(cols))])
-    rows = [F.struct(F.lit(c).alias("column_name"),
-                     F.try_divide(F.col(f"k{i}").cast("double"), F.col("ids").cast("double")).alias("constancy"))
-            for i, c in enumerate(cols)]
-    return totals.select(F.inline(F.array(*rows)))
+    return totals.selectExpr(_rows(cols, lambda i, c: [
+        ("column_name", literal(c)),
+        ("constancy", f"try_divide(CAST(k{i} AS DOUBLE), CAST(ids AS DOUBLE))")]))
 
 
 def null_ratio(df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
     """``(column_name, null_ratio)`` over all records; one scan, no shuffle
     beyond merging one partial row per task."""
     cols = as_list(columns)
-    n = F.count(F.lit(1)).alias("n")
-    agg = df.agg(n, *[F.count(F.when(is_missing(c, tokens), 1)).alias(f"m{i}") for i, c in enumerate(cols)])
-    rows = [F.struct(F.lit(c).alias("column_name"),
-                     F.try_divide(F.col(f"m{i}").cast("double"), F.col("n").cast("double")).alias("null_ratio"))
-            for i, c in enumerate(cols)]
-    return agg.select(F.inline(F.array(*rows)))
+    agg = df.agg(F.count(F.lit(1)).alias("n"),
+                 *[F.expr(f"count(CASE WHEN {_sql_missing(quote(c), tokens)} THEN 1 END)").alias(f"m{i}")
+                   for i, c in enumerate(cols)])
+    return agg.selectExpr(_rows(cols, lambda i, c: [
+        ("column_name", literal(c)),
+        ("null_ratio", f"try_divide(CAST(m{i} AS DOUBLE), CAST(n AS DOUBLE))")]))
 
 
 def profile_columns(df: DataFrame, id_col: str, status_col: str,
                     closed: Sequence[str] = DEFAULT_CLOSED_STATUSES,
                     tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
-                    skip: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+                    skip: Sequence[str] = (), columns: Sequence[str] | None = None,
+                    exact: bool = False) -> DataFrame:
     """``(column_name, position, constancy, null_ratio)`` in one scan.
 
     A single aggregation by entity carries, per column, the missing-value
@@ -132,31 +179,27 @@ def profile_columns(df: DataFrame, id_col: str, status_col: str,
     1-based place of the column in the input schema.
     """
     cols = as_list(columns) if columns is not None else profiled_columns(df, id_col, skip)
-    opened = is_open(status_col, closed)
+    types = {f.name: f.dataType for f in df.schema.fields}
     needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
-    base = df.select(*[col(c) for c in needed]).withColumn("__open", opened)
-    n_open = F.count(F.when(F.col("__open"), 1))
-    aggs = [F.count(F.lit(1)).alias("n"), n_open.alias("n_open")]
+    base = df.select(*[col(c) for c in needed], is_open(status_col, closed).alias("__open"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.expr("count(CASE WHEN __open THEN 1 END)").alias("n_open")]
     for i, c in enumerate(cols):
-        only_open = F.when(F.col("__open"), col(c))
-        aggs.append(F.count(F.when(is_missing(c, tokens), 1)).alias(f"m{i}"))
-        aggs.append(_constant_flag(only_open, n_open).cast("long").alias(f"k{i}"))
+        q = quote(c)
+        aggs.append(F.expr(f"count(CASE WHEN {_sql_missing(q, tokens)} THEN 1 END)").alias(f"m{i}"))
+        aggs.append(F.expr(_sql_constant_flag(q, types[c], "__open", exact)).alias(f"k{i}"))
     per_id = base.groupBy(col(id_col)).agg(*aggs)
-    has_open = F.col("n_open") > 0
     totals = per_id.agg(
         F.sum("n").alias("n"),
-        F.count(F.when(has_open, 1)).alias("ids"),
+        F.expr("count(CASE WHEN n_open > 0 THEN 1 END)").alias("ids"),
         *[F.sum(f"m{i}").alias(f"m{i}") for i in range(len(cols))],
-        *[F.sum(F.when(has_open, F.col(f"k{i}"))).alias(f"k{i}") for i in range(len(cols))],
+        *[F.expr(f"sum(CASE WHEN n_open > 0 THEN k{i} END)").alias(f"k{i}") for i in range(len(cols))],
     )
     position = {c: i + 1 for i, c in enumerate(df.columns)}
-    rows = [F.struct(F.lit(c).alias("column_name"),
-                     F.lit(position.get(c)).cast("int").alias("position"),
-                     F.try_divide(F.coalesce(F.col(f"k{i}"), F.lit(0)).cast("double"),
-                                  F.col("ids").cast("double")).alias("constancy"),
-                     F.try_divide(F.col(f"m{i}").cast("double"), F.col("n").cast("double")).alias("null_ratio"))
-            for i, c in enumerate(cols)]
-    return totals.select(F.inline(F.array(*rows)))
+    return totals.selectExpr(_rows(cols, lambda i, c: [
+        ("column_name", literal(c)),
+        ("position", f"CAST({position.get(c)} AS INT)" if c in position else "CAST(NULL AS INT)"),
+        ("constancy", f"try_divide(CAST(coalesce(k{i}, 0) AS DOUBLE), CAST(ids AS DOUBLE))"),
+        ("null_ratio", f"try_divide(CAST(m{i} AS DOUBLE), CAST(n AS DOUBLE))")]))
 
 
 def select_inputs(profile: DataFrame, labels: Sequence[str],

@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.io import spread_by_key
+
 
 @dataclass(frozen=True)
 class LogSpec:
@@ -51,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_by_key(table(spark, sf_dir, "lineitem"), "l_orderkey")
     o = table(spark, sf_dir, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(

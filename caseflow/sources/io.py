@@ -7,24 +7,52 @@ extra full pass over the input.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..names import as_list, col
+
+
+def spread_by_key(df: DataFrame, keys: str | Sequence[str] | None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition an under-partitioned input by its entity key.
+
+    A small file with one row group is read by one task, and every row-wise
+    step up to the first shuffle then runs on one core. When the input has
+    fewer partitions than the default parallelism, it is hash-partitioned by
+    ``keys`` -- the partitioning the per-entity aggregations and a sort-merge
+    join on the key need anyway, so Spark plans no second exchange for them.
+    A large input (many splits) is returned unchanged and keeps map-side
+    partial aggregation.
+    """
+    keys = as_list(keys)
+    if not keys:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *[col(k) for k in keys])
+
 
 def read_event_log(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";",
-                   schema: StructType | str | None = None, header: bool = True) -> DataFrame:
-    """Read the raw event log (header CSV with ``;`` by default, or parquet)."""
+                   schema: StructType | str | None = None, header: bool = True,
+                   cluster_by: str | Sequence[str] | None = None) -> DataFrame:
+    """Read the raw event log (header CSV with ``;`` by default, or parquet).
+
+    ``cluster_by`` names the entity key for :func:`spread_by_key`.
+    """
     if fmt == "parquet":
         reader = spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.parquet(path)
+        return spread_by_key(reader.parquet(path), cluster_by)
     reader = spark.read.option("header", header).option("sep", sep)
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
-    return reader.format(fmt).load(path)
+    return spread_by_key(reader.format(fmt).load(path), cluster_by)
 
 
 def read_encoded(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -107,3 +107,16 @@ def test_profile_is_one_scan(log):
     plan = profile_columns(log, "ID", "Status", CLOSED, [TOKEN], skip=["DATE"])._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("Scan") == 1 and "Expand" not in plan
+
+
+def test_fingerprint_and_exact_agree(spark):
+    rows = [(i % 50, "Open", f"v{(i * 7) % 3 if i % 50 < 20 else 1}", float(i % 2) if i % 50 < 10 else 2.0,
+             None if i % 11 == 0 else f"w{i % 50}")
+            for i in range(1000)]
+    df = spark.createDataFrame(rows, "ID int, Status string, a string, d double, e string")
+    fast = {r.column_name: r.constancy for r in profile_columns(df, "ID", "Status", CLOSED, [TOKEN]).collect()}
+    slow = {r.column_name: r.constancy for r in
+            profile_columns(df, "ID", "Status", CLOSED, [TOKEN], exact=True).collect()}
+    assert fast == slow
+    plan = profile_columns(df, "ID", "Status", CLOSED, [TOKEN])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
