@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     temporary folder set; on a non-local master that is an error, because a
     machine-local folder does not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- remote session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -29,8 +29,12 @@ def spread_by_key(df: DataFrame, keys: str | Sequence[str] | None, min_partition
     keys = as_list(keys)
     if not keys:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD access (e.g. a remote session): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *[col(k) for k in keys])
 
