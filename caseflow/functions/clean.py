@@ -14,7 +14,8 @@ def nullify_tokens(df: DataFrame, tokens: Sequence[str], columns: Sequence[str]
     """Replace null tokens by NULL in every (or the given) column, in a
     single select rather than one ``withColumn`` per column."""
     targets = set(df.columns if columns is None else as_list(columns))
-    return df.select(*[null_if_token(col(c), tokens).alias(c) if c in targets else col(c)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[null_if_token(col(c), tokens, types[c]).alias(c) if c in targets else col(c)
                        for c in df.columns])
 
 
@@ -43,7 +44,7 @@ def clean_table(df: DataFrame, tokens: Sequence[str] = (), mixed: Sequence[str]
     types = {f.name: f.dataType for f in df.schema.fields}
     out, categorical = [], []
     for c in df.columns:
-        v = null_if_token(col(c), tokens)
+        v = null_if_token(col(c), tokens, types[c])
         if c in keep:
             out.append(col(c))
         elif c in mixed:

@@ -34,6 +34,7 @@ from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, Decima
                                FloatType, IntegerType, LongType, ShortType, TimestampNTZType,
                                TimestampType)
 
+from ..functions.scalar import tokens_for_type
 from ..names import as_list, col, literal, quote
 
 # Fixed values of the original application (defaults only).
@@ -51,10 +52,10 @@ def is_open(status_col: str, closed: Sequence[str]) -> Column:
     return F.coalesce(~col(status_col).cast("string").isin(closed), F.lit(False))
 
 
-def is_missing(name: str, tokens: Sequence[str]) -> Column:
+def is_missing(name: str, tokens: Sequence[str], dtype: DataType | None = None) -> Column:
     """NULL or one of the null tokens. Compared as text, so numeric columns
     keep their values and ANSI casts never fail (Q3)."""
-    tokens = as_list(tokens)
+    tokens = tokens_for_type(tokens, dtype)
     c = col(name)
     if not tokens:
         return c.isNull()
@@ -103,8 +104,8 @@ def _fixed_width(dtype: DataType) -> bool:
 # The per-column aggregates are written as SQL text: one expression per
 # aggregate instead of dozens of driver round trips per column.
 
-def _sql_missing(q: str, tokens: Sequence[str]) -> str:
-    tokens = as_list(tokens)
+def _sql_missing(q: str, tokens: Sequence[str], dtype: DataType | None = None) -> str:
+    tokens = tokens_for_type(tokens, dtype)
     if not tokens:
         return f"({q} IS NULL)"
     return f"({q} IS NULL OR coalesce(CAST({q} AS STRING) IN ({', '.join(map(literal, tokens))}), false))"
@@ -158,9 +159,10 @@ def null_ratio(df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = DE
     """``(column_name, null_ratio)`` over all records; one scan, no shuffle
     beyond merging one partial row per task."""
     cols = as_list(columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
     agg = df.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.expr(f"count(CASE WHEN {_sql_missing(quote(c), tokens)} THEN 1 END)").alias(f"m{i}")
-                   for i, c in enumerate(cols)])
+                 *[F.expr(f"count(CASE WHEN {_sql_missing(quote(c), tokens, types.get(c))} THEN 1 END)")
+                   .alias(f"m{i}") for i, c in enumerate(cols)])
     return agg.selectExpr(_rows(cols, lambda i, c: [
         ("column_name", literal(c)),
         ("null_ratio", f"try_divide(CAST(m{i} AS DOUBLE), CAST(n AS DOUBLE))")]))
@@ -185,7 +187,7 @@ def profile_columns(df: DataFrame, id_col: str, status_col: str,
     aggs = [F.count(F.lit(1)).alias("n"), F.expr("count(CASE WHEN __open THEN 1 END)").alias("n_open")]
     for i, c in enumerate(cols):
         q = quote(c)
-        aggs.append(F.expr(f"count(CASE WHEN {_sql_missing(q, tokens)} THEN 1 END)").alias(f"m{i}"))
+        aggs.append(F.expr(f"count(CASE WHEN {_sql_missing(q, tokens, types[c])} THEN 1 END)").alias(f"m{i}"))
         aggs.append(F.expr(_sql_constant_flag(q, types[c], "__open", exact)).alias(f"k{i}"))
     per_id = base.groupBy(col(id_col)).agg(*aggs)
     totals = per_id.agg(

@@ -15,7 +15,8 @@ def groups_per_entity(df: DataFrame, id_col: str, group_col: str,
                       tokens: Sequence[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
     """``(id, n_cambios)``: distinct usable groups per entity (A->B->A is 2).
     Entities without a usable group are absent, not 0."""
-    usable = df.select(col(id_col), col(group_col)).where(~is_missing(group_col, tokens))
+    missing = is_missing(group_col, tokens, df.schema[group_col].dataType)
+    usable = df.select(col(id_col), col(group_col)).where(~missing)
     return usable.groupBy(col(id_col)).agg(F.count_distinct(col(group_col)).alias("n_cambios"))
 
 

@@ -82,3 +82,16 @@ def test_group_histogram_counts_distinct_groups(spark):
     h = [tuple(r) for r in group_count_histogram(df, "id", "g", ["tok"]).collect()]
     assert h == [(1, 1), (2, 1), (3, 1)]           # entity 3 has no usable group: absent
     assert sum(c for _, c in h) == 3
+
+
+def test_numeric_tokens_still_apply(spark):
+    df = spark.createDataFrame([(1, 2.5, "a"), (-1, 1e10, "-1")], "n int, d double, s string")
+    out = nullify_tokens(df, ["-1", "1.0E10", "zz"]).orderBy("s").collect()
+    assert (out[0].n, out[0].d, out[0].s) == (None, None, None)   # row with n=-1, d=1e10, s='-1'
+    assert (out[1].n, out[1].d, out[1].s) == (1, 2.5, "a")
+
+
+def test_non_numeric_token_skips_cast(spark):
+    df = spark.createDataFrame([(1, "x")], "n bigint, s string")
+    plan = nullify_tokens(df, ["t9jZkpJT4Nc="])._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(n" not in plan
