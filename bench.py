@@ -1,7 +1,7 @@
 """Headline timings. Prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all),
-BENCH_REPEAT (default 3). Each query is built and fully executed (noop sink,
+BENCH_REPEAT (default 5), BENCH_QUERIES (comma list, default all). Each query is built and fully executed (noop sink,
 no collect to the driver) once as warm-up, then BENCH_REPEAT times; the
 median is reported.
 """
@@ -64,10 +64,13 @@ def run_once(spark, fn, sf):
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = local_session(cpus, shuffle_partitions=max(2 * int(cpus), 8), app_name="caseflow-bench")
+    only = set(filter(None, os.environ.get("BENCH_QUERIES", "").split(",")))
     timings, extra = {}, {}
     for name, fn in {**HEADLINE, **EXTRA}.items():
+        if only and name not in only:
+            continue
         run_once(spark, fn, sf)
         med = statistics.median(run_once(spark, fn, sf) for _ in range(repeat))
         (timings if name in HEADLINE else extra)[name] = round(med, 3)
