@@ -27,6 +27,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegressio
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import to_double
 from ..names import as_list, col
 from .evaluate import accuracy_metrics, attempts_histogram
 from .features import (FEATURES, INDEXED_LABEL, LABEL, assemble, encoded_name, index_categories,
@@ -86,6 +87,11 @@ def train_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical
     out of the features (Q11).
     """
     numeric, categorical = as_list(numeric), as_list(categorical)
+    if kind == "multilayer_perceptron" and numeric:
+        # numeric inputs as double, as the original MLP script cast them
+        types = {f.name: f.dataType for f in train.schema.fields}
+        train = train.select(*[to_double(col(c), types[c]).alias(c) if c in numeric else col(c)
+                               for c in train.columns])
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         indexer = index_categories(categorical + [LABEL]).fit(train)

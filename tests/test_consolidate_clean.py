@@ -95,3 +95,11 @@ def test_non_numeric_token_skips_cast(spark):
     df = spark.createDataFrame([(1, "x")], "n bigint, s string")
     plan = nullify_tokens(df, ["t9jZkpJT4Nc="])._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(n" not in plan
+
+
+def test_to_double(spark):
+    from caseflow.functions import to_double
+    df = spark.createDataFrame([("2.5", 3), ("x", None)], "s string, n int")
+    out = df.select(to_double(F.col("s"), df.schema["s"].dataType).alias("a"),
+                    to_double(F.col("n"), df.schema["n"].dataType).alias("b")).collect()
+    assert (out[0].a, out[0].b, out[1].a, out[1].b) == (2.5, 3.0, None, None)
