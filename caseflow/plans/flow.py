@@ -38,13 +38,18 @@ def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEF
     can hash it.
 
     The log itself is scanned twice: once by the profile (a single
-    aggregation) and once by the consolidation. The consolidated, cleaned
-    table -- one row per entity -- is checkpointed to the shared folder
+    aggregation, whose k-row result is kept on the driver; skipped when
+    ``inputs`` are given) and once by the consolidation. The consolidated,
+    cleaned table -- one row per entity -- is checkpointed to the shared folder
     (``materialize``) so that the vocabulary and the encoding do not repeat
     the consolidation, and a lost executor does not either.
     """
     profile = profile_columns(df, spec.id_col, spec.status_col, spec.closed, spec.null_tokens,
                               skip=spec.skip)
+    if inputs is None:
+        # one row per column: keep the result as a local relation so that looking
+        # at the profile or the selection later does not scan the log again
+        profile = df.sparkSession.createDataFrame(profile.collect(), profile.schema)
     selection = select_inputs(profile, spec.labels, min_constancy, max_nulls)
     chosen = list(inputs) if inputs is not None else chosen_inputs(selection)
     chosen = [c for c in chosen if c not in spec.labels]
