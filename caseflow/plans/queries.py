@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import drop_incomplete, nullify_tokens
 from ..functions.scalar import first_int, to_int
+from ..ml.evaluate import ATTEMPTS, attempts_needed, prediction_attempts
+from ..ml.features import INDEXED_LABEL, index_categories, key_bucket, split_by_key
+from ..ml.models import KINDS, evaluate_labels, evaluate_model, score, train_model
 from ..operators.consolidate import consolidate
 from ..operators.profile import (constancy, entity_counts, null_ratio, open_records, profile_columns,
                                  profiled_columns, select_inputs)
 from ..operators.reassign import group_count_histogram
 from ..operators.vocab import build_vocabulary, encode
-from ..sources.io import read_event_log, write_table
 from ..session import scratch_path
+from ..sources.io import read_event_log, write_table
 from .fixtures import TICKETS, TICKETS_SQL, table, tickets
-from ..ml.evaluate import ATTEMPTS, attempts_histogram, attempts_needed, prediction_attempts
-from ..ml.features import INDEXED_LABEL, index_categories, key_bucket, split_by_key
-from ..ml.models import evaluate_labels, evaluate_model, train_model, score, KINDS
 from .flow import prepare_model_table
 
 S = TICKETS
@@ -394,6 +394,7 @@ pri AS (SELECT y, ln(n + 1) - ln((SELECT sum(n) FROM ncls) + (SELECT ny FROM dim
 hits AS (SELECT y, f, count(*) AS n FROM (SELECT y, fs AS f FROM feat UNION ALL SELECT y, fc FROM feat)
          WHERE f IS NOT NULL GROUP BY y, f),
 tot AS (SELECT ncls.y, coalesce(sum(hits.n), 0) AS t FROM ncls LEFT JOIN hits ON ncls.y = hits.y GROUP BY ncls.y),
+-- class x feature grid (C x F rows) and row x class scores (C per test row)
 grid AS (SELECT tot.y, f.f, ln(coalesce(hits.n, 0) + 1) - ln(tot.t + (SELECT ns + nc - 2 FROM dims)) AS theta
          FROM tot CROSS JOIN (SELECT range AS f FROM range((SELECT ns + nc - 2 FROM dims))) f
          LEFT JOIN hits ON hits.y = tot.y AND hits.f = f.f),

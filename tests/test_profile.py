@@ -1,7 +1,6 @@
 """Golden micro-tables for profiling and selection."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from caseflow.operators import (chosen_inputs, constancy, entity_counts, null_ratio, open_records,
                                 profile_columns, select_inputs)
