@@ -41,3 +41,17 @@ def test_transform_then_train(spark):
     metrics = {r.model: r for r in train(table, out, DEFAULT_SPEC, kinds=["naive_bayes", "decision_tree"]).collect()}
     assert metrics["decision_tree"].accuracy > 0.9
     assert read_encoded(spark, f"{out}/n_groups_NB", fmt="csv").count() >= 1
+
+
+def test_command_line(spark):
+    from caseflow.plans.app import main
+
+    cols = "ID int, DATE string, Status string, Category string, Urgency string, Impact string, " \
+           "Priority string, `Priority Weight` int, `Assigned Group` string, Noise string"
+    src = scratch_path(spark, "cli-log")
+    write_table(spark.createDataFrame(_log_rows(120, seed=5), cols), src, fmt="csv", sep=";")
+    out = scratch_path(spark, "cli-out")
+    main(["transform", "--log", src, "--out", out])
+    main(["train", "--table", f"{out}/dataML", "--out", out, "--models", "NB", "DT"])
+    assert read_encoded(spark, f"{out}/dataML").count() == 120
+    assert read_encoded(spark, f"{out}/n_groups_DT", fmt="csv").count() >= 1
