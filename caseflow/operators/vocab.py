@@ -76,8 +76,8 @@ def encode(df: DataFrame, vocab: Vocabulary, columns: Sequence[str], key: Sequen
     Small vocabulary (checked size): one broadcast hash join per column, no
     shuffle of ``df``. Larger: the columns are unpivoted to ``(key, column,
     value)``, joined once with the vocabulary on ``value`` (AQE splits hot
-    values), pivoted back by ``key`` and joined to the rest of the row; this
-    needs a unique row ``key``.
+    values), turned back into one row per ``key`` by conditional aggregation
+    and joined to the rest of the row; this needs a unique row ``key``.
     """
     cols = [c for c in as_list(columns) if c in df.columns]
     if not cols:
@@ -107,7 +107,10 @@ def _encode_shuffle(df: DataFrame, vocab: Vocabulary, cols: list[str], keys: lis
             .where(F.col("value").isNotNull()))
     coded = long.join(vocab.table, "value", "left").select(
         *[col(k) for k in keys], "__column", F.coalesce(F.col("code"), F.lit(0)).alias("code"))
-    wide = coded.groupBy(*[col(k) for k in keys]).pivot("__column", names).agg(F.max("code"))
+    # back to one row per key: one conditional max per column (a single hash
+    # aggregation with one exchange on the key; ``pivot`` would plan two)
+    wide = coded.groupBy(*[col(k) for k in keys]).agg(
+        *[F.max(F.when(F.col("__column") == n, F.col("code"))).alias(n) for n in names])
     joined = df.join(wide, keys, "left")
     index = dict(zip(cols, names))
     return joined.select(*[F.when(col(c).isNull(), F.lit(None).cast("int"))
