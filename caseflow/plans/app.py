@@ -96,7 +96,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName("caseflow").getOrCreate()
     spec = _spec_from_args(a)
     if a.cmd == "transform":
-        log = read_event_log(spark, a.log, fmt=a.log_format, sep=a.sep, cluster_by=spec.id_col)
+        log = read_event_log(spark, a.log, fmt=a.log_format, sep=a.sep)
         transform(log, a.out, spec, fmt=a.format, min_constancy=a.min_constancy, max_nulls=a.max_nulls)
     else:
         by_short = {v: k for k, v in SHORT.items()}

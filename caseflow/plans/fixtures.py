@@ -2,9 +2,9 @@
 
 ``tickets`` is lineitem joined with orders: one order is one entity, its
 lines are the events. Both tables grow with the scale factor, so every query
-built on it does too. The join is on the entity key, so its output is
-already clustered by ``id`` and the per-entity aggregations that follow need
-no further shuffle when the join is a sort-merge join.
+built on it does too. The join is on the entity key, so when it is a
+sort-merge join (large tables) its output is already clustered by ``id`` and
+the per-entity aggregations that follow need no further shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.io import spread_by_key
+from ..sources.io import spread_small_input
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_by_key(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    li = spread_small_input(table(spark, sf_dir, "lineitem"))
     o = table(spark, sf_dir, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(

@@ -1,5 +1,5 @@
 """Sources and sinks."""
 
-from .io import read_encoded, read_event_log, spread_by_key, write_report, write_table
+from .io import read_encoded, read_event_log, spread_small_input, write_report, write_table
 
-__all__ = ["read_event_log", "read_encoded", "spread_by_key", "write_table", "write_report"]
+__all__ = ["read_event_log", "read_encoded", "spread_small_input", "write_table", "write_report"]

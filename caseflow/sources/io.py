@@ -7,56 +7,60 @@ extra full pass over the input.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..names import as_list, col
+from ..names import col
+
 
+# Inputs read by fewer tasks than this are small by construction (each split
+# holds at most spark.sql.files.maxPartitionBytes, 128 MB by default).
+SMALL_INPUT_SPLITS = 8
 
-def spread_by_key(df: DataFrame, keys: str | Sequence[str] | None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition an under-partitioned input by its entity key.
+
+def spread_small_input(df: DataFrame, min_splits: int = SMALL_INPUT_SPLITS) -> DataFrame:
+    """Spread a small input that is read by too few tasks over more cores.
 
     A small file with one row group is read by one task, and every row-wise
     step up to the first shuffle then runs on one core. When the input has
-    fewer partitions than the default parallelism, it is hash-partitioned by
-    ``keys`` -- the partitioning the per-entity aggregations and a sort-merge
-    join on the key need anyway, so Spark plans no second exchange for them.
-    A large input (many splits) is returned unchanged and keeps map-side
-    partial aggregation.
+    fewer than ``min_splits`` partitions (so it is at most a few GB) and the
+    session has more cores than that, its rows are hash-partitioned on all
+    their columns -- an even spread in which a hot entity is split too, so the
+    per-entity aggregations still pre-aggregate before their own exchange. A
+    large input (many splits) is returned unchanged.
     """
-    keys = as_list(keys)
-    if not keys:
-        return df
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        target = min(df.sparkSession.sparkContext.defaultParallelism,
+                     int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 -- no RDD access (e.g. a remote session): leave as is
         return df
-    if current >= target:
+    if current >= min_splits or current >= target:
         return df
-    return df.repartition(target, *[col(k) for k in keys])
+    return df.repartition(target, F.xxhash64(*[col(c) for c in df.columns]))
 
 
 def read_event_log(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";",
                    schema: StructType | str | None = None, header: bool = True,
-                   cluster_by: str | Sequence[str] | None = None) -> DataFrame:
+                   spread: bool = True) -> DataFrame:
     """Read the raw event log (header CSV with ``;`` by default, or parquet).
 
-    ``cluster_by`` names the entity key for :func:`spread_by_key`.
+    ``spread``: apply :func:`spread_small_input`.
     """
     if fmt == "parquet":
         reader = spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        return spread_by_key(reader.parquet(path), cluster_by)
+        df = reader.parquet(path)
+        return spread_small_input(df) if spread else df
     reader = spark.read.option("header", header).option("sep", sep)
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
-    return spread_by_key(reader.format(fmt).load(path), cluster_by)
+    df = reader.format(fmt).load(path)
+    return spread_small_input(df) if spread else df
 
 
 def read_encoded(spark: SparkSession, path: str, fmt: str = "parquet",

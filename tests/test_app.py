@@ -31,7 +31,7 @@ def test_transform_then_train(spark):
     src = scratch_path(spark, "app-log")
     write_table(log, src, fmt="csv", sep=";")
     out = scratch_path(spark, "app-out")
-    prepared = transform(read_event_log(spark, src, sep=";", cluster_by="ID"), out, DEFAULT_SPEC)
+    prepared = transform(read_event_log(spark, src, sep=";"), out, DEFAULT_SPEC)
     assert "Category" in prepared.inputs and "Noise" not in prepared.inputs
     table = read_encoded(spark, f"{out}/dataML")
     assert table.columns[0] == "ID" and table.columns[-1] == "Assigned Group"
