@@ -8,11 +8,8 @@ extra full pass over the input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..names import col
-
 
 # Inputs read by fewer tasks than this are small by construction (each split
 # holds at most spark.sql.files.maxPartitionBytes, 128 MB by default).
@@ -25,10 +22,12 @@ def spread_small_input(df: DataFrame, min_splits: int = SMALL_INPUT_SPLITS) -> D
     A small file with one row group is read by one task, and every row-wise
     step up to the first shuffle then runs on one core. When the input has
     fewer than ``min_splits`` partitions (so it is at most a few GB) and the
-    session has more cores than that, its rows are hash-partitioned on all
-    their columns -- an even spread in which a hot entity is split too, so the
-    per-entity aggregations still pre-aggregate before their own exchange. A
-    large input (many splits) is returned unchanged.
+    session has more cores than that, its rows are dealt round-robin over the
+    cores -- an even spread in which a hot entity is split too, so the
+    per-entity aggregations still pre-aggregate before their own exchange.
+    Round-robin references no column, so column pruning still reaches the
+    scan, and Spark sorts each input partition first so that a retried task
+    deals the same rows. A large input (many splits) is returned unchanged.
     """
     try:
         target = min(df.sparkSession.sparkContext.defaultParallelism,
@@ -38,7 +37,7 @@ def spread_small_input(df: DataFrame, min_splits: int = SMALL_INPUT_SPLITS) -> D
         return df
     if current >= min_splits or current >= target:
         return df
-    return df.repartition(target, F.xxhash64(*[col(c) for c in df.columns]))
+    return df.repartition(target)
 
 
 def read_event_log(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";",
