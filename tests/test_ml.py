@@ -70,3 +70,16 @@ def test_all_models_train_and_score(table):
         assert r.accuracy <= ones / r.n_scored + 1e-12
         assert all(1 <= a <= 3 for a, _ in hist)
     assert rows["logistic_regression"].accuracy > 0.9
+
+
+def test_unseen_category_is_skipped_and_counted(spark):
+    from caseflow.ml import score, train_model
+    train = spark.createDataFrame([(i, "a" if i % 2 else "b", "L1" if i % 2 else "L0") for i in range(40)],
+                                  "k int, c string, label string")
+    test = spark.createDataFrame([(100, "a", "L1"), (101, "zz", "L0"), (102, "b", "L0")],
+                                 "k int, c string, label string")
+    model = train_model(train, "naive_bayes", [], ["c"])
+    pred = score(model, test)
+    assert sorted(r.k for r in pred.collect()) == [100, 102]
+    r = accuracy_metrics(test, pred).first()
+    assert (r.n_scored, r.n_skipped, r.accuracy) == (2, 1, 1.0)
