@@ -78,7 +78,7 @@ def test_unseen_category_is_skipped_and_counted(spark):
                                   "k int, c string, label string")
     test = spark.createDataFrame([(100, "a", "L1"), (101, "zz", "L0"), (102, "b", "L0")],
                                  "k int, c string, label string")
-    model = train_model(train, "naive_bayes", [], ["c"])
+    model = train_model(train, "logistic_regression", [], ["c"])
     pred = score(model, test)
     assert sorted(r.k for r in pred.collect()) == [100, 102]
     r = accuracy_metrics(test, pred).first()
