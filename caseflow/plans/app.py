@@ -39,9 +39,9 @@ DEFAULT_SPEC = LogSpec(
 
 def transform(log: DataFrame, out_dir: str, spec: LogSpec = DEFAULT_SPEC, fmt: str = "parquet",
               min_constancy: float = DEFAULT_MIN_CONSTANCY, max_nulls: float = DEFAULT_MAX_NULLS,
-              mode: str = "errorifexists") -> PreparedTable:
+              mode: str = "errorifexists", exact_profile: bool = False) -> PreparedTable:
     """Write ``<out>/dataML`` (one row per entity) and ``<out>/n_groups``."""
-    prepared = prepare_model_table(log, spec, min_constancy, max_nulls)
+    prepared = prepare_model_table(log, spec, min_constancy, max_nulls, exact_profile=exact_profile)
     write_table(prepared.table, f"{out_dir}/dataML", fmt=fmt, mode=mode)
     write_report(reassignment_histogram(log, spec), f"{out_dir}/n_groups", mode=mode)
     return prepared
@@ -88,6 +88,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     t.add_argument("--sep", default=";")
     t.add_argument("--min-constancy", type=float, default=DEFAULT_MIN_CONSTANCY)
     t.add_argument("--max-nulls", type=float, default=DEFAULT_MAX_NULLS)
+    t.add_argument("--exact-profile", action="store_true",
+                   help="compare text values themselves in the profile (sort-based aggregation)")
     r = sub.choices["train"]
     r.add_argument("--table", required=True)
     r.add_argument("--models", nargs="+", default=[SHORT[k] for k in KINDS])
@@ -97,7 +99,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spec = _spec_from_args(a)
     if a.cmd == "transform":
         log = read_event_log(spark, a.log, fmt=a.log_format, sep=a.sep)
-        transform(log, a.out, spec, fmt=a.format, min_constancy=a.min_constancy, max_nulls=a.max_nulls)
+        transform(log, a.out, spec, fmt=a.format, min_constancy=a.min_constancy, max_nulls=a.max_nulls,
+                  exact_profile=a.exact_profile)
     else:
         by_short = {v: k for k, v in SHORT.items()}
         kinds = [by_short.get(m, m) for m in a.models]

@@ -30,7 +30,7 @@ class PreparedTable:
 def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEFAULT_MIN_CONSTANCY,
                         max_nulls: float = DEFAULT_MAX_NULLS, inputs: Sequence[str] | None = None,
                         broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                        materialize: bool = True) -> PreparedTable:
+                        materialize: bool = True, exact_profile: bool = False) -> PreparedTable:
     """Profile -> select -> consolidate -> clean -> vocabulary -> encode.
 
     Output: one row per entity; the key, the kept inputs A-Z, then the labels
@@ -45,7 +45,7 @@ def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEF
     the consolidation, and a lost executor does not either.
     """
     profile = profile_columns(df, spec.id_col, spec.status_col, spec.closed, spec.null_tokens,
-                              skip=spec.skip)
+                              skip=spec.skip, exact=exact_profile)
     if inputs is None:
         # one row per column: keep the result as a local relation so that looking
         # at the profile or the selection later does not scan the log again

@@ -51,7 +51,7 @@ def test_command_line(spark):
     src = scratch_path(spark, "cli-log")
     write_table(spark.createDataFrame(_log_rows(120, seed=5), cols), src, fmt="csv", sep=";")
     out = scratch_path(spark, "cli-out")
-    main(["transform", "--log", src, "--out", out])
+    main(["transform", "--log", src, "--out", out, "--exact-profile"])
     main(["train", "--table", f"{out}/dataML", "--out", out, "--models", "NB", "DT"])
     assert read_encoded(spark, f"{out}/dataML").count() == 120
     assert read_encoded(spark, f"{out}/n_groups_DT", fmt="csv").count() >= 1
