@@ -20,8 +20,9 @@ from ..names import as_list, col
 from ..session import cut_lineage
 
 _ROW_BITS = 33  # layout of monotonically_increasing_id
-# Estimated bytes per vocabulary entry in a broadcast hash relation, on top of the text.
-_ENTRY_OVERHEAD = 48
+# Estimated bytes per vocabulary entry in a broadcast hash relation, on top of the text
+# (which is stored twice: as the hash key and in the row).
+_ENTRY_OVERHEAD = 64
 DEFAULT_BROADCAST_LIMIT = 128 * 1024 * 1024
 
 
@@ -31,11 +32,12 @@ class Vocabulary:
 
     table: DataFrame
     size: int
-    text_bytes: int
+    text_bytes: int  # UTF-8 bytes of all values
 
     @property
     def estimated_bytes(self) -> int:
-        return self.text_bytes + self.size * _ENTRY_OVERHEAD
+        """Upper estimate of the broadcast hash relation built from ``table``."""
+        return 2 * self.text_bytes + self.size * _ENTRY_OVERHEAD
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,13 +57,13 @@ def build_vocabulary(df: DataFrame, columns: Sequence[str]) -> Vocabulary:
                             mid.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("pos"))
     # One row per partition of the checkpoint: bounded by the partition count.
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"),
-                                       F.sum(F.length("value")).alias("chars"))
+                                       F.sum(F.octet_length("value")).alias("bytes"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     table = (placed.join(F.broadcast(offsets), "part")
              .select("value", (F.col("offset") + F.col("pos") + 1).cast("int").alias("code")))
-    stats = sizes.agg(F.sum("n").alias("n"), F.sum("chars").alias("chars")).first()
-    return Vocabulary(table=table, size=int(stats.n or 0), text_bytes=int(stats.chars or 0))
+    stats = sizes.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).first()
+    return Vocabulary(table=table, size=int(stats.n or 0), text_bytes=int(stats.bytes or 0))
 
 
 def _code(value, code):
