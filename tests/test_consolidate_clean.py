@@ -103,3 +103,15 @@ def test_to_double(spark):
     out = df.select(to_double(F.col("s"), df.schema["s"].dataType).alias("a"),
                     to_double(F.col("n"), df.schema["n"].dataType).alias("b")).collect()
     assert (out[0].a, out[0].b, out[1].a, out[1].b) == (2.5, 3.0, None, None)
+
+
+def test_dotted_names_through_flow(spark):
+    from caseflow.operators import build_vocabulary, encode
+    df = spark.createDataFrame([(1, 1, "a", "2-x", "G"), (1, 2, "b", "3-y", "H"), (2, 1, None, None, "G")],
+                               "`e.id` int, `t.s` int, `c.at` string, `p.rio` string, `l.ab` string")
+    merged = consolidate(df, "e.id", ["c.at", "p.rio"], ["l.ab"], ["t.s"])
+    assert merged.columns == ["e.id", "c.at", "p.rio", "l.ab"]
+    cleaned, cats = clean_table(merged, [], mixed=["p.rio"], keep=["e.id"])
+    v = build_vocabulary(cleaned, cats)
+    out = {r["e.id"]: tuple(r) for r in encode(cleaned, v, cats).collect()}
+    assert out == {1: (1, 3, 2, 2), 2: (2, None, None, 1)}   # byte order: G=1, H=2, a=3
