@@ -12,13 +12,12 @@ from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, Decima
                                FloatType, IntegerType, LongType, ShortType, StringType,
                                TimestampNTZType, TimestampType)
 
+from ..constants import DIGITS_PATTERN
 from ..names import as_list
 
 # Fixed value: a whole number, optionally followed by a fraction that is cut
 # off, as the lenient string-to-int cast of the original runtime accepted it.
 INT_TEXT_PATTERN = r"^([+-]?[0-9]+)([.][0-9]*)?$"
-# Fixed value: the first run of digits in a mixed text/number field.
-DIGITS_PATTERN = "[0-9]+"
 
 _NUMERIC = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
 # Fixed value: every text form Spark gives a number (``12``, ``-1.5``, ``1.0E10``, ``NaN``, ``Infinity``).

@@ -8,6 +8,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import TRAIN_FRACTION
 from ..names import as_list, col
 
 LABEL = "label"
@@ -60,7 +61,7 @@ def key_bucket(key: str | Sequence[str], buckets: int = 10) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
 
 
-def split_by_key(df: DataFrame, key: str | Sequence[str], train_fraction: float = 0.7,
+def split_by_key(df: DataFrame, key: str | Sequence[str], train_fraction: float = TRAIN_FRACTION,
                  buckets: int = 10) -> tuple[DataFrame, DataFrame]:
     """M4: deterministic train/test split by key hash (``bucket < 7`` of 10
     for 0.7)."""
@@ -68,7 +69,8 @@ def split_by_key(df: DataFrame, key: str | Sequence[str], train_fraction: float
     return df.where(in_train), df.where(~in_train)
 
 
-def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def random_split(df: DataFrame, train_fraction: float = TRAIN_FRACTION,
+                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """M4 as in the original (random), with a seed. Deterministic only if the
     input's partitioning and row order are; prefer :func:`split_by_key`."""
     train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)

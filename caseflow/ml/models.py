@@ -27,19 +27,15 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegressio
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import FOREST_TREES, HIDDEN_UNITS, MODEL_SHORT_NAMES, TRAIN_FRACTION
 from ..functions.scalar import to_double
 from ..names import as_list, col
 from .evaluate import accuracy_metrics, attempts_histogram
 from .features import (FEATURES, INDEXED_LABEL, LABEL, assemble, encoded_name, index_categories,
                        indexed_name, one_hot, split_by_key)
 
-# Fixed values of the original scripts.
-FOREST_TREES = 5
-HIDDEN_UNITS = 50
-
 KINDS = ("logistic_regression", "decision_tree", "random_forest", "naive_bayes", "multilayer_perceptron")
-SHORT = {"logistic_regression": "LR", "decision_tree": "DT", "random_forest": "RF", "naive_bayes": "NB",
-         "multilayer_perceptron": "MP"}
+SHORT = MODEL_SHORT_NAMES
 
 
 @dataclass
@@ -140,7 +136,7 @@ class Evaluation:
 
 
 def evaluate_model(table: DataFrame, label: str, labels: Sequence[str], kind: str, key: str,
-                   numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = 0.7,
+                   numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = TRAIN_FRACTION,
                    seed: int = 42) -> Evaluation:
     """E3 for one label and one model kind: split by key, train, score,
     accuracy and attempts histogram."""
@@ -159,7 +155,7 @@ def evaluate_model(table: DataFrame, label: str, labels: Sequence[str], kind: st
 
 
 def evaluate_labels(table: DataFrame, labels: Sequence[str], kinds: Sequence[str], key: str,
-                    numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = 0.7,
+                    numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = TRAIN_FRACTION,
                     seed: int = 42) -> tuple[DataFrame, list[Evaluation]]:
     """Every label x every model kind; metrics as one DataFrame."""
     runs = [evaluate_model(table, lab, labels, k, key, numeric, drop, train_fraction, seed)

@@ -34,14 +34,14 @@ from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, Decima
                                FloatType, IntegerType, LongType, ShortType, TimestampNTZType,
                                TimestampType)
 
+from ..constants import CLOSED_STATUSES, MAX_NULLS, MIN_CONSTANCY, NULL_TOKENS
 from ..functions.scalar import tokens_for_type
 from ..names import as_list, col, literal, quote
 
-# Fixed values of the original application (defaults only).
-DEFAULT_CLOSED_STATUSES = ("Resolved  (4)", "Cancelled  (6)")
-DEFAULT_NULL_TOKENS = ("t9jZkpJT4Nc=",)
-DEFAULT_MIN_CONSTANCY = 0.8
-DEFAULT_MAX_NULLS = 0.5
+DEFAULT_CLOSED_STATUSES = CLOSED_STATUSES
+DEFAULT_NULL_TOKENS = NULL_TOKENS
+DEFAULT_MIN_CONSTANCY = MIN_CONSTANCY
+DEFAULT_MAX_NULLS = MAX_NULLS
 
 
 def is_open(status_col: str, closed: Sequence[str]) -> Column:

@@ -16,24 +16,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..ml.models import KINDS, SHORT, evaluate_labels
-from ..operators.profile import (DEFAULT_CLOSED_STATUSES, DEFAULT_MAX_NULLS, DEFAULT_MIN_CONSTANCY,
-                                 DEFAULT_NULL_TOKENS)
+from .. import constants as C
+from ..operators.profile import DEFAULT_MAX_NULLS, DEFAULT_MIN_CONSTANCY
 from ..sources.io import read_encoded, read_event_log, write_report, write_table
 from .fixtures import LogSpec
 from .flow import PreparedTable, prepare_model_table, reassignment_histogram
 
-# Fixed column names of the original ticket log (defaults only).
+# The original ticket log's layout (defaults only).
 DEFAULT_SPEC = LogSpec(
-    id_col="ID",
-    order_by=("DATE",),
-    status_col="Status",
-    closed=DEFAULT_CLOSED_STATUSES,
-    labels=("Assigned Group",),
-    null_tokens=DEFAULT_NULL_TOKENS,
-    skip=("DATE",),
-    mixed=("Urgency", "Impact", "Priority"),
-    numeric=("Priority Weight",),
-    not_relevant=("Urgency", "Impact", "Priority"),
+    id_col=C.ID_COLUMN,
+    order_by=(C.DATE_COLUMN,),
+    status_col=C.STATUS_COLUMN,
+    closed=C.CLOSED_STATUSES,
+    labels=C.LABEL_COLUMNS,
+    null_tokens=C.NULL_TOKENS,
+    skip=(C.DATE_COLUMN,),
+    mixed=C.MIXED_COLUMNS,
+    numeric=C.NUMERIC_COLUMNS,
+    not_relevant=C.NOT_RELEVANT_COLUMNS,
 )
 
 
@@ -42,8 +42,8 @@ def transform(log: DataFrame, out_dir: str, spec: LogSpec = DEFAULT_SPEC, fmt: s
               mode: str = "errorifexists", exact_profile: bool = False) -> PreparedTable:
     """Write ``<out>/dataML`` (one row per entity) and ``<out>/n_groups``."""
     prepared = prepare_model_table(log, spec, min_constancy, max_nulls, exact_profile=exact_profile)
-    write_table(prepared.table, f"{out_dir}/dataML", fmt=fmt, mode=mode)
-    write_report(reassignment_histogram(log, spec), f"{out_dir}/n_groups", mode=mode)
+    write_table(prepared.table, f"{out_dir}/{C.MODEL_TABLE}", fmt=fmt, mode=mode)
+    write_report(reassignment_histogram(log, spec), f"{out_dir}/{C.GROUPS_REPORT}", mode=mode)
     return prepared
 
 
@@ -55,7 +55,7 @@ def train(table: DataFrame, out_dir: str, spec: LogSpec = DEFAULT_SPEC, kinds: S
                                     drop=spec.not_relevant, seed=seed)
     for run in runs:
         suffix = SHORT[run.kind] + ("" if len(spec.labels) == 1 else f"_{run.label}")
-        write_report(run.histogram, f"{out_dir}/n_groups_{suffix}", mode=mode)
+        write_report(run.histogram, f"{out_dir}/{C.MODEL_REPORT_PREFIX}{suffix}", mode=mode)
     return metrics
 
 
