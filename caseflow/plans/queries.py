@@ -444,4 +444,10 @@ FROM tickets""",
     "split_by_key": f"SELECT o_orderkey, {_KEY_BUCKET.format(k='o_orderkey')} < 7 AS in_train FROM orders",
     "string_index": STRING_INDEX_SQL,
     "naive_bayes_score": NAIVE_BAYES_SQL,
+    "naive_bayes_metrics": f"""SELECT 'label' AS label_name, 'naive_bayes' AS model,
+       round(avg(CASE WHEN prediction = indexedLabel THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6)
+         AS accuracy,
+       count(*) AS n_scored,
+       (SELECT count(*) FROM orders WHERE NOT ({_KEY_BUCKET.format(k="o_orderkey")} < 7)) - count(*) AS n_skipped
+FROM ({NAIVE_BAYES_SQL}) scored""",
 }
