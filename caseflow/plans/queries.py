@@ -376,9 +376,12 @@ STRING_INDEX_SQL = (CONSOLIDATE_SQL.replace("\nSELECT f.id,", ",\nc AS (SELECT f
 #   pi_y = ln(n_y + 1) - ln(N + C);  theta_yj = ln(n_yj + 1) - ln(sum_j n_yj + F)
 # with F the one-hot width (last category dropped). Prediction = best score,
 # ties to the lower class; attempts = 1 + classes scoring strictly higher.
-NAIVE_BAYES_SQL = f"""WITH o AS (
-  SELECT o_orderkey, o_orderstatus AS s, CAST(o_custkey % 7 AS VARCHAR) AS c, o_orderpriority AS y,
-         {_KEY_BUCKET.format(k="o_orderkey")} < 7 AS in_train FROM orders),
+def _naive_bayes_sql(source: str, key: str) -> str:
+    """Scores of the held-out part; ``source`` yields the key ``k``, two
+    categorical features ``s`` and ``c`` (in feature order) and the label ``y``."""
+    return f"""WITH o AS (
+  SELECT k, CAST(s AS VARCHAR) AS s, CAST(c AS VARCHAR) AS c, CAST(y AS VARCHAR) AS y,
+         {_KEY_BUCKET.format(k="k")} < 7 AS in_train FROM ({source}) src),
 tr AS (SELECT * FROM o WHERE in_train), te AS (SELECT * FROM o WHERE NOT in_train),
 six AS (SELECT s AS v, row_number() OVER (ORDER BY count(*) DESC, s) - 1 AS idx FROM tr GROUP BY s),
 cix AS (SELECT c AS v, row_number() OVER (ORDER BY count(*) DESC, c) - 1 AS idx FROM tr GROUP BY c),
@@ -398,24 +401,34 @@ tot AS (SELECT ncls.y, coalesce(sum(hits.n), 0) AS t FROM ncls LEFT JOIN hits ON
 grid AS (SELECT tot.y, f.f, ln(coalesce(hits.n, 0) + 1) - ln(tot.t + (SELECT ns + nc - 2 FROM dims)) AS theta
          FROM tot CROSS JOIN (SELECT range AS f FROM range((SELECT ns + nc - 2 FROM dims))) f
          LEFT JOIN hits ON hits.y = tot.y AND hits.f = f.f),
-tx AS (SELECT te.o_orderkey, yix.idx AS ytrue,
+tx AS (SELECT te.k, yix.idx AS ytrue,
               CASE WHEN six.idx < dims.ns - 1 THEN six.idx END AS fs,
               CASE WHEN cix.idx < dims.nc - 1 THEN dims.ns - 1 + cix.idx END AS fc
        FROM te JOIN six ON te.s = six.v JOIN cix ON te.c = cix.v JOIN yix ON te.y = yix.v, dims),
-sc AS (SELECT tx.o_orderkey, tx.ytrue, pri.y,
+sc AS (SELECT tx.k, tx.ytrue, pri.y,
               (coalesce(gs.theta, 0) + coalesce(gc.theta, 0)) + pri.pi AS score
        FROM tx CROSS JOIN pri
        LEFT JOIN grid gs ON gs.y = pri.y AND gs.f = tx.fs
        LEFT JOIN grid gc ON gc.y = pri.y AND gc.f = tx.fc),
-best AS (SELECT o_orderkey, y AS yhat FROM (
-           SELECT o_orderkey, y, row_number() OVER (PARTITION BY o_orderkey ORDER BY score DESC, y) AS r FROM sc)
+best AS (SELECT k, y AS yhat FROM (
+           SELECT k, y, row_number() OVER (PARTITION BY k ORDER BY score DESC, y) AS r FROM sc)
          WHERE r = 1),
-own AS (SELECT o_orderkey, score AS s0 FROM sc WHERE y = ytrue)
-SELECT sc.o_orderkey, CAST(any_value(sc.ytrue) AS DOUBLE) AS indexedLabel,
+own AS (SELECT k, score AS s0 FROM sc WHERE y = ytrue)
+SELECT sc.k AS {key}, CAST(any_value(sc.ytrue) AS DOUBLE) AS indexedLabel,
        CAST(any_value(best.yhat) AS DOUBLE) AS prediction,
        CAST(1 + count(*) FILTER (WHERE sc.score > own.s0) AS INTEGER) AS Groups_assigned
-FROM sc JOIN own USING (o_orderkey) JOIN best USING (o_orderkey)
-GROUP BY sc.o_orderkey"""
+FROM sc JOIN own USING (k) JOIN best USING (k)
+GROUP BY sc.k"""
+
+
+NAIVE_BAYES_SQL = _naive_bayes_sql(
+    "SELECT o_orderkey AS k, o_orderstatus AS s, o_custkey % 7 AS c, o_orderpriority AS y FROM orders",
+    "o_orderkey")
+# The same model on the E1 output: label grp; priority is not relevant (dropped);
+# ostatus and status are the categorical inputs; rows with a NULL are dropped.
+TICKET_NB_SQL = _naive_bayes_sql(
+    f"SELECT id AS k, ostatus AS s, status AS c, grp AS y FROM ({FULL_FLOW_SQL}) ff "
+    "WHERE id IS NOT NULL AND ostatus IS NOT NULL AND status IS NOT NULL AND grp IS NOT NULL", "id")
 
 ORACLES = {
     "open_records": f"{T}\nSELECT * FROM tickets WHERE status NOT IN ('F')",
@@ -444,6 +457,8 @@ FROM tickets""",
     "split_by_key": f"SELECT o_orderkey, {_KEY_BUCKET.format(k='o_orderkey')} < 7 AS in_train FROM orders",
     "string_index": STRING_INDEX_SQL,
     "naive_bayes_score": NAIVE_BAYES_SQL,
+    "naive_bayes_attempts": (f"SELECT Groups_assigned, count(*) AS count FROM ({TICKET_NB_SQL}) nb "
+                             "GROUP BY Groups_assigned ORDER BY Groups_assigned"),
     "naive_bayes_metrics": f"""SELECT 'label' AS label_name, 'naive_bayes' AS model,
        round(avg(CASE WHEN prediction = indexedLabel THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6)
          AS accuracy,
