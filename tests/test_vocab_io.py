@@ -71,3 +71,20 @@ def test_parquet_table_and_single_file_report(spark, cats):
     rep = scratch_path(spark, "t-rep")
     write_report(cats.groupBy("x").count(), rep)
     assert read_encoded(spark, rep, fmt="csv").count() == 3
+
+
+def test_spread_small_input(spark):
+    from caseflow.sources import spread_small_input
+    from tests.conftest import SF_SMALL
+
+    small = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert small.rdd.getNumPartitions() < 8
+    spread = spread_small_input(small)
+    assert spread.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism,
+                                                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    plan = spread.select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan and "ReadSchema: struct<l_orderkey:bigint>" in plan
+    wide = spark.range(0, 100, numPartitions=16)
+    assert spread_small_input(wide) is wide
+    assert sorted(r.l_orderkey for r in spread.select("l_orderkey").collect()) == \
+        sorted(r.l_orderkey for r in small.select("l_orderkey").collect())
