@@ -126,6 +126,11 @@ def _sql_constant_flag(q: str, dtype: DataType, where: str, exact: bool) -> str:
     return f"CAST(({nn} = 0) OR ({nn} = {n} AND {same}) AS BIGINT)"
 
 
+def _empty(df: DataFrame, schema: str) -> DataFrame:
+    """No candidate columns: an empty result with the usual schema."""
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def _rows(cols: list[str], fields) -> str:
     """``inline(array(named_struct(...), ...))`` turning one wide row into one row per column."""
     structs = [f"named_struct({', '.join(f'{literal(k)}, {v}' for k, v in fields(i, c))})"
@@ -143,6 +148,8 @@ def constancy(df: DataFrame, id_col: str, status_col: str,
     column; here it is rejected by :func:`select_inputs`).
     """
     cols = as_list(columns) if columns is not None else profiled_columns(df, id_col, skip)
+    if not cols:
+        return _empty(df, "column_name string, constancy double")
     types = {f.name: f.dataType for f in df.schema.fields}
     needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
     opened = open_records(df.select(*[col(c) for c in needed]), status_col, closed)
@@ -159,6 +166,8 @@ def null_ratio(df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = DE
     """``(column_name, null_ratio)`` over all records; one scan, no shuffle
     beyond merging one partial row per task."""
     cols = as_list(columns)
+    if not cols:
+        return _empty(df, "column_name string, null_ratio double")
     types = {f.name: f.dataType for f in df.schema.fields}
     agg = df.agg(F.count(F.lit(1)).alias("n"),
                  *[F.expr(f"count(CASE WHEN {_sql_missing(quote(c), tokens, types.get(c))} THEN 1 END)")
@@ -181,6 +190,8 @@ def profile_columns(df: DataFrame, id_col: str, status_col: str,
     1-based place of the column in the input schema.
     """
     cols = as_list(columns) if columns is not None else profiled_columns(df, id_col, skip)
+    if not cols:
+        return _empty(df, "column_name string, position int, constancy double, null_ratio double")
     types = {f.name: f.dataType for f in df.schema.fields}
     needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
     base = df.select(*[col(c) for c in needed], is_open(status_col, closed).alias("__open"))

@@ -119,3 +119,12 @@ def test_fingerprint_and_exact_agree(spark):
     assert fast == slow
     plan = profile_columns(df, "ID", "Status", CLOSED, [TOKEN])._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_no_candidate_columns(spark):
+    df = spark.createDataFrame([(1, "Open")], "ID int, Status string")
+    p = profile_columns(df, "ID", "Status", CLOSED, [TOKEN], skip=["Status"])
+    assert p.count() == 0 and p.columns == ["column_name", "position", "constancy", "null_ratio"]
+    assert constancy(df, "ID", "Status", CLOSED, columns=[]).count() == 0
+    assert null_ratio(df, [], [TOKEN]).count() == 0
+    assert select_inputs(p, ["lbl"]).count() == 0
