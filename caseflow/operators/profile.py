@@ -44,9 +44,10 @@ DEFAULT_MIN_CONSTANCY = MIN_CONSTANCY
 DEFAULT_MAX_NULLS = MAX_NULLS
 
 
-def is_open(status_col: str, closed: Sequence[str]) -> Column:
-    """True for an open record. NULL status is not open (``<>`` yields NULL)."""
-    closed = as_list(closed)
+def is_open(status_col: str, closed: Sequence[str], dtype: DataType | None = None) -> Column:
+    """True for an open record. NULL status is not open (``<>`` yields NULL).
+    Compared as text; ``dtype`` lets closed values that cannot match be skipped."""
+    closed = tokens_for_type(closed, dtype)
     if not closed:
         return col(status_col).isNotNull()
     return F.coalesce(~col(status_col).cast("string").isin(closed), F.lit(False))
@@ -64,7 +65,7 @@ def is_missing(name: str, tokens: Sequence[str], dtype: DataType | None = None)
 
 def open_records(df: DataFrame, status_col: str, closed: Sequence[str] = DEFAULT_CLOSED_STATUSES) -> DataFrame:
     """P5: rows whose status is not a closed one."""
-    return df.where(is_open(status_col, closed))
+    return df.where(is_open(status_col, closed, df.schema[status_col].dataType))
 
 
 def profiled_columns(df: DataFrame, id_col: str, skip: Sequence[str] = ()) -> list[str]:
@@ -84,7 +85,7 @@ def entity_counts(df: DataFrame, id_col: str, status_col: str,
     """
     per_id = df.groupBy(col(id_col)).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max(is_open(status_col, closed).cast("int")).alias("any_open"),
+        F.max(is_open(status_col, closed, df.schema[status_col].dataType).cast("int")).alias("any_open"),
     )
     return per_id.agg(
         F.sum("n").alias("n_rows"),
@@ -194,7 +195,8 @@ def profile_columns(df: DataFrame, id_col: str, status_col: str,
         return _empty(df, "column_name string, position int, constancy double, null_ratio double")
     types = {f.name: f.dataType for f in df.schema.fields}
     needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
-    base = df.select(*[col(c) for c in needed], is_open(status_col, closed).alias("__open"))
+    opened = is_open(status_col, closed, types[status_col])
+    base = df.select(*[col(c) for c in needed], opened.alias("__open"))
     aggs = [F.count(F.lit(1)).alias("n"), F.expr("count(CASE WHEN __open THEN 1 END)").alias("n_open")]
     for i, c in enumerate(cols):
         q = quote(c)

@@ -128,3 +128,11 @@ def test_no_candidate_columns(spark):
     assert constancy(df, "ID", "Status", CLOSED, columns=[]).count() == 0
     assert null_ratio(df, [], [TOKEN]).count() == 0
     assert select_inputs(p, ["lbl"]).count() == 0
+
+
+def test_numeric_status(spark):
+    df = spark.createDataFrame([(1, 4), (1, 1), (2, 6), (3, None)], "ID int, Status int")
+    assert open_records(df, "Status", ["4", "6"]).count() == 1
+    assert open_records(df, "Status", ["Resolved  (4)"]).count() == 3   # text cannot match a number
+    r = entity_counts(df, "ID", "Status", ["4", "6"]).first()
+    assert (r.n_rows, r.n_ids, r.n_open_ids) == (4, 3, 1)
