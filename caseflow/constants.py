@@ -29,6 +29,10 @@ TRAIN_FRACTION = 0.7
 FOREST_TREES = 5
 HIDDEN_UNITS = 50
 
+# Report columns (groups per entity; attempts needed).
+GROUPS_COLUMN = "n_cambios"
+ATTEMPTS_COLUMN = "Groups_assigned"
+
 # Output folders.
 MODEL_TABLE = "dataML"
 GROUPS_REPORT = "n_groups"

@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from ..constants import ATTEMPTS_COLUMN
 from .features import INDEXED_LABEL
 
-ATTEMPTS = "Groups_assigned"
+ATTEMPTS = ATTEMPTS_COLUMN
 
 
 def attempts_needed(scores: Column, label: Column) -> Column:
