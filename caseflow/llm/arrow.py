@@ -51,6 +51,16 @@ def ship(spark: SparkSession) -> None:
     context._caseflow_shipped = True
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's defaults, which are made for short
+    rows: a task holds a few megabytes of text at once, not 64. A setting that
+    somebody changed stays as it is."""
+    for key, default, ours in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key, None) == default:
+            spark.conf.set(key, ours)
+
+
 def map_texts(df: DataFrame, text: str, keep: Sequence[str], fields: str,
               fn: Callable[[pa.RecordBatch, pa.Array], dict | None], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``fn(rows, texts)`` returns a dict of columns as long as ``rows``, or with
@@ -76,6 +86,7 @@ def map_texts(df: DataFrame, text: str, keep: Sequence[str], fields: str,
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     ship(df.sparkSession)
+    bound_batches(df.sparkSession)
     return source.mapInArrow(run, out)
 
 
