@@ -62,12 +62,14 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def map_texts(df: DataFrame, text: str, keep: Sequence[str], fields: str,
-              fn: Callable[[pa.RecordBatch, pa.Array], dict | None], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+              fn: Callable[[pa.RecordBatch, pa.Array], dict | None], chunk_bytes: int = CHUNK_BYTES,
+              aside: Sequence[str] = ()) -> DataFrame:
     """``fn(rows, texts)`` returns a dict of columns as long as ``rows``, or with
-    the key ``None`` -> row indices, which repeat or leave out kept columns."""
+    the key ``None`` -> row indices, which repeat or leave out kept columns.
+    Columns named in ``aside`` are there for ``fn`` and go no further."""
     added = schema_of(fields)
     kept = [c for c in keep if c not in added.names]
-    source = df.select(*[F.col(quoted(c)) for c in kept], F.col(quoted(text)).cast("string").alias(TEXT))
+    source = df.select(*[F.col(quoted(c)) for c in dict.fromkeys([*kept, *aside])], F.col(quoted(text)).cast("string").alias(TEXT))
     out = StructType([StructField(c, source.schema[c].dataType, True) for c in kept] + list(added.fields))
     arrow = to_arrow_schema(out)
 
@@ -78,8 +80,9 @@ def map_texts(df: DataFrame, text: str, keep: Sequence[str], fields: str,
                 if got is None:
                     continue
                 at = got.pop(None, None)
-                base = rows if at is None else rows.take(pa.array(at))
-                columns = [base.column(base.schema.get_field_index(c)).cast(arrow.field(c).type) for c in kept]
+                columns = [rows.column(rows.schema.get_field_index(c)).cast(arrow.field(c).type) for c in kept]
+                if at is not None:  # only what goes on is repeated, never the text
+                    columns = [c.take(pa.array(at)) for c in columns]
                 columns += [v if isinstance(v, pa.Array) and v.type == arrow.field(c).type
                             else v.cast(arrow.field(c).type) if isinstance(v, pa.Array)
                             else pa.array(v, arrow.field(c).type) for c, v in ((f.name, got[f.name]) for f in added)]

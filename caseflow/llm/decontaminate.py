@@ -178,7 +178,7 @@ def _scan(docs: DataFrame, text: str, keep: Sequence[str], rows: list, more: boo
         return {"n_words": w.counts(), "n_hit": [sum(e - s for s, e in x) for x in spans],
                 "spans": [[{"start": s, "end": e} for s, e in x] for x in spans], "items": found}
 
-    return map_texts(docs, text, [*keep, *(["__found"] if more else [])], FIELDS, run)
+    return map_texts(docs, text, keep, FIELDS, run, aside=["__found"] if more else [])
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",),

@@ -169,3 +169,63 @@ def chunks(batch: pa.RecordBatch | pa.Table, text: str, size: int = CHUNK_BYTES)
         hi = min(max(hi, lo + 1), len(column))
         yield batch.slice(lo, hi - lo)
         lo = hi
+
+
+class HashIndex:
+    """Open-addressing table from 64-bit hashes to small numbers, probed for
+    whole arrays at once. Holds at most ``limit`` keys; the owner starts a new
+    one when it is full, so a task's memory is bounded."""
+
+    def __init__(self, bits: int = 12, limit_bits: int = 21):
+        self.limit = 1 << limit_bits
+        self._make(bits)
+
+    def _make(self, bits: int) -> None:
+        self.bits, self.size = bits, 0
+        self.keys = np.zeros(1 << bits, dtype=np.uint64)
+        self.values = np.full(1 << bits, -1, dtype=np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * _MULT >> _U(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where it is unknown."""
+        out = np.full(len(keys), -1, dtype=np.int32)
+        left, slot, mask = np.arange(len(keys)), self._slots(keys), (1 << self.bits) - 1
+        while len(left):
+            value = self.values[slot]
+            hit = (value >= 0) & (self.keys[slot] == keys[left])
+            out[left[hit]] = value[hit]
+            go = ~hit & (value >= 0)
+            left, slot = left[go], (slot[go] + 1) & mask
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Distinct keys that are not in the table yet."""
+        while (self.size + len(keys)) * 2 > len(self.keys):
+            old = self.values >= 0
+            had, was = self.keys[old], self.values[old]
+            self._make(self.bits + 1)
+            self._put(had, was)
+        self._put(keys, values)
+
+    def _put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        left, slot, mask = np.arange(len(keys)), self._slots(keys), (1 << self.bits) - 1
+        while len(left):
+            free = self.values[slot] < 0
+            at, first = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[first]
+            self.keys[at], self.values[at] = keys[left[won]], values[left[won]]
+            rest = np.ones(len(left), dtype=bool)
+            rest[won] = False
+            left, slot = left[rest], (slot[rest] + 1) & mask
+        self.size += len(keys)
+
+    def full(self, more: int) -> bool:
+        return self.size + more > self.limit
+
+
+def expand(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Indices of all ranges ``starts[i] : starts[i] + lengths[i]``, in order."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)

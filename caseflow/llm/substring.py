@@ -102,8 +102,8 @@ def repeated_windows(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc
                 "h2": pa.array((flat.windows(w.hash, n, 31)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                 "at": (at - w.first[doc]).astype(np.int32)}
 
-    around = map_texts(rows.join(followed, ["id", "rk"]), "text", ["id", "rk", "seeds"],
-                       "h1 long, h2 int, at int", extend).drop("seeds")
+    around = map_texts(rows.join(followed, ["id", "rk"]), "text", ["id", "rk"],
+                       "h1 long, h2 int, at int", extend, aside=["seeds"])
     least = around.groupBy("h1", "h2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .where("lo < hi").select("h1", "h2", "lo")
     marked = around.join(least, ["h1", "h2"]).where("lo < id").groupBy("id", "rk") \
@@ -169,8 +169,8 @@ def remove_repeats(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc_i
                 "spans": spans, "kept": pa.array(texts, pa.binary()).cast(pa.string())}
 
     joined = rows.join(found, ["id", "rk"], "left")
-    out = map_texts(joined, "text", ["row", "whole", "at"],
-                    "n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string", cut)
+    out = map_texts(joined, "text", ["row"], "n_words long, n_removed long, "
+                    "spans array<struct<start:int,end:int>>, kept string", cut, aside=["whole", "at"])
     return out.select(*[F.col("row").getField(c).alias(c) for c in keep
                         if c not in ("n_words", "n_removed", "spans", "kept")],
                       "n_words", "n_removed", "spans", "kept")
