@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, substring
+from . import decontaminate, packing, rules, substring
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,9 +19,19 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring.dedup_report(table(spark, sf, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_report(table(spark, sf, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.rules_report(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
+    "op8_packing": op8_packing,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES = {
