@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, rules, substring
+from . import decontaminate, packing, rules, substring, warc
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring.dedup_report(table(spark, sf, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.warc_report(table(spark, sf, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_report(table(spark, sf, "documents"))
 
@@ -30,6 +34,7 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
 }
@@ -37,4 +42,5 @@ QUERIES = {
 ORACLES = {
     "op2_decontaminate": decontaminate.REPORT_SQL,
     "op3_substring_dedup": substring.REPORT_SQL,
+    "op7_warc": warc.REPORT_SQL,
 }
