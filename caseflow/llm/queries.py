@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, rules, substring, warc
+from . import decontaminate, jaccard, packing, rules, substring, warc
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join_report(table(spark, sf, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -32,6 +36,7 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_warc": op7_warc,
