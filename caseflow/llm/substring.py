@@ -53,17 +53,12 @@ def _seeds(w: flat.Words, n: int, k: int) -> np.ndarray:
     return _sliding_min(grams, n - k + 1) if len(grams) > n - k else np.empty(0, np.uint64)
 
 
-def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("rk"),
-                       F.col(quoted(text)).cast("string").alias("text"))
-
-
-def repeated_windows(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc_id",
-                     text: str = "text") -> DataFrame:
+def repeated_windows(rows: DataFrame, n: int = N, k: int = K) -> DataFrame:
     """One row (id, rk, whole, at) per document with words to remove: ``whole``
-    if it copies a smaller document, else ``at``, the starts of its windows that
-    a smaller document holds. ``rk`` is xxhash64 of the text, for repeated ids."""
-    rows = _rows(docs, text, doc_id)
+    if it copies a smaller document, else ``at``, where its windows that a
+    smaller document holds start for the first time. ``rows`` has id (no null),
+    rk (xxhash64 of the text, for repeated ids), text, and what else the caller
+    carries (``row``), so that both joins with texts read the same exchange."""
 
     def seeds(rows, texts):
         w = flat.words(texts, flat.PLAIN)
@@ -78,7 +73,7 @@ def repeated_windows(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc
         return {"words": w.counts(), "digest": pa.array([x.tobytes() + y.tobytes() for x, y in zip(a, b)]),
                 "seeds": lists(pa.array(own[at][keep].view(np.int64)), np.r_[0, np.cumsum(counts)])}
 
-    base = map_texts(rows.where(F.col("id").isNotNull()), "text", ["id", "rk"],
+    base = map_texts(rows, "text", ["id", "rk"],
                      "words long, digest binary, seeds array<long>", seeds).where(F.col("words") >= n)
     base = cut_lineage(base)
     first = base.groupBy("digest", "words").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")) \
@@ -97,13 +92,15 @@ def repeated_windows(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc
         followed = np.unique(column.flatten().to_numpy(zero_copy_only=False)).view(np.uint64)
         at = np.flatnonzero(ok)
         at = at[np.isin(own[at], followed)]
-        doc = w.doc()[at]
-        return {None: doc, "h1": pa.array(flat.windows(w.hash, n, 21)[at].view(np.int64)),
+        doc, h1 = w.doc()[at], flat.windows(w.hash, n, 21)
+        _, once = np.unique(h1[at] ^ flat.mix(doc.astype(np.uint64), 51), return_index=True)
+        at, doc = at[once], doc[once]  # a window that a text repeats goes once
+        return {None: doc, "h1": pa.array(h1[at].view(np.int64)),
                 "h2": pa.array((flat.windows(w.hash, n, 31)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                 "at": (at - w.first[doc]).astype(np.int32)}
 
     around = map_texts(rows.join(followed, ["id", "rk"]), "text", ["id", "rk"],
-                       "h1 long, h2 int, at int", extend, aside=["seeds"])
+                       "h1 long, h2 int, at int", extend, aside=["seeds", "row"])
     least = around.groupBy("h1", "h2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .where("lo < hi").select("h1", "h2", "lo")
     marked = around.join(least, ["h1", "h2"]).where("lo < id").groupBy("id", "rk") \
@@ -138,18 +135,22 @@ def remove_repeats(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc_i
     """Every row of ``docs`` (the columns of ``keep``) with ``n_words``,
     ``n_removed``, ``spans`` (removed word ranges) and ``kept``, the words that
     stay, joined by one space."""
-    found = repeated_windows(docs, n, k, doc_id, text)
     rows = docs.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("rk"),
                        F.col(quoted(text)).cast("string").alias("text"),
                        F.struct(*[F.col(quoted(c)) for c in keep]).alias("row"))
+    named = rows.where(F.col("id").isNotNull())
+    found = repeated_windows(named, n, k)
 
     def cut(rows, texts):
-        w = flat.words(texts, flat.PLAIN, hashes=False)
+        w = flat.words(texts, flat.PLAIN)
         whole = rows.column(rows.schema.get_field_index("whole")).fill_null(False).to_numpy(zero_copy_only=False)
         gone = rows.column(rows.schema.get_field_index("at"))
         edge = np.zeros(len(w.start) + 1, dtype=np.int64)
         sizes = np.array([len(x) if x.is_valid else 0 for x in gone])
         at = gone.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + np.repeat(w.first[:-1], sizes)
+        if len(at):  # every place where a marked window of the same text stands
+            own = flat.windows(w.hash, n, 21) ^ flat.mix(w.doc()[:len(w.hash) - n + 1].astype(np.uint64), 51)
+            at = np.flatnonzero(np.isin(own, own[at]) & flat.window_mask(w.first, n))
         np.add.at(edge, at, 1)
         np.add.at(edge, at + n, -1)
         cover = np.cumsum(edge[:-1]) > 0
@@ -168,7 +169,9 @@ def remove_repeats(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc_i
         return {"n_words": w.counts(), "n_removed": np.diff(np.r_[0, np.cumsum(cover)][w.first]),
                 "spans": spans, "kept": pa.array(texts, pa.binary()).cast(pa.string())}
 
-    joined = rows.join(found, ["id", "rk"], "left")
+    joined = named.join(found, ["id", "rk"], "left").unionByName(
+        rows.where(F.col("id").isNull()).withColumn("whole", F.lit(None).cast("boolean"))
+        .withColumn("at", F.lit(None).cast("array<int>")))
     out = map_texts(joined, "text", ["row"], "n_words long, n_removed long, "
                     "spans array<struct<start:int,end:int>>, kept string", cut, aside=["whole", "at"])
     return out.select(*[F.col("row").getField(c).alias(c) for c in keep
