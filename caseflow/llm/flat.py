@@ -83,10 +83,15 @@ class Words:
     """Words of a run of texts: ``start``/``end`` byte ranges, ``hash``, and
     ``first[i]:first[i + 1]`` for the words of text i."""
 
-    __slots__ = ("raw", "start", "end", "hash", "first")
+    __slots__ = ("raw", "start", "end", "hash", "first", "sums")
 
-    def __init__(self, raw, start, end, hashed, first):
-        self.raw, self.start, self.end, self.hash, self.first = raw, start, end, hashed, first
+    def __init__(self, raw, start, end, hashed, first, sums=None):
+        self.raw, self.start, self.end, self.hash, self.first, self.sums = raw, start, end, hashed, first, sums
+
+    def part(self, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+        """Hashes of other byte ranges (prefixes, suffixes) of the same buffer."""
+        _, down = _BYTE_POWERS.get(len(self.raw) + 1)
+        return mix((self.sums[end] - self.sums[start]) * down[start] + (end - start).astype(np.uint64) * _MULT, seed)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -125,13 +130,13 @@ def words(column: pa.Array, table: np.ndarray = FOLDED, hashes: bool = True) ->
     ends[last] = inside[last]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, at)
-    hashed = np.empty(0, np.uint64)
+    hashed, total = np.empty(0, np.uint64), None
     if hashes:
         up, down = _BYTE_POWERS.get(len(raw) + 1)
         total = np.zeros(len(raw) + 1, dtype=np.uint64)
         np.cumsum((mapped.astype(np.uint64) + _U(1)) * up[:-1], out=total[1:])
         hashed = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _MULT)
-    return Words(raw, start, end, hashed, first)
+    return Words(raw, start, end, hashed, first, total)
 
 
 def windows(hashed: np.ndarray, n: int, seed: int = 0) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, packing, rules, substring, warc
+from . import decontaminate, jaccard, packing, rules, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring.dedup_report(table(spark, sf, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.warc_report(table(spark, sf, "pages"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_toxicity": op4_toxicity,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
