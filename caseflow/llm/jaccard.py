@@ -313,8 +313,9 @@ def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, thresho
 
 def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                        recall: float = RECALL) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, rk, n_shingles, copy_id, class_id,
-    n_links). ``copy_id``: smallest id with the same set; ``class_id``: smallest
+    """One row per row of ``docs``: (doc_id, rk, n_shingles, class_key, copy_id,
+    class_id, n_links). ``class_key`` names the class (null without shingles),
+    ``copy_id``: smallest id with the same set; ``class_id``: smallest
     id of the class that links tie together; ``n_links``: other documents with
     similarity >= threshold, copies included. ``rk`` is xxhash64 of the text."""
     base = set_table(docs, doc_id, text, threshold, runs_for(threshold, recall))
@@ -335,16 +336,31 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .join(tied.select(F.col("v").alias("key"), "root"), "key", "left") \
         .withColumn("root", F.coalesce("root", "key"))
     least = own.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    own = own.join(least, "root").select("key", "copy_id", "class_id",
+    own = own.join(least, "root").select("key", "root", "copy_id", "class_id",
                                          (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     linked = base.select("id", "rk", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(own, "key", "left")
     alone = F.col("key").isNull()
     return linked.select(F.col("id").alias(doc_id), "rk", F.col("n").alias("n_shingles"),
+                         F.col("root").alias("class_key"),
                          F.when(alone, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"),
                          F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
                          F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each class, that of the smallest id; texts
+    without a shingle all stay. Rows that repeat id and text are one."""
+    classes = similarity_classes(docs, doc_id, text, **options)
+    first = classes.where(F.col("class_key").isNotNull()).groupBy("class_key") \
+        .agg(F.min(F.struct(F.col(quoted(doc_id)).isNull().alias("last"), F.col(quoted(doc_id)).alias("id"),
+                            F.col("rk"))).alias("one")).select("one.id", "one.rk")
+    alone = classes.where(F.col("class_key").isNull()).select(F.col(quoted(doc_id)).alias("id"), "rk")
+    chosen = first.unionByName(alone.distinct()).select(F.col("id").alias("__id"), F.col("rk").alias("__rk"))
+    rows = docs.withColumn("__key", F.xxhash64(F.col(quoted(text))))
+    kept = rows.join(chosen, (F.col("__key") == F.col("__rk")) & rows[doc_id].eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates([doc_id, "__key"]).select(*[quoted(c) for c in docs.columns])
+
+
 def join_report(docs: DataFrame) -> DataFrame:
     """The columns of ``op1_ngram_jaccard``."""
     return similarity_classes(docs).select("doc_id", "class_id", "copy_id", "n_links", "n_shingles")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, packing, rules, substring, toxicity, warc
+from . import decontaminate, jaccard, language, packing, quality, rules, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.warc_report(table(spark, sf, "pages"))
 
@@ -39,14 +43,20 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.rules_report(table(spark, sf, "documents"))
 
 
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.language_report(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language": op10_language,
 }
 
 ORACLES = {

@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,18 +132,19 @@ def _joined(w: flat.Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def remove_repeats(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc_id", text: str = "text",
-                   keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+                   keep: Sequence[str] = ("doc_id",), as_is: bool = False) -> DataFrame:
     """Every row of ``docs`` (the columns of ``keep``) with ``n_words``,
     ``n_removed``, ``spans`` (removed word ranges) and ``kept``, the words that
-    stay, joined by one space."""
+    stay, joined by one space; with ``as_is``, a text that loses nothing comes
+    back as it was."""
     rows = docs.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("rk"),
                        F.col(quoted(text)).cast("string").alias("text"),
                        F.struct(*[F.col(quoted(c)) for c in keep]).alias("row"))
     named = rows.where(F.col("id").isNotNull())
     found = repeated_windows(named, n, k)
 
-    def cut(rows, texts):
-        w = flat.words(texts, flat.PLAIN)
+    def cut(rows, column):
+        w = flat.words(column, flat.PLAIN)
         whole = rows.column(rows.schema.get_field_index("whole")).fill_null(False).to_numpy(zero_copy_only=False)
         gone = rows.column(rows.schema.get_field_index("at"))
         edge = np.zeros(len(w.start) + 1, dtype=np.int64)
@@ -166,8 +168,11 @@ def remove_repeats(docs: DataFrame, n: int = N, k: int = K, doc_id: str = "doc_i
                 if (stop := min(e, w.first[i + 1])) > s:
                     spans[i].append({"start": int(s - w.first[i]), "end": int(stop - w.first[i])})
                 s, i = max(s, stop), i + 1
-        return {"n_words": w.counts(), "n_removed": np.diff(np.r_[0, np.cumsum(cover)][w.first]),
-                "spans": spans, "kept": pa.array(texts, pa.binary()).cast(pa.string())}
+        removed = np.diff(np.r_[0, np.cumsum(cover)][w.first])
+        kept = pa.array(texts, pa.binary()).cast(pa.string())
+        if as_is:
+            kept = pc.if_else(pa.array(removed == 0), column.cast(pa.string()), kept)
+        return {"n_words": w.counts(), "n_removed": removed, "spans": spans, "kept": kept}
 
     joined = named.join(found, ["id", "rk"], "left").unionByName(
         rows.where(F.col("id").isNull()).withColumn("whole", F.lit(None).cast("boolean"))
