@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, language, packing, quality, rules, substring, toxicity, warc
+from . import decontaminate, extract, jaccard, language, packing, quality, rules, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.extract_report(table(spark, sf, "pages"))
+
+
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.warc_report(table(spark, sf, "pages"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op6_html_extract": op6_html_extract,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
