@@ -244,8 +244,9 @@ def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, thresho
     """Exact comparison inside candidate groups (root, key, id, rk, weight, n):
     rows (key, other, sets, docs): link counts, and edges where ``other`` is set."""
     rows = docs.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("rk"),
-                       F.col(quoted(text)).cast("string").alias("text")) \
-        .join(groups, ["id", "rk"]).dropDuplicates(["id", "rk"])
+                       F.col(quoted(text)).cast("string").alias("text"))
+    named = groups.withColumnsRenamed({"id": "__id", "rk": "__rk"})
+    rows = rows.join(named, (F.col("rk") == F.col("__rk")) & F.col("id").eqNullSafe(F.col("__id")))
 
     def cut(rows, texts):
         h, at = shingles(flat.words(texts))
@@ -264,6 +265,9 @@ def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, thresho
                 yield from compare(some.slice(lo, hi - lo).combine_chunks())
 
     def compare(rows):
+        once = {k: i for i, k in enumerate(rows.column("key").to_pylist())}  # rows that repeat id and text
+        if len(once) < rows.num_rows:
+            rows = rows.take(pa.array(sorted(once.values()))).combine_chunks()
         side, weight = rows.column("mine").to_numpy(), rows.column("weight").to_numpy()
         column = rows.column("hashes").chunk(0)
         values, size = column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
