@@ -120,7 +120,7 @@ def scores(model: dict, row: np.ndarray, column: np.ndarray, value: np.ndarray,
 
 
 def fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, steps: int = 60,
-        penalty: float = 1e-3, rate: float = 0.05) -> dict:
+        penalty: float = 0.5, rate: float = 0.05) -> dict:
     """Adam on the logistic loss of the whole sample."""
     own, local = np.unique(column, return_inverse=True)  # inputs that occur
     n, m = len(y), len(own)
