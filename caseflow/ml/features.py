@@ -52,20 +52,23 @@ def assemble(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=as_list(columns), outputCol=FEATURES)
 
 
-def key_bucket(key: str | Sequence[str], buckets: int = 10) -> Column:
-    """Stable bucket of a key: first 8 hex digits of md5(key text) modulo
-    ``buckets``. Same number in any engine with md5, independent of
-    partitioning, so a recomputed partition lands in the same part."""
-    keys = as_list(key)
-    text = col(keys[0]).cast("string") if len(keys) == 1 else F.concat_ws("\u0001", *[col(k).cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
-
-
-def split_by_key(df: DataFrame, key: str | Sequence[str], train_fraction: float = TRAIN_FRACTION,
-                 buckets: int = 10) -> tuple[DataFrame, DataFrame]:
-    """M4: deterministic train/test split by key hash (``bucket < 7`` of 10
-    for 0.7)."""
-    in_train = key_bucket(key, buckets) < int(round(train_fraction * buckets))
+NULL_KEY = "<null>"  # text that stands for a NULL key
+
+
+def key_hash(key: str | Sequence[str]) -> Column:
+    """Stable hash of a key, 0 to 2**32 - 1: first 8 hex digits of md5 of its
+    text. Same number in any engine with md5, independent of partitioning, so
+    a recomputed partition lands in the same part. A NULL key hashes too."""
+    texts = [F.coalesce(col(k).cast("string"), F.lit(NULL_KEY)) for k in as_list(key)]
+    text = texts[0] if len(texts) == 1 else F.concat_ws("\u0001", *texts)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def split_by_key(df: DataFrame, key: str | Sequence[str],
+                 train_fraction: float = TRAIN_FRACTION) -> tuple[DataFrame, DataFrame]:
+    """M4: deterministic train/test split by key hash. Any fraction; every row,
+    one with a NULL key too, is in exactly one part."""
+    in_train = key_hash(key) < F.lit(train_fraction * 2.0**32)
     return df.where(in_train), df.where(~in_train)
 
 

@@ -24,6 +24,7 @@ _ROW_BITS = 33  # layout of monotonically_increasing_id
 # (which is stored twice: as the hash key and in the row).
 _ENTRY_OVERHEAD = 64
 DEFAULT_BROADCAST_LIMIT = 128 * 1024 * 1024
+FREQUENT_PARTS = 1000  # a value with a thousandth of all cells is frequent
 
 
 @dataclass
@@ -71,25 +72,22 @@ def _code(value, code):
     return F.when(value.isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(code, F.lit(0)))
 
 
-def encode(df: DataFrame, vocab: Vocabulary, columns: Sequence[str], key: Sequence[str] | str | None = None,
+def encode(df: DataFrame, vocab: Vocabulary, columns: Sequence[str],
            broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """V2: replace each categorical value by its code (int).
 
     Small vocabulary (checked size): one broadcast hash join per column, no
-    shuffle of ``df``. Larger: the columns are unpivoted to ``(key, column,
-    value)``, joined once with the vocabulary on ``value`` (AQE splits hot
-    values), turned back into one row per ``key`` by conditional aggregation
-    and joined to the rest of the row; this needs a unique row ``key``.
+    shuffle of ``df``. Larger: the rows are written once and numbered, the
+    columns become ``(row, value)`` pairs, joined with the vocabulary on
+    ``value`` and put back by row number. Both ways give the same rows; no
+    user key is needed, so NULL and repeated keys do not matter.
     """
     cols = [c for c in as_list(columns) if c in df.columns]
     if not cols:
         return df
     if vocab.estimated_bytes <= broadcast_limit:
         return _encode_broadcast(df, vocab, cols)
-    keys = as_list(key)
-    if not keys:
-        raise ValueError("vocabulary too large to broadcast: pass a unique row key")
-    return _encode_shuffle(df, vocab, cols, keys)
+    return _encode_shuffle(df, vocab, cols)
 
 
 def _encode_broadcast(df: DataFrame, vocab: Vocabulary, cols: list[str]) -> DataFrame:
@@ -102,19 +100,24 @@ def _encode_broadcast(df: DataFrame, vocab: Vocabulary, cols: list[str]) -> Data
                         for c in df.columns])
 
 
-def _encode_shuffle(df: DataFrame, vocab: Vocabulary, cols: list[str], keys: list[str]) -> DataFrame:
+def _encode_shuffle(df: DataFrame, vocab: Vocabulary, cols: list[str]) -> DataFrame:
+    numbered = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
     names = [f"__e{i}" for i in range(len(cols))]
-    long = (df.select(*[col(k) for k in keys], *[col(c).cast("string").alias(n) for c, n in zip(cols, names)])
-            .unpivot([col(k) for k in keys], names, "__column", "value")
-            .where(F.col("value").isNotNull()))
-    coded = long.join(vocab.table, "value", "left").select(
-        *[col(k) for k in keys], "__column", F.coalesce(F.col("code"), F.lit(0)).alias("code"))
-    # back to one row per key: one conditional max per column (a single hash
-    # aggregation with one exchange on the key; ``pivot`` would plan two)
-    wide = coded.groupBy(*[col(k) for k in keys]).agg(
+    long = (numbered.select("__row", *[col(c).cast("string").alias(n) for c, n in zip(cols, names)])
+            .unpivot(["__row"], names, "__column", "value").where(F.col("value").isNotNull()))
+    # A value that holds a large part of all cells would be one join key: there are at most
+    # FREQUENT_PARTS such values, so these few are broadcast and only the others are shuffled.
+    counts = long.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    total = numbered.count() * len(cols)
+    frequent = counts.where(F.col("n") * FREQUENT_PARTS >= total).join(vocab.table, "value", "left") \
+        .select("value", F.coalesce("code", F.lit(0)).alias("code"))
+    often = long.join(F.broadcast(frequent), "value").select("__row", "__column", "code")
+    rare = long.join(F.broadcast(frequent.select("value")), "value", "left_anti") \
+        .join(vocab.table, "value", "left").select("__row", "__column", F.coalesce("code", F.lit(0)).alias("code"))
+    # back to one row per row number: one conditional max per column (a single hash
+    # aggregation with one exchange; ``pivot`` would plan two)
+    wide = often.unionByName(rare).groupBy("__row").agg(
         *[F.max(F.when(F.col("__column") == n, F.col("code"))).alias(n) for n in names])
-    joined = df.join(wide, keys, "left")
     index = dict(zip(cols, names))
-    return joined.select(*[F.when(col(c).isNull(), F.lit(None).cast("int"))
-                           .otherwise(F.coalesce(F.col(index[c]), F.lit(0))).alias(c) if c in index else col(c)
-                           for c in df.columns])
+    return numbered.join(wide, "__row", "left").select(
+        *[F.col(index[c]).alias(c) if c in index else col(c) for c in df.columns])

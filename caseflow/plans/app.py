@@ -19,7 +19,7 @@ from ..ml.models import KINDS, SHORT, evaluate_labels
 from .. import constants as C
 from ..operators.profile import DEFAULT_MAX_NULLS, DEFAULT_MIN_CONSTANCY
 from ..sources.io import read_encoded, read_event_log, write_report, write_table
-from .fixtures import LogSpec
+from .spec import LogSpec
 from .flow import PreparedTable, prepare_model_table, reassignment_histogram
 
 # The original ticket log's layout (defaults only).

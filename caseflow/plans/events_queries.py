@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.consolidate import consolidate
 from ..operators.profile import profile_columns
 from ..operators.reassign import group_count_histogram
-from ..sources.io import spread_small_input
-from .fixtures import LogSpec, table
+from .fixtures import table
+from .spec import LogSpec
 
 # Fixed choice of roles for the events stand-in.
 EVENTS = LogSpec(
@@ -27,7 +27,7 @@ EVENT_PROFILED = ("event_id", "event_type", "value", "props")
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_small_input(table(spark, sf, "events"))
+    return table(spark, sf, "events")
 
 
 def q_events_profile(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators.profile import (DEFAULT_MAX_NULLS, DEFAULT_MIN_CONSTANCY, chose
 from ..operators.reassign import group_count_histogram
 from ..operators.vocab import DEFAULT_BROADCAST_LIMIT, Vocabulary, build_vocabulary, encode
 from ..session import cut_lineage
-from .fixtures import LogSpec
+from .spec import LogSpec
 
 
 @dataclass
@@ -59,7 +59,7 @@ def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEF
     if materialize:
         cleaned = cut_lineage(cleaned)
     vocab = build_vocabulary(cleaned, categorical)
-    table = encode(cleaned, vocab, categorical, key=[spec.id_col], broadcast_limit=broadcast_limit)
+    table = encode(cleaned, vocab, categorical, broadcast_limit=broadcast_limit)
     return PreparedTable(profile, selection, chosen, categorical, vocab, table)
 
 

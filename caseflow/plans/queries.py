@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import drop_incomplete, nullify_tokens
 from ..functions.scalar import first_int, to_int
-from ..ml.evaluate import ATTEMPTS, attempts_needed, prediction_attempts
-from ..ml.features import INDEXED_LABEL, index_categories, key_bucket, split_by_key
+from ..ml.evaluate import ATTEMPTS, attempts_histogram, attempts_needed, prediction_attempts
+from ..ml.features import INDEXED_LABEL, index_categories, split_by_key
 from ..ml.models import KINDS, evaluate_labels, evaluate_model, score, train_model
 from ..operators.consolidate import consolidate
 from ..operators.profile import (constancy, entity_counts, null_ratio, open_records, profile_columns,
@@ -108,6 +108,27 @@ def q_encode(spark: SparkSession, sf: str) -> DataFrame:
     return encode(t, vocab, CATEGORICAL).select("id", "l_linenumber", *CATEGORICAL)
 
 
+# A vocabulary of thousands of values over rows with NULL and repeated keys.
+LARGE = ("customer", "day", "ostatus")
+
+
+def _large(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").selectExpr(
+        "nullif(o_custkey % 50, 0) AS id", "concat('c', o_custkey) AS customer",
+        "nullif(CAST(CAST(o_orderdate AS DATE) AS STRING), '1995-01-01') AS day", "o_orderstatus AS ostatus")
+
+
+def q_vocabulary_large(spark: SparkSession, sf: str) -> DataFrame:
+    return build_vocabulary(_large(spark, sf).repartition(16), LARGE).table
+
+
+def q_encode_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The shuffle path: no vocabulary is small enough for a limit of 0; one value in eight is unknown."""
+    t = _large(spark, sf)
+    known = build_vocabulary(t.where(F.col("customer").substr(-1, 1) != "7"), LARGE)
+    return encode(t, known, LARGE, broadcast_limit=0)
+
+
 def q_group_count_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return group_count_histogram(tickets(spark, sf), S.id_col, S.labels[0], S.null_tokens)
 
@@ -135,13 +156,17 @@ def q_attempts_needed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_attempts_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    a = _embedding_attempts(spark, sf)
-    return a.groupBy(ATTEMPTS).agg(F.count(F.lit(1)).alias("count")).orderBy(ATTEMPTS)
+    return attempts_histogram(table(spark, sf, "embeddings"), "embedding", "label")
 
 
 def q_split_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    return o.select("o_orderkey", (key_bucket("o_orderkey") < 7).alias("in_train"))
+    """Two fractions over keys of which some are NULL; a row is in one part only."""
+    o = table(spark, sf, "orders").selectExpr("o_orderkey", "nullif(o_orderkey, o_orderkey DIV 97 * 97) AS k")
+    train, test = split_by_key(o, "k")
+    more, rest = split_by_key(o, "k", 0.95)
+    flag = [x.select("o_orderkey", "k", F.lit(n).alias("part")) for x, n in
+            ((train, "train"), (test, "test"), (more, "train95"), (rest, "test95"))]
+    return flag[0].unionByName(flag[1]).unionByName(flag[2]).unionByName(flag[3])
 
 
 STRING_INDEX_COLS = ("ostatus", "priority", "sparse", "status", "grp")
@@ -208,6 +233,8 @@ QUERIES = {
     "to_int": q_to_int,
     "vocabulary": q_vocabulary,
     "encode": q_encode,
+    "vocabulary_large": q_vocabulary_large,
+    "encode_large": q_encode_large,
     "group_count_histogram": q_group_count_histogram,
     "csv_roundtrip": q_csv_roundtrip,
     "full_flow": q_full_flow,
@@ -326,6 +353,21 @@ ENCODE_SQL = (_VOCAB_CTE + "\nSELECT n.id, n.l_linenumber, "
               + " FROM n "
               + " ".join(f"LEFT JOIN vocab v_{c} ON CAST(n.{c} AS VARCHAR) = v_{c}.value" for c in CATEGORICAL))
 
+_LARGE_SQL = """l AS (SELECT nullif(o_custkey % 50, 0) AS id, 'c' || o_custkey AS customer,
+  nullif(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '1995-01-01') AS day, o_orderstatus AS ostatus FROM orders)"""
+
+
+def _large_vocab(source: str) -> str:
+    return ("v AS (SELECT value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS code FROM ("
+            + " UNION ".join(f"SELECT {c} AS value FROM {source}" for c in LARGE) + ") WHERE value IS NOT NULL)")
+
+
+LARGE_VOCAB_SQL = f"WITH {_LARGE_SQL}, {_large_vocab('l')}\nSELECT value, code FROM v"
+LARGE_ENCODE_SQL = (f"WITH {_LARGE_SQL}, known AS (SELECT * FROM l WHERE right(customer, 1) <> '7'), {_large_vocab('known')}\n"
+                    "SELECT l.id, " + ", ".join(
+                        f"CASE WHEN l.{c} IS NULL THEN NULL ELSE coalesce(v_{c}.code, 0) END AS {c}" for c in LARGE)
+                    + " FROM l " + " ".join(f"LEFT JOIN v v_{c} ON l.{c} = v_{c}.value" for c in LARGE))
+
 HISTOGRAM_SQL = f"""{T}
 SELECT n_cambios, count(*) AS count FROM (
   SELECT id, count(DISTINCT grp) AS n_cambios FROM tickets
@@ -358,7 +400,11 @@ FROM c LEFT JOIN vocab a ON c.ostatus = a.value LEFT JOIN vocab b ON c.status =
 
 ATTEMPTS_SQL = ("SELECT vec_id, label, CAST(1 + len(list_filter(embedding, lambda x: x > embedding[label + 1]))"
                 " AS INTEGER) AS Groups_assigned FROM embeddings")
-_KEY_BUCKET = "CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8) AS BIGINT) % 10"
+_KEY_HASH = "CAST('0x' || substr(md5(coalesce(CAST({k} AS VARCHAR), '<null>')), 1, 8) AS BIGINT)"
+
+
+def _in_train(k: str, fraction: float = 0.7) -> str:
+    return f"{_KEY_HASH.format(k=k)} < {fraction} * 4294967296"
 
 
 def _rank_sql(c: str, src: str) -> str:
@@ -381,7 +427,7 @@ def _naive_bayes_sql(source: str, key: str) -> str:
     categorical features ``s`` and ``c`` (in feature order) and the label ``y``."""
     return f"""WITH o AS (
   SELECT k, CAST(s AS VARCHAR) AS s, CAST(c AS VARCHAR) AS c, CAST(y AS VARCHAR) AS y,
-         {_KEY_BUCKET.format(k="k")} < 7 AS in_train FROM ({source}) src),
+         {_in_train("k")} AS in_train FROM ({source}) src),
 tr AS (SELECT * FROM o WHERE in_train), te AS (SELECT * FROM o WHERE NOT in_train),
 six AS (SELECT s AS v, row_number() OVER (ORDER BY count(*) DESC, s) - 1 AS idx FROM tr GROUP BY s),
 cix AS (SELECT c AS v, row_number() OVER (ORDER BY count(*) DESC, c) - 1 AS idx FROM tr GROUP BY c),
@@ -448,13 +494,17 @@ FROM tickets""",
     "to_int": TO_INT_SQL,
     "vocabulary": VOCAB_SQL,
     "encode": ENCODE_SQL,
+    "vocabulary_large": LARGE_VOCAB_SQL,
+    "encode_large": LARGE_ENCODE_SQL,
     "group_count_histogram": HISTOGRAM_SQL,
     "csv_roundtrip": f"{T}\nSELECT * FROM tickets",
     "full_flow": FULL_FLOW_SQL,
     "attempts_needed": ATTEMPTS_SQL,
     "attempts_histogram": (f"SELECT Groups_assigned, count(*) AS count FROM ({ATTEMPTS_SQL}) a "
                            "GROUP BY Groups_assigned ORDER BY Groups_assigned"),
-    "split_by_key": f"SELECT o_orderkey, {_KEY_BUCKET.format(k='o_orderkey')} < 7 AS in_train FROM orders",
+    "split_by_key": f"""WITH o AS (SELECT o_orderkey, nullif(o_orderkey, o_orderkey // 97 * 97) AS k FROM orders)
+SELECT o_orderkey, k, CASE WHEN {_in_train('k')} THEN 'train' ELSE 'test' END AS part FROM o
+UNION ALL SELECT o_orderkey, k, CASE WHEN {_in_train('k', 0.95)} THEN 'train95' ELSE 'test95' END FROM o""",
     "string_index": STRING_INDEX_SQL,
     "naive_bayes_score": NAIVE_BAYES_SQL,
     "naive_bayes_attempts": (f"SELECT Groups_assigned, count(*) AS count FROM ({TICKET_NB_SQL}) nb "
@@ -463,6 +513,6 @@ FROM tickets""",
        round(avg(CASE WHEN prediction = indexedLabel THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6)
          AS accuracy,
        count(*) AS n_scored,
-       (SELECT count(*) FROM orders WHERE NOT ({_KEY_BUCKET.format(k="o_orderkey")} < 7)) - count(*) AS n_skipped
+       (SELECT count(*) FROM orders WHERE NOT ({_in_train("o_orderkey")})) - count(*) AS n_skipped
 FROM ({NAIVE_BAYES_SQL}) scored""",
 }

@@ -11,55 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-# Inputs read by fewer tasks than this are small by construction (each split
-# holds at most spark.sql.files.maxPartitionBytes, 128 MB by default).
-SMALL_INPUT_SPLITS = 8
-
-
-def spread_small_input(df: DataFrame, min_splits: int = SMALL_INPUT_SPLITS) -> DataFrame:
-    """Spread a small input that is read by too few tasks over more cores.
-
-    A small file with one row group is read by one task, and every row-wise
-    step up to the first shuffle then runs on one core. When the input has
-    fewer than ``min_splits`` partitions (so it is at most a few GB) and the
-    session has more cores than that, its rows are dealt round-robin over the
-    cores -- an even spread in which a hot entity is split too, so the
-    per-entity aggregations still pre-aggregate before their own exchange.
-    Round-robin references no column, so column pruning still reaches the
-    scan, and Spark sorts each input partition first so that a retried task
-    deals the same rows. A large input (many splits) is returned unchanged.
-    """
-    try:
-        target = min(df.sparkSession.sparkContext.defaultParallelism,
-                     int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD access (e.g. a remote session): leave as is
-        return df
-    if current >= min_splits or current >= target:
-        return df
-    return df.repartition(target)
-
-
 def read_event_log(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";",
                    schema: StructType | str | None = None, header: bool = True,
-                   spread: bool = True) -> DataFrame:
+                   timestamp_format: str | None = None) -> DataFrame:
     """Read the raw event log (header CSV with ``;`` by default, or parquet).
 
-    ``spread``: apply :func:`spread_small_input`.
+    ``timestamp_format`` (a Spark pattern such as ``dd/MM/yyyy HH:mm``) says how
+    times and dates are written; without it only ISO forms are recognised, and
+    any other time stays text, which :func:`prepare_model_table` refuses as an
+    order. With ``schema`` there is no inference pass over the log.
     """
-    if fmt == "parquet":
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.parquet(path)
-        return spread_small_input(df) if spread else df
-    reader = spark.read.option("header", header).option("sep", sep)
+    reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    df = reader.format(fmt).load(path)
-    return spread_small_input(df) if spread else df
+    if fmt != "parquet":
+        reader = reader.option("header", header).option("sep", sep)
+        if schema is None:
+            reader = reader.option("inferSchema", True)
+        if timestamp_format:
+            reader = reader.option("timestampFormat", timestamp_format).option("dateFormat", timestamp_format)
+    return reader.format(fmt).load(path)
 
 
 def read_encoded(spark: SparkSession, path: str, fmt: str = "parquet",

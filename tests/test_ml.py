@@ -45,6 +45,16 @@ def test_split_by_key_is_stable(spark):
     assert sorted(r.k for r in tr.collect()) == sorted(r.k for r in tr2.collect())
 
 
+@pytest.mark.parametrize("fraction", [0.05, 0.75, 0.95])
+def test_split_loses_nothing(spark, fraction):
+    df = spark.createDataFrame([(None if i % 10 == 0 else i,) for i in range(4000)], "k long")
+    tr, te = split_by_key(df, "k", fraction)
+    assert tr.count() + te.count() == 4000
+    share = tr.where("k is not null").count() / 3600
+    assert abs(share - fraction) < 0.03
+    assert 0 in (tr.where("k is null").count(), te.where("k is null").count())
+
+
 @pytest.fixture(scope="module")
 def table(spark):
     # two informative inputs, a constant one, a numeric one, a NULL, an unseen test value

@@ -34,7 +34,7 @@ def test_codes_dense_across_many_partitions(spark):
 @pytest.mark.parametrize("limit", [1 << 30, 0])
 def test_encode_broadcast_and_shuffle_paths(spark, cats, limit):
     v = build_vocabulary(cats.where(F.col("id") < 4), ["x", "y", "w"])   # 'd' unseen
-    out = {r.id: r for r in encode(cats, v, ["x", "y", "w"], key="id", broadcast_limit=limit).collect()}
+    out = {r.id: r for r in encode(cats, v, ["x", "y", "w"], broadcast_limit=limit).collect()}
     assert (out[1].x, out[1].y, out[1].w) == (2, 1, None)               # NULL stays NULL
     assert (out[4].x, out[4].y, out[4].w) == (0, 0, 0)                  # unseen -> 0
     assert out[2].w == 4
@@ -47,10 +47,22 @@ def test_encode_is_invertible(spark, cats):
     assert sorted(map(tuple, back.collect())) == sorted((r.id, r.x) for r in cats.collect())
 
 
-def test_encode_large_needs_key(cats):
-    v = build_vocabulary(cats, ["x"])
-    with pytest.raises(ValueError):
-        encode(cats, v, ["x"], broadcast_limit=0)
+def test_both_paths_give_equal_rows(spark):
+    rows = [(None, "b", "x.1"), (None, "c", None), (1, "b", "q"), (1, "d", "b"), (1, "d", "b"), (2, None, None)]
+    df = spark.createDataFrame(rows, "id int, `a.b` string, c string").repartition(3)
+    v = build_vocabulary(df.where("c is null or c <> 'q'"), ["a.b", "c"])
+    small, large = ([tuple(r) for r in encode(df, v, ["a.b", "c"], broadcast_limit=n).collect()] for n in (1 << 30, 0))
+    assert sorted(small, key=str) == sorted(large, key=str) and len(small) == 6
+
+
+def test_frequent_value_is_not_one_join_key(spark):
+    df = spark.range(0, 20000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.format_string("v%05d", "id")).alias("s"))
+    v = build_vocabulary(df, ["s"])
+    out = encode(df, v, ["s"], broadcast_limit=0)
+    hot = v.table.where("value = 'hot'").first().code
+    assert out.where((F.col("id") % 3 == 0) & (F.col("s") != hot)).count() == 0
+    assert out.select("s").distinct().count() == v.size
 
 
 def test_csv_roundtrip_and_existing_path(spark, cats):
@@ -71,20 +83,3 @@ def test_parquet_table_and_single_file_report(spark, cats):
     rep = scratch_path(spark, "t-rep")
     write_report(cats.groupBy("x").count(), rep)
     assert read_encoded(spark, rep, fmt="csv").count() == 3
-
-
-def test_spread_small_input(spark):
-    from caseflow.sources import spread_small_input
-    from tests.conftest import SF_SMALL
-
-    small = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    assert small.rdd.getNumPartitions() < 8
-    spread = spread_small_input(small)
-    assert spread.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism,
-                                                int(spark.conf.get("spark.sql.shuffle.partitions")))
-    plan = spread.select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" in plan and "ReadSchema: struct<l_orderkey:bigint>" in plan
-    wide = spark.range(0, 100, numPartitions=16)
-    assert spread_small_input(wide) is wide
-    assert sorted(r.l_orderkey for r in spread.select("l_orderkey").collect()) == \
-        sorted(r.l_orderkey for r in small.select("l_orderkey").collect())
