@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from ..names import as_list, col
 
@@ -15,6 +16,14 @@ def order_columns(inputs: Sequence[str], labels: Sequence[str]) -> list[str]:
     return sorted(as_list(inputs)) + sorted(as_list(labels))
 
 
+def _orderable(dtype: DataType) -> bool:
+    if isinstance(dtype, ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (MapType, VariantType))
+
+
 def consolidate(df: DataFrame, id_col: str, inputs: Sequence[str], labels: Sequence[str],
                 order_by: Sequence[str], keep_id: bool = True) -> DataFrame:
     """Reduce the log to one row per entity.
@@ -22,29 +31,35 @@ def consolidate(df: DataFrame, id_col: str, inputs: Sequence[str], labels: Seque
     The first row (smallest ``order_by``) supplies every input, the last row
     supplies every label; NULL values are taken as they are, not skipped. The
     order is a struct, which is never NULL, so a NULL time counts as the
-    earliest. ``order_by`` must be unique within an entity (time plus
-    tie-breakers) for the result to be deterministic.
+    earliest. Rows that tie on ``order_by`` are ordered by the values asked
+    for (inputs A-Z for the first row, labels A-Z for the last), so any
+    ``order_by`` gives one result, however the log is partitioned.
 
-    ``min_by``/``max_by`` aggregate partially before the shuffle, so a hot
-    entity costs one partial row per map task, and an input already clustered
-    by ``id_col`` (a bucketed table, a join on the key) needs no shuffle.
+    ``min``/``max`` aggregate partially before the shuffle, so a hot entity
+    costs one partial row per map task.
     """
     inputs, labels, order_by = as_list(inputs), as_list(labels), as_list(order_by)
     labels = [c for c in labels if c != id_col]
     inputs = [c for c in inputs if c not in labels and c != id_col]
     if not order_by:
         raise ValueError("order_by is required: first/last need an explicit order")
-    order = F.struct(*[col(c) for c in order_by])
-    aggs = []
-    if inputs:
-        aggs.append(F.min_by(F.struct(*[col(c).alias(c) for c in inputs]), order).alias("__first"))
-    if labels:
-        aggs.append(F.max_by(F.struct(*[col(c).alias(c) for c in labels]), order).alias("__last"))
-    if not aggs:
+    if not inputs and not labels:
         raise ValueError("nothing to consolidate")
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def extreme(pick, pick_by, columns: list[str], name: str):
+        order = [col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
+        ties = [c for c in columns if _orderable(types[c])]
+        if ties == columns:  # order and values in one struct: no second buffer
+            return pick(F.struct(*order, F.struct(*[col(c).alias(c) for c in columns]).alias("values"))) \
+                .getField("values").alias(name)
+        order += [col(c).alias(f"t{i}") for i, c in enumerate(ties)]
+        return pick_by(F.struct(*[col(c).alias(c) for c in columns]), F.struct(*order)).alias(name)
+
+    columns = order_columns(inputs, labels)
+    first, last = columns[:len(inputs)], columns[len(inputs):]
+    aggs = [extreme(F.min, F.min_by, first, "__first")] if first else []
+    aggs += [extreme(F.max, F.max_by, last, "__last")] if last else []
     grouped = df.groupBy(col(id_col)).agg(*aggs)
-    out = [F.col("__first").getField(c).alias(c) for c in sorted(inputs)]
-    out += [F.col("__last").getField(c).alias(c) for c in sorted(labels)]
-    if keep_id:
-        out.insert(0, col(id_col))
-    return grouped.select(*out)
+    out = [F.col("__first" if c in first else "__last").getField(c).alias(c) for c in columns]
+    return grouped.select(*([col(id_col)] if keep_id else []), *out)

@@ -39,9 +39,11 @@ DEFAULT_SPEC = LogSpec(
 
 def transform(log: DataFrame, out_dir: str, spec: LogSpec = DEFAULT_SPEC, fmt: str = "parquet",
               min_constancy: float = DEFAULT_MIN_CONSTANCY, max_nulls: float = DEFAULT_MAX_NULLS,
-              mode: str = "errorifexists", exact_profile: bool = False) -> PreparedTable:
+              mode: str = "errorifexists", exact_profile: bool = False,
+              text_order: bool = False) -> PreparedTable:
     """Write ``<out>/dataML`` (one row per entity) and ``<out>/n_groups``."""
-    prepared = prepare_model_table(log, spec, min_constancy, max_nulls, exact_profile=exact_profile)
+    prepared = prepare_model_table(log, spec, min_constancy, max_nulls, exact_profile=exact_profile,
+                                   text_order=text_order)
     write_table(prepared.table, f"{out_dir}/{C.MODEL_TABLE}", fmt=fmt, mode=mode)
     write_report(reassignment_histogram(log, spec), f"{out_dir}/{C.GROUPS_REPORT}", mode=mode)
     return prepared
@@ -86,6 +88,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     t.add_argument("--log", required=True)
     t.add_argument("--log-format", default="csv", choices=["csv", "parquet"])
     t.add_argument("--sep", default=";")
+    t.add_argument("--schema", help="column names and types, e.g. 'ID int, DATE timestamp'; no inference pass")
+    t.add_argument("--timestamp-format", help="how times are written, e.g. 'dd/MM/yyyy HH:mm'")
+    t.add_argument("--text-order", action="store_true", help="order by a text column all the same")
     t.add_argument("--min-constancy", type=float, default=DEFAULT_MIN_CONSTANCY)
     t.add_argument("--max-nulls", type=float, default=DEFAULT_MAX_NULLS)
     t.add_argument("--exact-profile", action="store_true",
@@ -98,9 +103,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName("caseflow").getOrCreate()
     spec = _spec_from_args(a)
     if a.cmd == "transform":
-        log = read_event_log(spark, a.log, fmt=a.log_format, sep=a.sep)
+        log = read_event_log(spark, a.log, fmt=a.log_format, sep=a.sep, schema=a.schema,
+                             timestamp_format=a.timestamp_format)
         transform(log, a.out, spec, fmt=a.format, min_constancy=a.min_constancy, max_nulls=a.max_nulls,
-                  exact_profile=a.exact_profile)
+                  exact_profile=a.exact_profile, text_order=a.text_order)
     else:
         by_short = {v: k for k, v in SHORT.items()}
         kinds = [by_short.get(m, m) for m in a.models]

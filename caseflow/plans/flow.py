@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType
 
 from ..functions.clean import clean_table
 from ..operators.consolidate import consolidate
@@ -30,9 +31,13 @@ class PreparedTable:
 def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEFAULT_MIN_CONSTANCY,
                         max_nulls: float = DEFAULT_MAX_NULLS, inputs: Sequence[str] | None = None,
                         broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                        materialize: bool = True, exact_profile: bool = False) -> PreparedTable:
+                        materialize: bool = True, exact_profile: bool = False,
+                        text_order: bool = False) -> PreparedTable:
     """Profile -> select -> consolidate -> clean -> vocabulary -> encode.
 
+    A text column as first ``order_by`` column is refused unless ``text_order``
+    is set: times that were not recognised as times would sort by characters.
+
     Output: one row per entity; the key, the kept inputs A-Z, then the labels
     A-Z, all int. The key is kept (the original dropped it) so a model split
     can hash it.
@@ -44,6 +49,8 @@ def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEF
     (``materialize``) so that the vocabulary and the encoding do not repeat
     the consolidation, and a lost executor does not either.
     """
+    if isinstance(df.schema[spec.order_by[0]].dataType, StringType) and not text_order:
+        raise ValueError(f"{spec.order_by[0]!r} is text: give a schema or a timestamp format, or set text_order")
     profile = profile_columns(df, spec.id_col, spec.status_col, spec.closed, spec.null_tokens,
                               skip=spec.skip, exact=exact_profile)
     if inputs is None:

@@ -72,6 +72,12 @@ def q_consolidate_first_last(spark: SparkSession, sf: str) -> DataFrame:
     return consolidate(tickets(spark, sf), S.id_col, CONSOLIDATE_INPUTS, S.labels, S.order_by)
 
 
+def q_consolidate_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordered by the time alone, on which rows of an order tie."""
+    t = tickets(spark, sf).withColumn("ts", F.date_trunc("year", "ts"))
+    return consolidate(t, S.id_col, CONSOLIDATE_INPUTS, S.labels, ["ts"])
+
+
 def q_nullify_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return nullify_tokens(tickets(spark, sf), S.null_tokens)
 
@@ -227,6 +233,7 @@ QUERIES = {
     "column_profile": q_column_profile,
     "selected_inputs": q_selected_inputs,
     "consolidate_first_last": q_consolidate_first_last,
+    "consolidate_by_time": q_consolidate_by_time,
     "nullify_tokens": q_nullify_tokens,
     "drop_incomplete": q_drop_incomplete,
     "first_int": q_first_int,
@@ -313,6 +320,14 @@ r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_ORDER}) AS rf,
 SELECT f.id, f.l_quantity, f.ostatus, f.priority, f.sparse, f.status, l.grp
 FROM (SELECT * FROM r WHERE rf = 1) f JOIN (SELECT * FROM r WHERE rl = 1) l ON f.id = l.id"""
 
+_TIES = ", ".join(f"{c} NULLS FIRST" for c in sorted(CONSOLIDATE_INPUTS))
+CONSOLIDATE_BY_TIME_SQL = f"""{T},
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY year(ts) NULLS FIRST, {_TIES}) AS rf,
+               row_number() OVER (PARTITION BY id ORDER BY year(ts) DESC NULLS LAST, grp DESC NULLS LAST) AS rl
+      FROM tickets)
+SELECT f.id, f.l_quantity, f.ostatus, f.priority, f.sparse, f.status, l.grp
+FROM (SELECT * FROM r WHERE rf = 1) f JOIN (SELECT * FROM r WHERE rl = 1) l ON f.id = l.id"""
+
 ALL_TICKET_COLS = ("id", "ts", "status", "grp", "priority", "ostatus", "l_quantity", "l_linenumber",
                    "l_partkey", "l_suppkey", "sparse")
 
@@ -488,6 +503,7 @@ FROM tickets""",
     "column_profile": PROFILE_SQL,
     "selected_inputs": SELECTED_SQL,
     "consolidate_first_last": CONSOLIDATE_SQL,
+    "consolidate_by_time": CONSOLIDATE_BY_TIME_SQL,
     "nullify_tokens": NULLIFY_SQL,
     "drop_incomplete": DROP_INCOMPLETE_SQL,
     "first_int": FIRST_INT_SQL,

@@ -2,7 +2,9 @@
 
 import random
 
-from caseflow.plans.app import DEFAULT_SPEC, train, transform
+import pytest
+
+from caseflow.plans.app import DEFAULT_SPEC, main, train, transform
 from caseflow.session import scratch_path
 from caseflow.sources import read_encoded, read_event_log, write_table
 
@@ -44,8 +46,6 @@ def test_transform_then_train(spark):
 
 
 def test_command_line(spark):
-    from caseflow.plans.app import main
-
     cols = "ID int, DATE string, Status string, Category string, Urgency string, Impact string, " \
            "Priority string, `Priority Weight` int, `Assigned Group` string, Noise string"
     src = scratch_path(spark, "cli-log")
@@ -55,3 +55,20 @@ def test_command_line(spark):
     main(["train", "--table", f"{out}/dataML", "--out", out, "--models", "NB", "DT"])
     assert read_encoded(spark, f"{out}/dataML").count() == 120
     assert read_encoded(spark, f"{out}/n_groups_DT", fmt="csv").count() >= 1
+
+
+def test_day_first_times(spark):
+    """31/12/2016 comes before 02/01/2017 once the format is given; as text it is refused."""
+    cols = "ID int, DATE string, Status string, Category string, `Assigned Group` string"
+    rows = [(i, d, "Assigned (1)", "c", g) for i in range(20) for d, g in (("31/12/2016", "old"), ("02/01/2017", "new"))]
+    src = scratch_path(spark, "day-first")
+    write_table(spark.createDataFrame(rows, cols), src, fmt="csv", sep=";")
+    with pytest.raises(ValueError, match="text"):
+        transform(read_event_log(spark, src), scratch_path(spark, "refused"), DEFAULT_SPEC)
+    out = scratch_path(spark, "day-first-out")
+    main(["transform", "--log", src, "--out", out, "--timestamp-format", "dd/MM/yyyy",
+          "--schema", "ID int, DATE timestamp, Status string, Category string, `Assigned Group` string"])
+    log = read_event_log(spark, src, timestamp_format="dd/MM/yyyy")
+    prepared = transform(log, scratch_path(spark, "inferred"), DEFAULT_SPEC)
+    names = {r.value: r.code for r in prepared.vocabulary.table.collect()}
+    assert [r["Assigned Group"] for r in prepared.table.collect()] == [names["new"]] * 20

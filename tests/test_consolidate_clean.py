@@ -115,3 +115,16 @@ def test_dotted_names_through_flow(spark):
     v = build_vocabulary(cleaned, cats)
     out = {r["e.id"]: tuple(r) for r in encode(cleaned, v, cats).collect()}
     assert out == {1: (1, 3, 2, 2), 2: (2, None, None, 1)}   # byte order: G=1, H=2, a=3
+
+
+def test_tied_times_give_one_result_however_partitioned(spark):
+    rows = [(i // 8, 5 if i % 3 else None, f"v{(i * 37) % 11}", f"g{(i * 13) % 7}") for i in range(800)]
+    df = spark.createDataFrame(rows, "id int, t int, a string, g string")
+    results = {tuple(sorted(map(tuple, consolidate(df.repartition(n), "id", ["a"], ["g"], ["t"]).collect())))
+               for n in (1, 3, 8)}
+    assert len(results) == 1
+
+
+def test_map_columns_are_carried(spark):
+    df = spark.sql("SELECT 1 AS id, x AS t, map('k', x) AS m, 'g' AS g FROM VALUES (2), (1) AS v(x)")
+    assert consolidate(df, "id", ["m"], ["g"], ["t"]).first().m == {"k": 1}
