@@ -52,3 +52,28 @@ def accuracy_metrics(test: DataFrame, predictions: DataFrame, label_col: str = I
     both = scored.unionByName(total, allowMissingColumns=True)
     return both.agg(F.max("accuracy").alias("accuracy"), F.max("n_scored").alias("n_scored"),
                     (F.max("n_test") - F.max("n_scored")).alias("n_skipped"))
+
+
+def summarise(test: DataFrame, predictions: DataFrame, probability_col: str = "probability",
+              label_col: str = INDEXED_LABEL) -> DataFrame:
+    """``(Groups_assigned, hit, count)`` of the scored rows, and one row with
+    ``n_test`` only: all that accuracy and histogram need, from one scan."""
+    scored = predictions.select(prediction_attempts(predictions, probability_col, label_col).alias(ATTEMPTS),
+                                (F.col("prediction") == F.col(label_col)).alias("hit"))
+    total = test.agg(F.count(F.lit(1)).alias("n_test"))
+    return scored.groupBy(ATTEMPTS, "hit").agg(F.count(F.lit(1)).alias("count")) \
+        .unionByName(total, allowMissingColumns=True)
+
+
+def summary_histogram(summary: DataFrame) -> DataFrame:
+    """A12 from a summary."""
+    return summary.where(F.col("n_test").isNull()).groupBy(ATTEMPTS).agg(F.sum("count").alias("count")) \
+        .orderBy(ATTEMPTS)
+
+
+def summary_metrics(summary: DataFrame) -> DataFrame:
+    """A13 from a summary: one row ``(accuracy, n_scored, n_skipped)``."""
+    scored = F.coalesce(F.sum("count"), F.lit(0))
+    return summary.agg(F.try_divide(F.sum(F.when(F.col("hit"), F.col("count")).otherwise(0)).cast("double"),
+                                    F.sum("count").cast("double")).alias("accuracy"),
+                       scored.alias("n_scored"), (F.max("n_test") - scored).alias("n_skipped"))

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from ..constants import FOREST_TREES, HIDDEN_UNITS, MODEL_SHORT_NAMES, TRAIN_FRACTION
 from ..functions.scalar import to_double
-from ..names import as_list, col
-from .evaluate import accuracy_metrics, attempts_histogram
+from ..names import as_list, col, quote
+from ..session import cut_lineage
+from .evaluate import summarise, summary_histogram, summary_metrics
 from .features import (FEATURES, INDEXED_LABEL, LABEL, assemble, encoded_name, index_categories,
                        indexed_name, one_hot, split_by_key)
 
@@ -78,9 +79,9 @@ def train_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical
                 seed: int = 42, num_classes: int | None = None) -> TrainedModel:
     """Fit indexers, (one-hot), assembler and classifier on ``train``.
 
-    Categorical columns with fewer than two values in the training part
-    carry no information and would break the one-hot encoder; they are left
-    out of the features (Q11).
+    A categorical column with one value in the training part would break the
+    one-hot encoder; where there is one, it is left out (Q11) and not indexed
+    either, so a test row with another value there is still scored.
     """
     numeric, categorical = as_list(numeric), as_list(categorical)
     if kind == "multilayer_perceptron" and numeric:
@@ -90,26 +91,26 @@ def train_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical
                                for c in train.columns])
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        indexer = index_categories(categorical + [LABEL]).fit(train)
-        labels_by_col = dict(zip(categorical + [LABEL], indexer.labelsArray))
-        useful = [c for c in categorical if len(labels_by_col[c]) >= 2]
+        used = categorical
+        if kind in ("logistic_regression", "naive_bayes") and categorical:
+            varied = train.agg(*[(F.min(col(c)) != F.max(col(c))).alias(f"v{i}") for i, c in enumerate(categorical)]).first()
+            used = [c for c, v in zip(categorical, varied) if v]
+        indexer = index_categories(used + [LABEL]).fit(train)
+        label_values = list(indexer.labelsArray[-1])
         stages: list = [indexer]
         if kind in ("logistic_regression", "naive_bayes"):
-            if useful:
-                stages.append(one_hot([indexed_name(c) for c in useful]))
-            feats = numeric + [encoded_name(c) for c in useful]
-        elif kind == "multilayer_perceptron":
-            feats = numeric + [indexed_name(c) for c in useful]
+            if used:
+                stages.append(one_hot([indexed_name(c) for c in used]))
+            feats = numeric + [encoded_name(c) for c in used]
         else:
-            feats = numeric + [indexed_name(c) for c in useful]
+            feats = numeric + [indexed_name(c) for c in used]
         if not feats:
             raise ValueError("no usable input columns")
-        n_classes = num_classes or len(labels_by_col[LABEL])
-        stages += [assemble(feats), _classifier(kind, len(feats), n_classes, seed)]
+        stages += [assemble(feats), _classifier(kind, len(feats), num_classes or len(label_values), seed)]
         model = Pipeline(stages=stages).fit(train)
     finally:
         train.unpersist()
-    return TrainedModel(kind, model, feats, list(labels_by_col[LABEL]))
+    return TrainedModel(kind, model, feats, label_values)
 
 
 def score(model: TrainedModel, test: DataFrame) -> DataFrame:
@@ -117,12 +118,14 @@ def score(model: TrainedModel, test: DataFrame) -> DataFrame:
     return model.model.transform(test)
 
 
-def model_frame(table: DataFrame, label: str, labels: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
+def model_frame(table: DataFrame, label: str, labels: Sequence[str], drop: Sequence[str] = (),
+                key: str | None = None) -> DataFrame:
     """Keep one label (renamed ``label``), drop the others and the
-    not-relevant columns, drop incomplete rows (P10)."""
+    not-relevant columns, drop rows that miss a value (P10). The entity key is
+    no input, so a NULL key is no missing value."""
     others = [c for c in as_list(labels) if c != label] + [c for c in as_list(drop) if c in table.columns]
     frame = table.drop(*others).withColumnRenamed(label, LABEL)
-    return frame.na.drop(how="any")
+    return frame.na.drop(how="any", subset=[quote(c) for c in frame.columns if c != key])
 
 
 @dataclass
@@ -135,30 +138,41 @@ class Evaluation:
     histogram: DataFrame
 
 
+def _evaluate(frame: DataFrame, label: str, kind: str, key: str, numeric: Sequence[str], num_classes: int,
+              train_fraction: float, seed: int) -> Evaluation:
+    """Train and score on a written frame; one aggregation of the predictions
+    (a row per attempt number at most twice) feeds accuracy and histogram."""
+    nums, cats = feature_roles(frame.columns, kind, numeric, exclude=[key])
+    train, test = split_by_key(frame, key, train_fraction)
+    trained = train_model(train, kind, nums, cats, seed=seed, num_classes=num_classes)
+    pred = score(trained, test)
+    summary = cut_lineage(summarise(test, pred))
+    metrics = summary_metrics(summary).select(F.lit(label).alias("label_name"), F.lit(kind).alias("model"),
+                                              "accuracy", "n_scored", "n_skipped")
+    return Evaluation(label, kind, trained, pred, metrics, summary_histogram(summary))
+
+
 def evaluate_model(table: DataFrame, label: str, labels: Sequence[str], kind: str, key: str,
                    numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = TRAIN_FRACTION,
                    seed: int = 42) -> Evaluation:
     """E3 for one label and one model kind: split by key, train, score,
     accuracy and attempts histogram."""
-    frame = model_frame(table, label, labels, drop)
-    nums, cats = feature_roles(frame.columns, kind, numeric, exclude=[key])
-    num_classes = None
-    if kind == "multilayer_perceptron":
-        # output width counts the labels of the whole set (Q19); one small aggregate
-        num_classes = frame.select(col(LABEL)).distinct().count()
-    train, test = split_by_key(frame, key, train_fraction)
-    trained = train_model(train, kind, nums, cats, seed=seed, num_classes=num_classes)
-    pred = score(trained, test)
-    metrics = accuracy_metrics(test, pred).select(F.lit(label).alias("label_name"), F.lit(kind).alias("model"),
-                                                  "accuracy", "n_scored", "n_skipped")
-    return Evaluation(label, kind, trained, pred, metrics, attempts_histogram(pred))
+    return evaluate_labels(table, [label], [kind], key, numeric, drop, train_fraction, seed, all_labels=labels)[1][0]
 
 
 def evaluate_labels(table: DataFrame, labels: Sequence[str], kinds: Sequence[str], key: str,
                     numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = TRAIN_FRACTION,
-                    seed: int = 42) -> tuple[DataFrame, list[Evaluation]]:
-    """Every label x every model kind; metrics as one DataFrame."""
-    runs = [evaluate_model(table, lab, labels, k, key, numeric, drop, train_fraction, seed)
-            for lab in as_list(labels) for k in as_list(kinds)]
-    metrics = reduce(DataFrame.unionByName, [r.metrics for r in runs])
-    return metrics, runs
+                    seed: int = 42, all_labels: Sequence[str] | None = None) -> tuple[DataFrame, list[Evaluation]]:
+    """Every label x every model kind; metrics as one DataFrame. The
+    model frame of a label is written once and serves all kinds; the label
+    count (the MLP's output width, over the whole set, Q19) is taken from it."""
+    runs = []
+    for label in as_list(labels):
+        frame = cut_lineage(model_frame(table, label, all_labels or labels, drop, key))
+        num_classes = None
+        for kind in as_list(kinds):
+            if kind == "multilayer_perceptron" and num_classes is None:
+                num_classes = frame.select(col(LABEL)).distinct().count()
+            runs.append(_evaluate(frame, label, kind, key, numeric,
+                                  num_classes if kind == "multilayer_perceptron" else None, train_fraction, seed))
+    return reduce(DataFrame.unionByName, [r.metrics for r in runs]), runs

@@ -8,20 +8,14 @@ input:
 * null ratio -- over *all* records, the share of rows that are NULL or equal
   to a null token.
 
-Both are computed for all columns in one aggregation instead of one job per
-column. Constancy uses the flag ``count(c) = 0 OR (count(c) = n AND min(c) =
-max(c))`` per entity, which equals "one distinct (entity, value) pair" and
-needs no ``count(DISTINCT)`` (which would plan an ``Expand`` of k copies of
-every row).
-
-Fixed-width values (numbers, dates, timestamps, booleans) are compared by
-their own ``min``/``max``. Variable-width values (text, binary, wide
-decimals, nested) would force a sort-based, non-codegen aggregation over
-the whole log; by default they are compared through a 96-bit fingerprint
-(xxhash64 and murmur3 of the value), which keeps the aggregation hash-based
-with fixed-width buffers. Two different values of one entity would have to
-collide in both functions to be taken as equal (about 2**-96 per pair).
-``exact=True`` compares the values themselves instead.
+Both are computed for all columns at once instead of one job per column.
+"One distinct value" is "smallest equals largest" per entity, which needs no
+``count(DISTINCT)`` (that would plan an ``Expand`` of k copies of every row).
+Values are compared through a 64-bit hash (xxhash64), so every column costs
+two fixed-width slots of a hash aggregation: two different values of one
+entity are taken as equal if their hashes are (about 2**-64 per pair).
+``exact=True`` compares the values themselves, at the price of a sort-based
+aggregation for text.
 """
 
 from __future__ import annotations
@@ -30,9 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType,
-                               FloatType, IntegerType, LongType, ShortType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import DataType
 
 from ..constants import CLOSED_STATUSES, MAX_NULLS, MIN_CONSTANCY, NULL_TOKENS
 from ..functions.scalar import tokens_for_type
@@ -94,14 +86,6 @@ def entity_counts(df: DataFrame, id_col: str, status_col: str,
     )
 
 
-_FIXED = (BooleanType, ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DateType,
-          TimestampType, TimestampNTZType)
-
-
-def _fixed_width(dtype: DataType) -> bool:
-    return isinstance(dtype, _FIXED) or (isinstance(dtype, DecimalType) and dtype.precision <= 18)
-
-
 # The per-column aggregates are written as SQL text: one expression per
 # aggregate instead of dozens of driver round trips per column.
 
@@ -112,19 +96,13 @@ def _sql_missing(q: str, tokens: Sequence[str], dtype: DataType | None = None) -
     return f"({q} IS NULL OR coalesce(CAST({q} AS STRING) IN ({', '.join(map(literal, tokens))}), false))"
 
 
-def _sql_constant_flag(q: str, dtype: DataType, where: str, exact: bool) -> str:
-    """Per entity, over rows where ``where`` holds: one distinct value of ``q``
-    (NULL included). Aggregate expression, result 0/1 as bigint."""
-    n = f"count(CASE WHEN {where} THEN 1 END)"
-    nn = f"count(CASE WHEN {where} THEN {q} END)"
-    if exact or _fixed_width(dtype):
-        comparands = [q]
-    else:
-        comparands = [f"xxhash64({q})", f"hash({q})"]
-    same = " AND ".join(
-        f"coalesce(min(CASE WHEN {where} AND {q} IS NOT NULL THEN {v} END) = "
-        f"max(CASE WHEN {where} AND {q} IS NOT NULL THEN {v} END), false)" for v in comparands)
-    return f"CAST(({nn} = 0) OR ({nn} = {n} AND {same}) AS BIGINT)"
+def _sql_constant_flag(q: str, exact: bool) -> str:
+    """Per entity: one distinct value of ``q`` (NULL included). Aggregate
+    expression, result 0/1 as bigint. A hash has no NULL (NULL hashes to a
+    value of its own), so its smallest and largest are all that is shuffled."""
+    if exact:
+        return (f"CAST(count({q}) = 0 OR (count({q}) = count(1) AND coalesce(min({q}) = max({q}), false)) AS BIGINT)")
+    return f"CAST(min(xxhash64({q})) = max(xxhash64({q})) AS BIGINT)"
 
 
 def _empty(df: DataFrame, schema: str) -> DataFrame:
@@ -151,11 +129,10 @@ def constancy(df: DataFrame, id_col: str, status_col: str,
     cols = as_list(columns) if columns is not None else profiled_columns(df, id_col, skip)
     if not cols:
         return _empty(df, "column_name string, constancy double")
-    types = {f.name: f.dataType for f in df.schema.fields}
     needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
     opened = open_records(df.select(*[col(c) for c in needed]), status_col, closed)
     per_id = opened.groupBy(col(id_col)).agg(
-        *[F.expr(_sql_constant_flag(quote(c), types[c], "true", exact)).alias(f"k{i}") for i, c in enumerate(cols)])
+        *[F.expr(_sql_constant_flag(quote(c), exact)).alias(f"k{i}") for i, c in enumerate(cols)])
     totals = per_id.agg(F.count(F.lit(1)).alias("ids"),
                         *[F.sum(f"k{i}").alias(f"k{i}") for i in range(len(cols))])
     return totals.selectExpr(_rows(cols, lambda i, c: [
@@ -183,38 +160,22 @@ def profile_columns(df: DataFrame, id_col: str, status_col: str,
                     tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
                     skip: Sequence[str] = (), columns: Sequence[str] | None = None,
                     exact: bool = False) -> DataFrame:
-    """``(column_name, position, constancy, null_ratio)`` in one scan.
+    """``(column_name, position, constancy, null_ratio)``.
 
-    A single aggregation by entity carries, per column, the missing-value
-    count over all rows and the constancy flag over the open rows only; a
-    global aggregation then turns them into ratios. ``position`` is the
-    1-based place of the column in the input schema.
+    Two aggregates: the missing-value counts over all rows leave one row per
+    task; the constancy reads the open rows only and shuffles, per entity and
+    task, two hashes a column. ``position`` is the 1-based place of the column
+    in the input schema.
     """
     cols = as_list(columns) if columns is not None else profiled_columns(df, id_col, skip)
     if not cols:
         return _empty(df, "column_name string, position int, constancy double, null_ratio double")
-    types = {f.name: f.dataType for f in df.schema.fields}
-    needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
-    opened = is_open(status_col, closed, types[status_col])
-    base = df.select(*[col(c) for c in needed], opened.alias("__open"))
-    aggs = [F.count(F.lit(1)).alias("n"), F.expr("count(CASE WHEN __open THEN 1 END)").alias("n_open")]
-    for i, c in enumerate(cols):
-        q = quote(c)
-        aggs.append(F.expr(f"count(CASE WHEN {_sql_missing(q, tokens, types[c])} THEN 1 END)").alias(f"m{i}"))
-        aggs.append(F.expr(_sql_constant_flag(q, types[c], "__open", exact)).alias(f"k{i}"))
-    per_id = base.groupBy(col(id_col)).agg(*aggs)
-    totals = per_id.agg(
-        F.sum("n").alias("n"),
-        F.expr("count(CASE WHEN n_open > 0 THEN 1 END)").alias("ids"),
-        *[F.sum(f"m{i}").alias(f"m{i}") for i in range(len(cols))],
-        *[F.expr(f"sum(CASE WHEN n_open > 0 THEN k{i} END)").alias(f"k{i}") for i in range(len(cols))],
-    )
     position = {c: i + 1 for i, c in enumerate(df.columns)}
-    return totals.selectExpr(_rows(cols, lambda i, c: [
-        ("column_name", literal(c)),
-        ("position", f"CAST({position.get(c)} AS INT)" if c in position else "CAST(NULL AS INT)"),
-        ("constancy", f"try_divide(CAST(coalesce(k{i}, 0) AS DOUBLE), CAST(ids AS DOUBLE))"),
-        ("null_ratio", f"try_divide(CAST(m{i} AS DOUBLE), CAST(n AS DOUBLE))")]))
+    place = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(position.get(c)).cast("int"))])
+    same = constancy(df, id_col, status_col, closed, columns=cols, exact=exact)
+    return same.join(F.broadcast(null_ratio(df, cols, tokens)), "column_name") \
+        .select("column_name", place[F.col("column_name")].alias("position"),
+                F.col("constancy"), "null_ratio")
 
 
 def select_inputs(profile: DataFrame, labels: Sequence[str],

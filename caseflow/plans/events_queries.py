@@ -42,7 +42,9 @@ def q_events_consolidate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_events_group_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return group_count_histogram(events(spark, sf), EVENTS.id_col, "event_type", [])
+    """Groups are price bands of the event's value: their number varies by user."""
+    e = events(spark, sf).selectExpr("user_id", "event_type", "CAST(floor(value / 10) AS STRING) AS band")
+    return group_count_histogram(e.where("event_type = 'purchase'"), EVENTS.id_col, "band", [])
 
 
 QUERIES = {
@@ -75,6 +77,7 @@ ORACLES = {
 SELECT f.user_id, f.props, f.value, l.event_type
 FROM (SELECT * FROM r WHERE rf = 1) f JOIN (SELECT * FROM r WHERE rl = 1) l ON f.user_id = l.user_id""",
     "events_group_histogram": """SELECT n_cambios, count(*) AS count FROM (
-  SELECT user_id, count(DISTINCT event_type) AS n_cambios FROM events WHERE event_type IS NOT NULL GROUP BY user_id) g
+  SELECT user_id, count(DISTINCT floor(value / 10)) AS n_cambios FROM events
+  WHERE event_type = 'purchase' AND value IS NOT NULL GROUP BY user_id) g
 GROUP BY n_cambios ORDER BY n_cambios""",
 }

@@ -7,11 +7,12 @@ sides; every computed column has the same alias in Spark and in SQL.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import drop_incomplete, nullify_tokens
-from ..functions.scalar import first_int, to_int
+from ..functions.scalar import first_int, to_double, to_int
 from ..ml.evaluate import ATTEMPTS, attempts_histogram, attempts_needed, prediction_attempts
 from ..ml.features import INDEXED_LABEL, index_categories, split_by_key
 from ..ml.models import KINDS, evaluate_labels, evaluate_model, score, train_model
@@ -21,7 +22,7 @@ from ..operators.profile import (constancy, entity_counts, null_ratio, open_reco
 from ..operators.reassign import group_count_histogram
 from ..operators.vocab import build_vocabulary, encode
 from ..session import scratch_path
-from ..sources.io import read_event_log, write_table
+from ..sources.io import read_encoded, read_event_log, write_report, write_table
 from .fixtures import TICKETS, TICKETS_SQL, table, tickets
 from .flow import prepare_model_table
 
@@ -219,12 +220,79 @@ def _attempts_query(kind: str):
     return run
 
 
+# Labels that the inputs determine: a right model scores every held-out row at the first attempt.
+SEPARABLE_LABELS = ("band", "side")
+SEPARABLE_KINDS = tuple(k for k in KINDS if k != "naive_bayes")
+
+
+def _separable(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS id", "CAST(o_custkey % 7 AS INT) AS seven", "CAST(o_custkey % 3 AS INT) AS three",
+        "CASE WHEN o_custkey % 7 < 2 THEN 1 WHEN o_custkey % 7 < 5 THEN 2 ELSE 3 END AS band",
+        "CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 2 END AS side")
+
+
+def _separable_query(kind: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return evaluate_model(_separable(spark, sf), "band", SEPARABLE_LABELS, kind, "id").histogram
+    run.__name__ = f"q_{kind}_separable"
+    return run
+
+
 def q_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    metrics, _ = evaluate_labels(_separable(spark, sf), SEPARABLE_LABELS, SEPARABLE_KINDS, "id")
+    return metrics
+
+
+def q_saturated_logreg(spark: SparkSession, sf: str) -> DataFrame:
+    """One categorical input: the fitted probabilities are the class shares of
+    each of its values. Two classes with the same count differ by rounding
+    only, so probabilities closer than half a row count as equal."""
+    t = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("label"))
+    ev = evaluate_model(t, "label", ["label"], "logistic_regression", "o_orderkey")
+    half = 0.5 / split_by_key(t, "o_orderkey")[0].count()
+    p = vector_to_array(F.col("probability"))
+    own = F.element_at(p, F.col(INDEXED_LABEL).cast("int") + 1)
+    attempts = (F.size(F.filter(p, lambda x: x > own + half)) + 1).alias(ATTEMPTS)
+    return ev.predictions.select(attempts).groupBy(ATTEMPTS).agg(F.count(F.lit(1)).alias("count")).orderBy(ATTEMPTS)
+
+
+def q_tree_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree over few cells predicts each cell's most frequent training label."""
+    ev = evaluate_model(_model_table(spark, sf), S.labels[0], S.labels, "decision_tree", S.id_col,
+                        numeric=S.numeric, drop=S.not_relevant)
+    names = F.array(*[F.lit(x) for x in ev.model.label_values])
+    return ev.predictions.select("id", "label", F.element_at(names, F.col("prediction").cast("int") + 1)
+                                 .cast("int").alias("predicted"))
+
+
+def q_e1_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     metrics, _ = evaluate_labels(_model_table(spark, sf), S.labels, KINDS, S.id_col,
                                  numeric=S.numeric, drop=S.not_relevant)
     return metrics
 
 
+def q_encoded_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The encoded table written as CSV and read back with its own types."""
+    path = scratch_path(spark, "encoded")
+    write_table(q_encode(spark, sf), path, fmt="csv")
+    return read_encoded(spark, path, fmt="csv")
+
+
+def q_report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The histogram as a one-file report."""
+    path = scratch_path(spark, "report")
+    write_report(q_group_count_histogram(spark, sf), path)
+    return read_encoded(spark, path, fmt="csv")
+
+
+def q_to_double(spark: SparkSession, sf: str) -> DataFrame:
+    t = tickets(spark, sf)
+    types = {f.name: f.dataType for f in t.schema.fields}
+    return t.select("id", "l_linenumber", *[to_double(F.col(c), types[c]).alias(f"{c}_double")
+                                           for c in ("sparse", "priority", "l_quantity", "l_partkey")])
+
+
 QUERIES = {
     "open_records": q_open_records,
     "distinct_entities": q_distinct_entities,
@@ -251,11 +319,21 @@ QUERIES = {
     "string_index": q_string_index,
     "naive_bayes_score": q_naive_bayes_score,
     "naive_bayes_metrics": q_naive_bayes_metrics,
-    "logreg_attempts": _attempts_query("logistic_regression"),
-    "tree_attempts": _attempts_query("decision_tree"),
-    "forest_attempts": _attempts_query("random_forest"),
+    "logreg_attempts": _separable_query("logistic_regression"),
+    "tree_attempts": _separable_query("decision_tree"),
+    "forest_attempts": _separable_query("random_forest"),
+    "mlp_attempts": _separable_query("multilayer_perceptron"),
     "naive_bayes_attempts": _attempts_query("naive_bayes"),
-    "mlp_attempts": _attempts_query("multilayer_perceptron"),
+    "saturated_logreg_attempts": q_saturated_logreg,
+    "tree_predictions": q_tree_predictions,
+    "e1_logreg_attempts": _attempts_query("logistic_regression"),
+    "e1_tree_attempts": _attempts_query("decision_tree"),
+    "e1_forest_attempts": _attempts_query("random_forest"),
+    "e1_mlp_attempts": _attempts_query("multilayer_perceptron"),
+    "e1_model_metrics": q_e1_model_metrics,
+    "encoded_roundtrip": q_encoded_roundtrip,
+    "report_roundtrip": q_report_roundtrip,
+    "to_double": q_to_double,
     "model_metrics": q_model_metrics,
 }
 
@@ -491,7 +569,44 @@ TICKET_NB_SQL = _naive_bayes_sql(
     f"SELECT id AS k, ostatus AS s, status AS c, grp AS y FROM ({FULL_FLOW_SQL}) ff "
     "WHERE id IS NOT NULL AND ostatus IS NOT NULL AND status IS NOT NULL AND grp IS NOT NULL", "id")
 
+_HELD_OUT = f"(SELECT count(*) FROM orders WHERE NOT ({_in_train('o_orderkey')}))"
+SEPARABLE_SQL = f"SELECT CAST(1 AS INTEGER) AS Groups_assigned, {_HELD_OUT} AS count"
+SEPARABLE_METRICS_SQL = ("SELECT label_name, model, CAST(1 AS DOUBLE) AS accuracy, " + _HELD_OUT + " AS n_scored, "
+                         "CAST(0 AS BIGINT) AS n_skipped FROM (VALUES "
+                         + ", ".join(f"('{x}')" for x in SEPARABLE_LABELS) + ") l(label_name), (VALUES "
+                         + ", ".join(f"('{k}')" for k in SEPARABLE_KINDS) + ") m(model)")
+# rank of the true class's training count within the row's cell, ties sharing the best place
+SATURATED_SQL = f"""WITH o AS (SELECT o_orderstatus AS s, o_orderpriority AS y, {_in_train('o_orderkey')} AS tr FROM orders),
+n AS (SELECT s, y, count(*) AS n FROM o WHERE tr GROUP BY s, y),
+te AS (SELECT o.s, o.y, coalesce(n.n, 0) AS n FROM o LEFT JOIN n USING (s, y) WHERE NOT tr
+       AND o.s IN (SELECT s FROM n) AND o.y IN (SELECT y FROM n))
+SELECT Groups_assigned, count(*) AS count FROM (
+  SELECT CAST(1 + (SELECT count(*) FROM n WHERE n.s = te.s AND n.n > te.n) AS INTEGER) AS Groups_assigned FROM te) a
+GROUP BY Groups_assigned ORDER BY Groups_assigned"""
+TREE_SQL = f"""WITH e AS (SELECT *, {_in_train('id')} AS tr FROM ({FULL_FLOW_SQL}) ff
+           WHERE ostatus IS NOT NULL AND status IS NOT NULL AND grp IS NOT NULL),
+best AS (SELECT ostatus, status, arg_max(grp, n) AS predicted FROM (
+           SELECT ostatus, status, grp, count(*) AS n FROM e WHERE tr GROUP BY ostatus, status, grp) GROUP BY ostatus, status)
+SELECT e.id, e.grp AS label, best.predicted FROM e JOIN best USING (ostatus, status) WHERE NOT e.tr"""
+
+
+def _to_double_sql(c: str) -> str:
+    return f"TRY_CAST({c} AS DOUBLE) AS {c}_double"
+
+
+TO_DOUBLE_SQL = f"{T}\nSELECT id, l_linenumber, {', '.join(_to_double_sql(c) for c in ('sparse', 'priority', 'l_quantity', 'l_partkey'))} FROM tickets"
+
 ORACLES = {
+    "logreg_attempts": SEPARABLE_SQL,
+    "tree_attempts": SEPARABLE_SQL,
+    "forest_attempts": SEPARABLE_SQL,
+    "mlp_attempts": SEPARABLE_SQL,
+    "model_metrics": SEPARABLE_METRICS_SQL,
+    "saturated_logreg_attempts": SATURATED_SQL,
+    "tree_predictions": TREE_SQL,
+    "encoded_roundtrip": ENCODE_SQL,
+    "report_roundtrip": HISTOGRAM_SQL,
+    "to_double": TO_DOUBLE_SQL,
     "open_records": f"{T}\nSELECT * FROM tickets WHERE status NOT IN ('F')",
     "distinct_entities": f"""{T}
 SELECT count(*) AS n_rows,

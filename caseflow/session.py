@@ -41,26 +41,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL = ("file:", "/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    used as is. Only when nothing is configured (local tests) is a fresh
-    temporary folder set; on a non-local master that is an error, because a
-    machine-local folder does not survive the loss of an executor.
+    A cluster names a shared folder in ``spark.checkpoint.dir`` (a mounted
+    shared file system counts; the name says which folder is shared). Only on
+    a local master with nothing configured (tests) is a fresh temporary folder
+    set. On any other master a folder that this process made up, or one below
+    the machine's temporary folder that no setting names, is an error: it does
+    not survive the loss of an executor.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- remote session: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", "")
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
+    local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
     if current:
+        own = current.split(":", 1)[-1].replace("//", "/")
+        if not local and not configured and current.startswith(_LOCAL) and own.startswith(tempfile.gettempdir()):
+            raise RuntimeError(f"the checkpoint folder {current} is local to one machine; "
+                               "name a shared folder in spark.checkpoint.dir")
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not local:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="caseflow-ckpt-"))
@@ -70,9 +77,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("no checkpoint folder")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that :func:`scratch_path` named."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (eager, reliable).
 

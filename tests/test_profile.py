@@ -102,10 +102,17 @@ def test_dotted_names(spark):
     assert {r.column_name for r in p.collect()} == {"St.atus", "a.b"}
 
 
-def test_profile_is_one_scan(log):
+def test_profile_shuffles_hashes_of_open_rows_only(log):
+    """One scan counts missing values without a row shuffle; the other drops closed
+    rows before the only exchange by entity, which carries no counters."""
     plan = profile_columns(log, "ID", "Status", CLOSED, [TOKEN], skip=["DATE"])._jdf.queryExecution() \
         .executedPlan().toString()
-    assert plan.count("Scan") == 1 and "Expand" not in plan
+    assert plan.count("Scan") == 2 and "Expand" not in plan
+    assert plan.count("Exchange hashpartitioning(ID") == 1
+    after = plan[plan.index("Exchange hashpartitioning(ID"):]
+    partial = after[after.index("partial_"):].split("\n")[0]
+    assert "partial_min(" in partial and "partial_count" not in partial
+    assert "Filter" in after
 
 
 def test_fingerprint_and_exact_agree(spark):
