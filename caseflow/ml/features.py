@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import TRAIN_FRACTION
-from ..names import as_list, col
+from ..names import as_list, col, quote
+from ..operators.vocab import Vocabulary, encode
+from ..session import cut_lineage
 
 LABEL = "label"
 INDEXED_LABEL = "indexedLabel"
@@ -29,15 +32,77 @@ def encoded_name(name: str) -> str:
     return "encoded" + _cap(name)
 
 
-def index_categories(columns: Sequence[str], handle_invalid: str = "skip") -> StringIndexer:
-    """M1: one multi-column indexer, outputs ``indexed<Name>``.
+_ROW_BITS = 33  # layout of monotonically_increasing_id
 
-    Order: frequency descending, ties by text. ``skip`` removes rows with a
-    NULL or unseen value in any indexed column.
+
+def frequency_index(df: DataFrame, columns: Sequence[str]) -> dict[str, Vocabulary]:
+    """Per column, its values numbered 1..N by falling frequency, ties by text.
+
+    No value reaches the driver: (column, value) counts are range-sorted and
+    checkpointed, a value's number is its place in its partition plus the
+    places of its column in the partitions before.
     """
     cols = as_list(columns)
-    return StringIndexer(inputCols=cols, outputCols=[indexed_name(c) for c in cols],
-                         handleInvalid=handle_invalid, stringOrderType="frequencyDesc")
+    texts = df.select(*[col(c).cast("string").alias(f"v{i}") for i, c in enumerate(cols)])
+    long = texts.unpivot([], [f"v{i}" for i in range(len(cols))], "column", "value").where(F.col("value").isNotNull())
+    ordered = cut_lineage(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+                          .orderBy("column", F.desc("n"), "value"))
+    mid = F.monotonically_increasing_id()
+    placed = ordered.select("column", "value", F.shiftright(mid, _ROW_BITS).alias("part"),
+                            mid.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("pos"))
+    # at most one row per partition and column
+    sizes = placed.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"),
+                                                 F.sum(F.octet_length("value")).alias("bytes"))
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")) \
+        .select("column", "part", "offset")
+    numbered = placed.join(F.broadcast(offsets), ["column", "part"]) \
+        .select("column", "value", (F.col("offset") + F.col("pos") + 1).cast("int").alias("code"))
+    stats = {r["column"]: r for r in sizes.groupBy("column").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).collect()}
+    out = {}
+    for i, c in enumerate(cols):
+        r = stats.get(f"v{i}")
+        out[c] = Vocabulary(numbered.where(F.col("column") == f"v{i}").select("value", "code"),
+                            int(r["n"]) if r else 0, int(r["bytes"]) if r else 0)
+    return out
+
+
+@dataclass
+class IndexModel:
+    """Fitted M1: adds ``indexed<Name>`` (0 = most frequent) for every column
+    and removes rows with a NULL or unseen value in any of them."""
+
+    vocabularies: dict[str, Vocabulary]
+
+    def labels(self, column: str) -> list[str]:
+        """The values of one column in index order, on the driver: for the label
+        (as many as the model has classes)."""
+        return [r["value"] for r in self.vocabularies[column].table.orderBy("code").collect()]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for c, vocabulary in self.vocabularies.items():
+            name = indexed_name(c)
+            coded = encode(out.withColumn(name, col(c)), vocabulary, [name]).where(F.col(quote(name)) > 0)
+            about = {"ml_attr": {"type": "nominal", "name": name, "num_vals": vocabulary.size}}
+            out = coded.select(*[col(x) for x in df.columns], *[col(indexed_name(x)) for x in self.vocabularies
+                                                               if indexed_name(x) in coded.columns and x != c],
+                               (F.col(quote(name)) - 1).cast("double").alias(name, metadata=about))
+        return out
+
+
+@dataclass
+class IndexCategories:
+    columns: list[str]
+
+    def fit(self, df: DataFrame) -> IndexModel:
+        return IndexModel(frequency_index(df, self.columns))
+
+
+def index_categories(columns: Sequence[str]) -> IndexCategories:
+    """M1: indexer of several columns, outputs ``indexed<Name>``; order by
+    frequency descending, ties by text."""
+    return IndexCategories(as_list(columns))
 
 
 def one_hot(indexed: Sequence[str]) -> OneHotEncoder:

@@ -32,7 +32,7 @@ from ..functions.scalar import to_double
 from ..names import as_list, col, quote
 from ..session import cut_lineage
 from .evaluate import summarise, summary_histogram, summary_metrics
-from .features import (FEATURES, INDEXED_LABEL, LABEL, assemble, encoded_name, index_categories,
+from .features import (FEATURES, INDEXED_LABEL, LABEL, IndexModel, assemble, encoded_name, index_categories,
                        indexed_name, one_hot, split_by_key)
 
 KINDS = ("logistic_regression", "decision_tree", "random_forest", "naive_bayes", "multilayer_perceptron")
@@ -42,6 +42,7 @@ SHORT = MODEL_SHORT_NAMES
 @dataclass
 class TrainedModel:
     kind: str
+    indexer: IndexModel
     model: PipelineModel
     feature_columns: list[str]
     label_values: list[str]
@@ -96,8 +97,9 @@ def train_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical
             varied = train.agg(*[(F.min(col(c)) != F.max(col(c))).alias(f"v{i}") for i, c in enumerate(categorical)]).first()
             used = [c for c, v in zip(categorical, varied) if v]
         indexer = index_categories(used + [LABEL]).fit(train)
-        label_values = list(indexer.labelsArray[-1])
-        stages: list = [indexer]
+        label_values = indexer.labels(LABEL)
+        indexed = indexer.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+        stages: list = []
         if kind in ("logistic_regression", "naive_bayes"):
             if used:
                 stages.append(one_hot([indexed_name(c) for c in used]))
@@ -107,15 +109,16 @@ def train_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical
         if not feats:
             raise ValueError("no usable input columns")
         stages += [assemble(feats), _classifier(kind, len(feats), num_classes or len(label_values), seed)]
-        model = Pipeline(stages=stages).fit(train)
+        model = Pipeline(stages=stages).fit(indexed)
+        indexed.unpersist()
     finally:
         train.unpersist()
-    return TrainedModel(kind, model, feats, label_values)
+    return TrainedModel(kind, indexer, model, feats, label_values)
 
 
 def score(model: TrainedModel, test: DataFrame) -> DataFrame:
     """Predictions (``indexedLabel``, ``probability``, ``prediction`` ...)."""
-    return model.model.transform(test)
+    return model.model.transform(model.indexer.transform(test))
 
 
 def model_frame(table: DataFrame, label: str, labels: Sequence[str], drop: Sequence[str] = (),

@@ -32,7 +32,7 @@ def test_accuracy_counts_skipped(spark):
 def test_indexer_order_and_skip(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("c",), ("c",), (None,)], "v string")
     m = index_categories(["v"]).fit(df)
-    assert list(m.labelsArray[0]) == ["a", "c", "b"]          # frequency desc, ties by text
+    assert m.labels("v") == ["a", "c", "b"]          # frequency desc, ties by text
     assert m.transform(df).count() == 5                       # NULL row skipped
 
 
