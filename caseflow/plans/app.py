@@ -46,9 +46,16 @@ def transform(log: DataFrame, out_dir: str, spec: LogSpec = DEFAULT_SPEC, fmt: s
                                    text_order=text_order)
     write_table(prepared.table, f"{out_dir}/{C.MODEL_TABLE}", fmt=fmt, mode=mode)
     write_report(reassignment_histogram(log, spec), f"{out_dir}/{C.GROUPS_REPORT}", mode=mode)
+    prepared.close()
+    prepared.table = _written(log.sparkSession, f"{out_dir}/{C.MODEL_TABLE}", fmt, prepared.table)
     return prepared
 
 
+def _written(spark: SparkSession, path: str, fmt: str, table: DataFrame) -> DataFrame:
+    """The model-ready table where it was written, with its types."""
+    return read_encoded(spark, path, fmt=fmt, schema=table.schema)
+
+
 def train(table: DataFrame, out_dir: str, spec: LogSpec = DEFAULT_SPEC, kinds: Sequence[str] = KINDS,
           seed: int = 42, mode: str = "errorifexists") -> DataFrame:
     """Fit every model kind for every label; write ``<out>/n_groups_<MODEL>``

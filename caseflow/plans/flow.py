@@ -14,7 +14,8 @@ from ..operators.profile import (DEFAULT_MAX_NULLS, DEFAULT_MIN_CONSTANCY, chose
                                  profile_columns, select_inputs)
 from ..operators.reassign import group_count_histogram
 from ..operators.vocab import DEFAULT_BROADCAST_LIMIT, Vocabulary, build_vocabulary, encode
-from ..session import cut_lineage
+from ..session import drop_path, scratch_path
+from ..sources.io import write_table
 from .spec import LogSpec
 
 
@@ -26,6 +27,13 @@ class PreparedTable:
     categorical: list[str]
     vocabulary: Vocabulary
     table: DataFrame
+    scratch: str | None = None
+
+    def close(self) -> None:
+        """Remove the consolidated table; ``table`` cannot be read afterwards."""
+        if self.scratch:
+            drop_path(self.table.sparkSession, self.scratch)
+            self.scratch = None
 
 
 def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEFAULT_MIN_CONSTANCY,
@@ -45,8 +53,8 @@ def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEF
     The log itself is scanned twice: once by the profile (a single
     aggregation, whose k-row result is kept on the driver; skipped when
     ``inputs`` are given) and once by the consolidation. The consolidated,
-    cleaned table -- one row per entity -- is checkpointed to the shared folder
-    (``materialize``) so that the vocabulary and the encoding do not repeat
+    cleaned table -- one row per entity -- is written as Parquet to the shared
+    folder (``materialize``; :meth:`PreparedTable.close` removes it) so that the vocabulary and the encoding do not repeat
     the consolidation, and a lost executor does not either.
     """
     if isinstance(df.schema[spec.order_by[0]].dataType, StringType) and not text_order:
@@ -63,11 +71,13 @@ def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEF
     merged = consolidate(df, spec.id_col, chosen, spec.labels, spec.order_by, keep_id=True)
     cleaned, categorical = clean_table(merged, spec.null_tokens, spec.mixed, spec.numeric,
                                        keep=[spec.id_col])
-    if materialize:
-        cleaned = cut_lineage(cleaned)
+    scratch = scratch_path(df.sparkSession, "consolidated") if materialize else None
+    if scratch:
+        write_table(cleaned, scratch)
+        cleaned = df.sparkSession.read.schema(cleaned.schema).parquet(scratch)
     vocab = build_vocabulary(cleaned, categorical)
     table = encode(cleaned, vocab, categorical, broadcast_limit=broadcast_limit)
-    return PreparedTable(profile, selection, chosen, categorical, vocab, table)
+    return PreparedTable(profile, selection, chosen, categorical, vocab, table, scratch)
 
 
 def reassignment_histogram(df: DataFrame, spec: LogSpec, label: str | None = None) -> DataFrame:
