@@ -55,7 +55,7 @@ def bound_batches(spark: SparkSession) -> None:
     """Smaller Arrow batches than Spark's defaults, which are made for short
     rows: a task holds a few megabytes of text at once, not 64. A setting that
     somebody changed stays as it is."""
-    for key, default, ours in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
+    for key, default, ours in (("maxRecordsPerBatch", "10000", "500"), ("maxBytesPerBatch", "67108864b", "2m")):
         key = f"spark.sql.execution.arrow.{key}"
         if spark.conf.get(key, None) == default:
             spark.conf.set(key, ours)

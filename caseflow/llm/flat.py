@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once inside a task (one longer text is still whole).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _U = np.uint64
@@ -41,7 +41,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
+            size = n + n // 8
             self.up, self.down = _powers(size, self.base), _powers(size, self.inverse)
         return self.up[:n], self.down[:n]
 

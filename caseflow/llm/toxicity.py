@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import flat
 from .arrow import lists, map_texts
 from .samples import held_out, labelled
@@ -116,7 +117,9 @@ def run_chain(models: Sequence[dict], x: Sparse) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id",
           text: str = "text") -> dict | None:
-    """The terms and the chain's models; None if the labels have one value only."""
+    """The terms and the chain's models; None if the labels have one value
+    only. Terms are counted by Spark; the driver gets ``FEATURES`` of them and
+    their places in the sample."""
     def terms(rows, texts):
         w = flat.words(texts)
         doc, h = term_hashes(w)
@@ -127,39 +130,46 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
         ends = np.r_[0, np.cumsum(np.bincount(doc[new], minlength=len(rows)))]
         return {"n_words": w.counts(), "terms": lists(pa.array(h[new].view(np.int64)), ends)}
 
-    rows = map_texts(labelled(docs, labels, ["toxic"], sample, doc_id, text), "text", ["id", "toxic"],
-                     "n_words long, terms array<long>", terms).toArrow().combine_chunks()
-    order = np.argsort(flat.mix(rows.column("id").cast(pa.string()).to_pandas().map(hash_text).to_numpy(np.uint64))) \
-        if rows.num_rows else np.empty(0, np.int64)
-    rows = rows.take(pa.array(order))
-    y = rows.column("toxic").to_numpy().astype(float) if rows.num_rows else np.empty(0)
-    if not len(y) or y.min() == y.max():
+    rows = cut_lineage(map_texts(labelled(docs, labels, ["toxic"], sample, doc_id, text), "text", ["id", "toxic"],
+                                 "n_words long, terms array<long>", terms))
+    n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if positive in (0, n):
         return None
-    column = rows.column("terms").combine_chunks()
+    base = positive / n
+    counted = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term") \
+        .agg(F.count(F.lit(1)).alias("total"), F.sum("toxic").alias("toxic"))
+    deviation = (F.col("toxic") - F.col("total") * base) / F.sqrt(F.col("total") * (base * (1 - base)))
+    chosen = counted.where("total >= 3").withColumn("weight", deviation).where(F.col("weight") > LEAST_DEVIATION) \
+        .orderBy(F.desc("weight"), "term").limit(FEATURES).collect()
+    known = np.array([r["term"] for r in chosen], dtype=np.int64).view(np.uint64)
+    order = np.argsort(known)
+    known = known[order]
+    told = np.array([r["total"] >= 5 and (r["toxic"] + 0.5) / (r["total"] + 1) > max(0.8, 2 * base) for r in chosen],
+                    dtype=bool)[order]
+
+    def places(batches):
+        for batch in batches:
+            column = batch.column(2)
+            value, size = column.flatten().to_numpy().view(np.uint64), np.diff(column.offsets.to_numpy())
+            at = np.minimum(np.searchsorted(known, value), max(len(known) - 1, 0))
+            hit = known[at] == value if len(known) else np.zeros(len(value), dtype=bool)
+            ends = np.r_[0, np.cumsum(hit)][np.r_[0, np.cumsum(size)]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(pa.array(at[hit], pa.int32()), ends)],
+                                             names=["toxic", "n_words", "places"])
+
+    got = rows.orderBy(F.xxhash64("id"), "id").select(F.col("toxic").cast("int").alias("toxic"), "n_words", "terms") \
+        .mapInArrow(places, "toxic int, n_words long, places array<int>").toArrow().combine_chunks()
+    y, n_words = got.column("toxic").to_numpy().astype(float), got.column("n_words").to_numpy()
+    column = got.column("places").combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    value = column.flatten().to_numpy().view(np.uint64)
+    place = column.flatten().to_numpy()
     row = np.repeat(np.arange(len(y)), np.diff(column.offsets.to_numpy()))
-    known, number = np.unique(value, return_inverse=True)
-    total, toxic = np.bincount(number), np.bincount(number, y[row])
-    rate, base = (toxic + 0.5) / (total + 1), y.mean()
-    weight = (toxic - total * base) / np.sqrt(total * base * (1 - base) + 1e-9)  # in standard deviations
-    weight[total < 3] = 0
-    chosen = np.sort(np.argsort(-weight, kind="stable")[:FEATURES])
-    chosen = chosen[weight[chosen] > LEAST_DEVIATION]
-    place = np.full(len(known), -1)
-    place[chosen] = np.arange(len(chosen))
-    mine = place[number] >= 0
-    x = Sparse(row[mine], place[number][mine], len(y), len(chosen))
-    told = (rate > max(0.8, 2 * base)) & (total >= 5)
-    hits = np.bincount(row, told[number], len(y))
-    per_word = hits / np.maximum(rows.column("n_words").to_numpy(), 1)
+    x = Sparse(row, place, len(y), len(known))
+    hits = np.bincount(row, told[place], len(y))
+    per_word = hits / np.maximum(n_words, 1)
     usual = np.median(per_word[(y > 0) & (hits > 0)]) if ((y > 0) & (hits > 0)).any() else np.inf
     targets = np.c_[hits > 0, (hits >= 3) & (y > 0), (per_word >= usual) & (y > 0) & (hits > 0), y].astype(float)
-    return {"terms": known[chosen], "models": fit_chain(x, targets)}
-
-
-def hash_text(x: str) -> int:
-    return int.from_bytes(x.encode()[-8:].rjust(8, b"\0"), "big")
+    return {"terms": known, "models": fit_chain(x, targets)}
 
 
 def score(docs: DataFrame, model: dict | None, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
