@@ -585,8 +585,11 @@ SELECT Groups_assigned, count(*) AS count FROM (
 GROUP BY Groups_assigned ORDER BY Groups_assigned"""
 TREE_SQL = f"""WITH e AS (SELECT *, {_in_train('id')} AS tr FROM ({FULL_FLOW_SQL}) ff
            WHERE ostatus IS NOT NULL AND status IS NOT NULL AND grp IS NOT NULL),
-best AS (SELECT ostatus, status, arg_max(grp, n) AS predicted FROM (
-           SELECT ostatus, status, grp, count(*) AS n FROM e WHERE tr GROUP BY ostatus, status, grp) GROUP BY ostatus, status)
+tot AS (SELECT grp, count(*) AS total FROM e WHERE tr GROUP BY grp),
+best AS (SELECT ostatus, status, grp AS predicted FROM (  -- equal counts: the label that is more frequent overall
+           SELECT ostatus, status, grp, row_number() OVER (PARTITION BY ostatus, status
+                  ORDER BY count(*) DESC, any_value(total) DESC, CAST(grp AS VARCHAR)) AS r
+           FROM e JOIN tot USING (grp) WHERE tr GROUP BY ostatus, status, grp) WHERE r = 1)
 SELECT e.id, e.grp AS label, best.predicted FROM e JOIN best USING (ostatus, status) WHERE NOT e.tr"""
 
 
