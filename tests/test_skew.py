@@ -47,3 +47,37 @@ def test_hot_entity_consolidate_and_histogram(skewed):
     assert c.count() == len(brute)
     h = group_count_histogram(skewed, "k", "g", [])
     assert sum(r["count"] for r in h.collect()) == len(brute)
+
+
+def test_hot_entity_through_the_join(spark, tmp_path):
+    """Broadcast joins off, no forced skew handling: the aggregation does not reuse the
+    join's clustering by key (which would keep the adaptive skew join from splitting a
+    hot key), it pre-aggregates the join's output before an exchange of its own."""
+    from caseflow.plans.fixtures import TICKETS, tickets
+
+    n = 60000
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1).cast("long")
+    lines = spark.range(0, n, numPartitions=8).select(
+        key.alias("l_orderkey"), F.expr("date_add(DATE'2020-01-01', CAST(id % 900 AS INT))").alias("l_shipdate"),
+        F.lit("O").alias("l_linestatus"), F.lit("A").alias("l_returnflag"), F.col("id").cast("double").alias("l_quantity"),
+        (F.col("id") % 7).cast("int").alias("l_linenumber"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(0, 2001).selectExpr("id AS o_orderkey", "'1-URGENT' AS o_orderpriority", "'O' AS o_orderstatus") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.forceOptimizeSkewedJoin": "false"}
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        c = consolidate(tickets(spark, str(tmp_path)), "id", ["l_quantity"], ["grp"], TICKETS.order_by)
+        rows = c.collect()
+        plan = _plan(c)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    final = plan.split("== Initial Plan ==")[0]
+    above = final[:final.index("SortMergeJoin")]
+    assert "Exchange hashpartitioning(id" in above
+    assert "partial_" in above[above.index("Exchange hashpartitioning(id"):]
+    assert len(rows) == lines.select("l_orderkey").distinct().count()
