@@ -237,7 +237,8 @@ def candidate_edges(leaves: DataFrame, sets: DataFrame, threshold: float) -> Dat
                     [keys.take(pa.array(root[away])).combine_chunks().cast(pa.binary()),
                      keys.take(pa.array(away)).combine_chunks().cast(pa.binary())], schema=arrow)
 
-    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema).distinct()
+    # by key within a part: buckets of one group then tie to the same few smallest keys
+    return rows.repartition("part").sortWithinPartitions("part", "key").mapInArrow(run, schema).distinct()
 
 
 def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
