@@ -12,13 +12,16 @@ inside a menu, footer, advert, form, script, comment section and the like goes
 although it differs from page to page (rotating adverts, for instance).
 
 The order is made by Spark: range bounds come from the URLs alone (at most
-``RANGES`` of them reach the driver), the page at each edge of a range is also
-sent to the range next to it, and every range is read as a sorted stream, so a
-host with a third of all pages is many ranges.
+``RANGES`` of them reach the driver), and every range is read as a sorted
+stream, so a host with a third of all pages is many ranges. Neighbours with the
+very same lines (copies) are one run, however many and over however many ranges:
+a first pass digests the lines, the two outermost runs at each end of a range
+reach the driver (places and digests only), and each range is sent the nearest
+page before and after it whose lines differ from those at its edge. A task holds the
+lines of a run once, and of its copies the id and URL.
 
 Defined results: null html is an empty page; a null or odd URL is a page of
-the host ""; neighbours with the very same lines (copies) are passed over, on the way
-ahead at most ``LOOK_AHEAD`` of them; the
+the host ""; neighbours with the very same lines (copies) are passed over; the
 k-th occurrence of a line aligns only with the k-th in the other page; tags
 that are never closed end with their parent; a page cut off inside a tag ends
 there; an empty table gives an empty result.
@@ -27,6 +30,7 @@ there; an empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator, Sequence
@@ -40,7 +44,9 @@ from pyspark.sql.types import StructField, StructType
 
 from .arrow import map_texts, quoted, schema_of
 
-RANGES, PAGES_PER_RANGE, LOOK_AHEAD = 2048, 2000, 500
+RANGES, PAGES_PER_RANGE = 2048, 2000
+#: Rows and characters of text in a batch of results.
+BATCH_ROWS, BATCH_CHARS = 500, 2_000_000
 TEMPLATE, PLAIN, ARTICLE = 0, 1, 2
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
@@ -170,100 +176,178 @@ def _keyed(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
                         F.col(quoted(html)).cast("string").alias("html"))
 
 
-def _ranges(keyed: DataFrame) -> tuple[list[str], list[str]]:
-    """First and last place of every range, from the places alone."""
+def _ranges(keyed: DataFrame) -> list[str]:
+    """First place of every range, from the places alone."""
     n = keyed.count()
     parts = max(1, min(RANGES, -(-n // PAGES_PER_RANGE)))
     found = keyed.select("place").repartitionByRange(parts, "place").groupBy(F.spark_partition_id().alias("p")) \
-        .agg(F.min("place").alias("lo"), F.max("place").alias("hi")).orderBy("lo").collect()
-    return [r["lo"] for r in found], [r["hi"] for r in found]
+        .agg(F.min("place").alias("lo")).orderBy("lo").collect()
+    return [r["lo"] for r in found]
+
+
+def _digest(lines: list[str]) -> bytes:
+    return hashlib.blake2b("\n".join(lines).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _home(lows: list[str], place: str) -> int:
+    return max(bisect.bisect_right(lows, place) - 1, 0)
+
+
+def _edges(keyed: DataFrame, lows: list[str]) -> dict[int, list]:
+    """For every range, a page (host, place, digest) of its first run, of its
+    second, of its last and of the one before the last; None where it has no such run."""
+    sent = keyed.sparkSession.sparkContext.broadcast(lows)
+
+    def parse(rows, texts):
+        places = rows.column(rows.schema.get_field_index("place")).to_pylist()
+        return {"bucket": [_home(sent.value, x) for x in places],
+                "digest": [_digest([x for x, _ in lines_of(page or "")]) for page in texts.to_pylist()]}
+
+    out = schema_of("bucket int, edge int, host string, place string, digest binary")
+    arrow = to_arrow_schema(out)
+
+    def ends(batches):
+        bucket, found = None, [None] * 4
+
+        def done():
+            return pa.RecordBatch.from_pylist([dict(zip(arrow.names, (bucket, k, *x))) for k, x in enumerate(found) if x],
+                                              schema=arrow)
+
+        for batch in batches:
+            columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("bucket", "host", "place", "digest"))
+            for b, *page in zip(*columns):
+                if b != bucket:
+                    if bucket is not None:
+                        yield done()
+                    bucket, found = b, [page, None, page, None]
+                    continue
+                if page[::2] != found[2][::2]:
+                    found[3] = found[2]
+                    if found[1] is None:
+                        found[1] = page
+                found[2] = page
+        if bucket is not None:
+            yield done()
+
+    small = map_texts(keyed, "html", ["host", "place"], "bucket int, digest binary", parse)
+    edges: dict[int, list] = {}
+    for r in small.repartition(len(lows), "bucket").sortWithinPartitions("bucket", "place", "digest") \
+            .mapInArrow(ends, out).collect():
+        edges.setdefault(r["bucket"], [None] * 4)[r["edge"]] = (r["host"], r["place"], bytes(r["digest"]))
+    return edges
+
+
+def _guests(edges: dict[int, list]) -> dict[tuple[str, bytes], list[int]]:
+    """The pages (place, digest) that ranges need from others: for each range
+    the nearest one before and after it that is no copy of the page at its edge."""
+    guests: dict[tuple[str, bytes], list[int]] = {}
+    order = sorted(edges)
+    for k, bucket in enumerate(order):
+        # own edge, the others from near to far, and their near run and the one behind it
+        for own, others, near, behind in ((0, reversed(order[:k]), 2, 3), (2, order[k + 1:], 0, 1)):
+            host, _, digest = edges[bucket][own]
+            for other in others:
+                page = edges[other][near]
+                if page[0] == host and page[2] == digest:
+                    page = edges[other][behind]
+                    if page is None:
+                        continue  # all of that range belongs to the run
+                if page[0] == host:
+                    guests.setdefault((page[1], page[2]), []).append(bucket)
+                break
+    return guests
 
 
 def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Every page with ``text`` (the lines that stay, one a row), ``n_chars``,
     ``n_shared`` (lines that a neighbour shares) and ``n_lines``."""
     keyed = _keyed(pages, page_id, url, html)
-    lows, highs = _ranges(keyed)
-    sent = pages.sparkSession.sparkContext.broadcast((lows, highs))
+    lows = _ranges(keyed)
+    sent = pages.sparkSession.sparkContext.broadcast((lows, _guests(_edges(keyed, lows)) if len(lows) > 1 else {}))
 
     def parse(rows, texts):
-        lows, highs = sent.value
-        at, bucket, guest, text, region = [], [], [], [], []
+        lows, guests = sent.value
         places = rows.column(rows.schema.get_field_index("place")).to_pylist()
-        for i, page in enumerate(texts.to_pylist()):
+        buckets, digest, text, region = [], [], [], []
+        for place, page in zip(places, texts.to_pylist()):
             found = lines_of(page or "")
-            home = max(bisect.bisect_right(lows, places[i]) - 1, 0)
-            homes = [home]
-            if home > 0 and places[i] == lows[home]:
-                homes.append(home - 1)
-            if home + 1 < len(lows) and places[i] == highs[home]:
-                homes.append(home + 1)
-            for b in homes:
-                at.append(i)
-                bucket.append(b)
-                guest.append(b != home)
-                text.append([x for x, _ in found])
-                region.append(bytes(r for _, r in found))
-        return {None: np.array(at, np.int64), "bucket": bucket, "guest": guest, "lines": text,
-                "region": pa.array(region, pa.binary())}
+            text.append([x for x, _ in found])
+            region.append(bytes(r for _, r in found))
+            digest.append(_digest(text[-1]))
+            buckets.append([_home(lows, place), *guests.get((place, digest[-1]), ())])
+        return {"buckets": buckets, "digest": digest, "lines": text, "region": region}
 
     parsed = map_texts(keyed, "html", ["row", "host", "place"],
-                       "bucket int, guest boolean, lines array<string>, region binary", parse)
-    ordered = parsed.repartition(max(len(lows), 1), "bucket") \
-        .sortWithinPartitions("bucket", "place", "guest", F.xxhash64("lines"))
+                       "buckets array<int>, digest binary, lines array<string>, region binary", parse)
+    ordered = parsed.select("row", "host", "place", "digest", "lines", "region", F.posexplode("buckets").alias("guest", "bucket")) \
+        .repartition(max(len(lows), 1), "bucket").sortWithinPartitions("bucket", "place", "digest")
     added = schema_of("text string, n_chars long, n_shared long, n_lines long")
     out = StructType([StructField("row", parsed.schema["row"].dataType), *added.fields])
     arrow = to_arrow_schema(out)
 
-    def stream(batches) -> Iterator[tuple]:
+    def runs(batches) -> Iterator[tuple]:
+        """(bucket and host, lines, {region: rows of the copies}) of every run."""
+        key, lines, copies = None, None, {}
         for batch in batches:
-            row = batch.column(batch.schema.get_field_index("row"))
-            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist()
-                       for c in ("bucket", "host", "guest", "lines", "region")]
-            for i, (bucket, host, guest, lines, region) in enumerate(zip(*columns)):
-                yield row.slice(i, 1), (bucket, host), guest, lines, region
+            row, text = (batch.column(batch.schema.get_field_index(c)) for c in ("row", "lines"))
+            bucket, host, digest, guest, region = (batch.column(batch.schema.get_field_index(c)).to_pylist()
+                                                   for c in ("bucket", "host", "digest", "guest", "region"))
+            mine: dict[bytes, list[int]] = {}
+
+            def keep():
+                for r, at in mine.items():  # take() copies: a slice would hold the whole batch
+                    copies.setdefault(r, []).append(row.take(pa.array(at)))
+                mine.clear()
+
+            for i, found in enumerate(zip(bucket, host, digest)):
+                if found != key:
+                    keep()
+                    if key is not None:
+                        yield key[:2], lines, copies
+                    key, lines, copies = found, text[i].as_py(), {}
+                if not guest[i]:
+                    mine.setdefault(region[i], []).append(i)
+            keep()
+        if key is not None:
+            yield key[:2], lines, copies
 
     def run(batches):
-        rows, values = [], []
-
-        def finish(held, before, after):
-            lines = held[0][3]
-            shared = set().union(*(aligned(lines, x) for x in (before, after) if x is not None))
-            for row, _, guest, own, region in held:
-                if guest:
-                    continue
-                kept = [x for k, (x, r) in enumerate(zip(own, region)) if r == ARTICLE or r == PLAIN and k not in shared]
-                text = "\n".join(kept)
-                rows.append(row)
-                values.append((text, len(text), len(shared), len(own)))
+        rows, values, chars = [], [], 0
 
         def flush():
-            if rows:
-                columns = [pa.concat_arrays(rows).cast(arrow.field("row").type)]
-                columns += [pa.array(x, arrow.field(k + 1).type) for k, x in enumerate(zip(*values))]
-                rows.clear()
-                values.clear()
-                return pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-        held, before = [], None  # pages with the same lines; the lines before them
-        for page in stream(batches):
-            if held and page[1] == held[0][1] and page[3] == held[0][3]:
-                held.append(page)
-                if len(held) > LOOK_AHEAD:  # of a long run of copies, only the last can meet the page after
-                    finish(held[:-1], before, None)
-                    held = held[-1:]
-                    if len(rows) >= 500:
-                        yield flush()
-                continue
+            nonlocal chars
+            columns = [pa.concat_arrays(rows).cast(arrow.field("row").type)]
+            columns += [pa.array(x, arrow.field(k + 1).type) for k, x in enumerate(zip(*values))]
+            rows.clear()
+            values.clear()
+            chars = 0
+            return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+        def finish(before, run, after):
+            nonlocal chars
+            place, lines, copies = run
+            if not copies:
+                return
+            shared = set().union(*(aligned(lines, x[1]) for x in (before, after) if x is not None and x[0] == place))
+            for region, parts in copies.items():
+                text = "\n".join(x for k, (x, r) in enumerate(zip(lines, region))
+                                 if r == ARTICLE or r == PLAIN and k not in shared)
+                step = max(1, min(BATCH_ROWS, BATCH_CHARS // max(len(text), 1)))
+                for part in parts:
+                    for at in range(0, len(part), step):
+                        rows.append(part.slice(at, step))
+                        values.extend([(text, len(text), len(shared), len(lines))] * len(rows[-1]))
+                        chars += len(text) * len(rows[-1])
+                        if len(values) >= BATCH_ROWS or chars >= BATCH_CHARS:
+                            yield flush()
+
+        before = held = None
+        for page in runs(batches):
             if held:
-                same = page[1] == held[0][1]
-                finish(held, before, page[3] if same else None)
-                before = held[0][3] if same else None
-            held = [page]
-            if len(rows) >= 500:
-                yield flush()
+                yield from finish(before, held, page)
+            before, held = held and held[:2], page
         if held:
-            finish(held, before, None)
+            yield from finish(before, held, None)
         if rows:
             yield flush()
 

@@ -51,6 +51,21 @@ def test_ranges_do_not_change_the_text(spark, monkeypatch):
     assert one == many
 
 
+@pytest.mark.parametrize("per_range", [2000, 50])
+def test_long_runs_of_copies_meet_their_neighbours(spark, monkeypatch, per_range):
+    """Hosts a and b begin and end with 700 copies, c has them in the middle; d is nothing but copies."""
+    monkeypatch.setattr(extract, "PAGES_PER_RANGE", per_range)
+    copy, other = ("<body><div>menu</div><div>%s</div></body>" % x for x in ("own", "other"))
+    rows = [(10_000 * h + k, f"http://{host}.com/{k:04}", other if k in others else copy)
+            for h, (host, others) in enumerate({"a": {701}, "b": {0}, "c": {0, 701}, "d": set()}.items())
+            for k in range(702) if k in others or 0 < k < 701]
+    got = {r.page_id: (r.text, r.n_shared) for r in extract.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == len(rows)
+    for i, url, html in rows:
+        expected = ("menu\nown", 0) if "d.com" in url else ("own" if html == copy else "other", 1)
+        assert got[i] == expected, url
+
+
 def test_archives_round_trip(spark, pages):
     folder = scratch_path(spark, "warc-test")
     index = warc.archive_pages(pages, folder).collect()
