@@ -51,7 +51,7 @@ TEMPLATE, PLAIN, ARTICLE = 0, 1, 2
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
                   re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s\"'>/=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt",
@@ -64,20 +64,26 @@ _OUT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "brea
               "comments", "consent", "cookie", "cookies", "disqus", "footer", "menu", "modal", "nav", "navbar",
               "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "share", "sharing",
               "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+_WHOLE = {"html", "body", "main", "article"}
 _OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "form", "menu"}
 
 
-def _marked(attributes: str) -> bool:
-    """Whether class, id or role name something that is not the article."""
+def _marked(element: str, attributes: str) -> bool:
+    """Whether class, id or role name something that is not the article. Of what
+    holds the article, a name like ``has-sidebar`` says nothing: only whole names count."""
+    seen = set()
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
+        if name in seen:
+            continue  # the first one holds
+        seen.add(name)
         if name in ("class", "id"):
-            if any(x in _OUT_WORDS for x in re.split(r"[^a-z0-9]+", value)):
+            if any(x in _OUT_WORDS for x in (value.split() if element in _WHOLE else re.split(r"[^a-z0-9]+", value))):
                 return True
         elif name == "role":
-            if value in _OUT_ROLES:
+            if value.strip() in _OUT_ROLES:
                 return True
-        elif name == "hidden" or value == "true":
+        elif name == "hidden" or name == "aria-hidden" and value.strip() == "true":
             return True
     return False
 
@@ -125,7 +131,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if name in _BLOCK:
             end()
         inside = region
-        if name in _OUT or (name == "header" and region != ARTICLE) or (found[3] and _marked(found[3])):
+        if name in _OUT or (name == "header" and region != ARTICLE) or (found[3] and _marked(name, found[3])):
             inside = TEMPLATE
         elif name in ("article", "main") and region != TEMPLATE:
             inside = ARTICLE

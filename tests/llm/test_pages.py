@@ -28,6 +28,22 @@ def test_lines_and_regions():
                                       ("tail", 1)]
 
 
+@pytest.mark.parametrize("tag", [
+    '<article style="overflow:hidden">', '<article title="The hidden coast">', '<article data-hidden="false">',
+    "<article data-x='class=ad'>", '<article data-role="banner" data-id=ad>', '<article aria-hidden="false">', '<div href="/s?id=share">',
+    "<div data-url=/s?class=ad>", '<body class="has-sidebar">', '<article class="post comments-open">', '<main id="no-menu">',
+    '<html class="no-cookie">', '<article class="post" class="ad">', '<article data-a="x>y" aria-label="true">'])
+def test_what_is_no_mark(tag):
+    assert [x for x, r in extract.lines_of(f"{tag}<p>text") if r] == ["text"]
+
+
+@pytest.mark.parametrize("tag", [
+    "<div hidden>", "<DIV HIDDEN=''>", '<div aria-hidden="true">', "<div class='x ad'>", "<div id=share>", '<div role="banner">',
+    '<div class="user-comments">', '<article class="post sponsored">', '<body id="popup">', "<div data-x=1 class = 'a\nads'>"])
+def test_what_is_a_mark(tag):
+    assert extract.lines_of(f"{tag}<p>text") == [("text", 0)]
+
+
 def test_alignment_is_a_common_subsequence():
     assert extract.aligned("abcab", "xacbab") == {0, 2, 3, 4}
     assert extract.aligned("", "a") == set() and extract.aligned("aaa", "aa") == {0, 1}
