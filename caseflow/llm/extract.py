@@ -22,7 +22,8 @@ lines of a run once, and of its copies the id and URL.
 
 Defined results: null html is an empty page; a null or odd URL is a page of
 the host ""; neighbours with the very same lines (copies) are passed over; the
-k-th occurrence of a line aligns only with the k-th in the other page; tags
+k-th occurrence of a line aligns only with the k-th in the other page; a p, li,
+dt, dd, table part or head without an end tag ends where HTML ends it, other tags
 that are never closed end with their parent; a page cut off inside a tag ends
 there; an empty table gives an empty result.
 """
@@ -33,6 +34,7 @@ import bisect
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -60,6 +62,13 @@ _BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
           "thead", "tr", "ul"}
 _SPACED = {"br", "td", "th"}
 _OUT = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "object", "canvas", "audio", "video"}
+#: Start tags that close open elements whose end tag was left out: which, and where the search for them stops.
+_CELLS, _GROUPS, _HEAD = {"td", "th"}, {"tbody", "thead", "tfoot"}, {"html", "head", "base", "link", "meta"}
+_LIST_STOPS = (_BLOCK | _OUT) - {"address", "div", "p", "li", "dt", "dd"}
+_CLOSES = {"li": ({"li"}, _LIST_STOPS), **dict.fromkeys(("dt", "dd"), ({"dt", "dd"}, _LIST_STOPS)),
+           **dict.fromkeys(_CELLS, (_CELLS, {"tr", "table"})), "tr": (_CELLS | {"tr"}, {"table"}),
+           **dict.fromkeys(_GROUPS, (_CELLS | _GROUPS | {"tr"}, {"table"}))}
+_CLOSE_P, _P_STOPS = _BLOCK - _GROUPS - {"tr", "html", "head", "body"}, {"button", "object", "table"}
 _OUT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment",
               "comments", "consent", "cookie", "cookies", "disqus", "footer", "menu", "modal", "nav", "navbar",
               "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "share", "sharing",
@@ -94,12 +103,32 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     parts: list[str] = []
     stack: list[tuple[str, int]] = []  # open elements and the region inside
 
+    opened: Counter = Counter()
+
     def end() -> None:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
             out.append((text, stack[-1][1] if stack else PLAIN))
 
+    def close(names: set[str], stops: set[str] = frozenset()) -> None:
+        """End the outermost of these elements (without stops, the innermost) and what is in it."""
+        if not any(opened[x] for x in names):
+            return
+        first = None
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in names:
+                first = k
+                if not stops:
+                    break
+            elif stack[k][0] in stops:
+                break
+        if first is not None:
+            if stack[-1][1] != (stack[first - 1][1] if first else PLAIN):
+                end()
+            opened.subtract(x for x, _ in stack[first:])
+            del stack[first:]
+
     at = 0
     while at < len(page):
         found = _TAG.search(page, at)
@@ -111,34 +140,35 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         name = (found[2] or "").lower()
         if not name:
             continue  # a comment or a declaration
-        region = stack[-1][1] if stack else PLAIN
         if found[1]:
             if name in _BLOCK:
                 end()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if name not in _BLOCK:
-                        end()
-                    del stack[k:]
-                    break
+            close({name})
             continue
         if name in _RAW:
-            close = re.compile(f"</{re.escape(name)}\\b[^>]*(?:>|\\Z)", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            tail = re.compile(f"</{re.escape(name)}\\b[^>]*(?:>|\\Z)", re.I).search(page, at)
+            at = tail.end() if tail else len(page)
             continue
         if name in _SPACED:
             parts.append(" ")
         if name in _BLOCK:
             end()
-        inside = region
+        if name in _CLOSES:
+            close(*_CLOSES[name])
+        if name in _CLOSE_P:
+            close({"p"}, _P_STOPS)
+        if name not in _HEAD and stack and stack[-1][0] == "head":
+            close({"head"})
+        inside = region = stack[-1][1] if stack else PLAIN
         if name in _OUT or (name == "header" and region != ARTICLE) or (found[3] and _marked(name, found[3])):
             inside = TEMPLATE
         elif name in ("article", "main") and region != TEMPLATE:
             inside = ARTICLE
-        if name not in _VOID and (name in _BLOCK - {"p", "li", "dt", "dd", "tr"} or inside != region):
+        if name not in _VOID and (name in _BLOCK or name in _CELLS or inside != region):
             if name not in _BLOCK and inside != region:
                 end()
             stack.append((name, inside))
+            opened[name] += 1
     end()
     return out
 

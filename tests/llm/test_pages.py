@@ -44,6 +44,21 @@ def test_what_is_a_mark(tag):
     assert extract.lines_of(f"{tag}<p>text") == [("text", 0)]
 
 
+@pytest.mark.parametrize("page", [
+    '<article><p class="ad">buy<p>text', '<article><p class="ad">buy<div>text</div>', '<article><p class=ad>buy<h2>text</h2>',
+    '<article><p class=ad><span class=ad>buy<p>text', "<article><ul><li class=ad>buy<li>text</ul>",
+    "<article><ul><li class=ad><div>buy<li>text</ul>", "<article><ul><li class=ad>buy<ul><li>buy</ul><li>text</ul>",
+    "<article><dl><dt class=ad>buy<dd>text</dl>", "<article><dl><dd class=ad>buy<dt>text</dl>",
+    "<article><table><tr class=ad><td>buy<tr><td>text</table>", "<article><table><tr><td class=ad>buy<td>text</table>",
+    "<article><table><tr class=ad><td>buy<table><tr><td>buy</table><tr><td>text</table>",
+    "<article><table><tbody class=ad><tr><td>buy<tbody><tr><td>text</table>", "<head><meta charset=utf-8><title>t</title><body><article>text",
+    "<head><link rel=x><p>text", "<article><ul><li class=ad><ul><li>buy</li></ul>buy</li><li>text</ul>",
+    "<article><table><tr><td class=ad><table><tr><td>buy</td></table>buy</td><td>text</table>"])
+def test_left_out_end_tags(page):
+    lines = extract.lines_of(page)
+    assert [x for x, r in lines if r] == ["text"] and {x for x, r in lines if not r} <= {"buy"}
+
+
 def test_alignment_is_a_common_subsequence():
     assert extract.aligned("abcab", "xacbab") == {0, 2, 3, 4}
     assert extract.aligned("", "a") == set() and extract.aligned("aaa", "aa") == {0, 1}
