@@ -47,10 +47,22 @@ def q_events_group_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return group_count_histogram(e.where("event_type = 'purchase'"), EVENTS.id_col, "band", [])
 
 
+def q_events_group_histogram_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The same bands over the events of every type: every user with a value counts."""
+    e = events(spark, sf).selectExpr("user_id", "CAST(floor(value / 10) AS STRING) AS band")
+    return group_count_histogram(e, EVENTS.id_col, "band", [])
+
+
+def q_events_type_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return group_count_histogram(events(spark, sf), EVENTS.id_col, "event_type", [])
+
+
 QUERIES = {
     "events_profile": q_events_profile,
     "events_consolidate": q_events_consolidate,
     "events_group_histogram": q_events_group_histogram,
+    "events_group_histogram_all": q_events_group_histogram_all,
+    "events_type_histogram": q_events_type_histogram,
 }
 
 
@@ -79,5 +91,11 @@ FROM (SELECT * FROM r WHERE rf = 1) f JOIN (SELECT * FROM r WHERE rl = 1) l ON f
     "events_group_histogram": """SELECT n_cambios, count(*) AS count FROM (
   SELECT user_id, count(DISTINCT floor(value / 10)) AS n_cambios FROM events
   WHERE event_type = 'purchase' AND value IS NOT NULL GROUP BY user_id) g
+GROUP BY n_cambios ORDER BY n_cambios""",
+    "events_group_histogram_all": """SELECT n_cambios, count(*) AS count FROM (
+  SELECT user_id, count(DISTINCT floor(value / 10)) AS n_cambios FROM events WHERE value IS NOT NULL GROUP BY user_id) g
+GROUP BY n_cambios ORDER BY n_cambios""",
+    "events_type_histogram": """SELECT n_cambios, count(*) AS count FROM (
+  SELECT user_id, count(DISTINCT event_type) AS n_cambios FROM events WHERE event_type IS NOT NULL GROUP BY user_id) g
 GROUP BY n_cambios ORDER BY n_cambios""",
 }

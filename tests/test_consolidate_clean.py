@@ -76,6 +76,15 @@ def test_clean_table_roles(spark):
     assert cats == ["c", "z"]
 
 
+def test_events_histograms_count_every_event_and_user(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    rows = [("a", "view", 1.0), ("a", "click", 12.0), ("a", "purchase", 25.0), ("b", "view", 3.0), ("b", "view", 44.0), ("c", "view", None)]
+    spark.createDataFrame(rows, "user_id string, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    for name, expected in (("events_group_histogram_all", {3: 1, 2: 1}), ("events_type_histogram", {3: 1, 1: 2})):
+        assert {r.n_cambios: r["count"] for r in queries()[name](spark, str(tmp_path)).collect()} == expected
+
+
 def test_group_histogram_counts_distinct_groups(spark):
     rows = [(1, "A"), (1, "B"), (1, "A"), (2, "A"), (2, None), (3, "tok"), (4, "B"), (4, "C"), (4, "A")]
     df = spark.createDataFrame(rows, "id int, g string")
