@@ -46,9 +46,11 @@ SKETCH, MARGIN = 64, 0.3
 
 
 def runs_for(threshold: float = THRESHOLD, recall: float = RECALL, levels: int = LEVELS) -> int:
-    """Runs that a pair right at the threshold needs: it shares
-    2t / (1 + t) of a set, so q = 1 - exp(-2 / (1 + t))."""
-    q = 1 - math.exp(-2 / (1 + threshold))
+    """Runs that a pair right at the threshold needs, whatever its sizes: both must take
+    a shingle, so the larger set's chance 1 / (t * size) counts. A pair of equal sets shares
+    2t / (1 + t) of a set, 2 / (1 + t) taken ones on average; the worst pair, a set and a subset
+    of t of it, shares t of the larger, so 1 on average and q = 1 - exp(-1)."""
+    q = 1 - math.exp(-1)
     return math.ceil(math.log(1 - recall) / math.log(1 - q ** levels))
 
 

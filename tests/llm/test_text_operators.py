@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from caseflow.llm import decontaminate, flat, jaccard, language, packing, quality, rules, substring, tokens, toxicity
 
@@ -64,6 +65,28 @@ def test_large_buckets_and_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.class_id, r.n_links) for r in got.collect()} == want
 
 
+def test_runs_find_truncated_copies(spark):
+    """Sets of 50 shingles and their first 40 (J = 0.8) that share a path of all three levels in no run."""
+    assert (1 - (1 - np.exp(-1)) ** jaccard.LEVELS) ** jaccard.runs_for() <= 1 - jaccard.RECALL
+    n = 20_000
+    rows = spark.range(2 * n, numPartitions=16).selectExpr(
+        "id", "array_join(transform(sequence(1, if(id % 2 = 0, 54, 44)), k -> concat('w', id div 2, 'x', k)), ' ') AS text")
+    sets = jaccard.set_table(rows, "id", "text", jaccard.THRESHOLD, jaccard.runs_for())
+    runs = [f"transform(array_intersect(a.c{k}, b.c{k}), x -> shiftright(x, 32))" for k in (1, 2, 3)]
+    missed = sets.alias("a").join(sets.alias("b"), F.expr("a.id % 2 = 0 AND b.id = a.id + 1")) \
+        .where(f"NOT arrays_overlap(array_intersect({runs[0]}, {runs[1]}), {runs[2]})").count()
+    assert missed <= 2 * n * (1 - jaccard.RECALL)
+
+
+def test_truncated_copies_in_a_large_bucket(spark, monkeypatch):
+    base = data.prose(41, 104).split()
+    rows = [(0, " ".join(base))] + [(i, " ".join(base[i % 21:i % 21 + 83 + i // 21])) for i in range(1, 63)]
+    monkeypatch.setattr(jaccard, "SMALL", 8)
+    got = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = {r[0]: x for r, x in zip(rows, data.similarity(rows))}
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got.collect()} == want
+
+
 def test_repeats_against_brute_force(docs):
     rows = data.documents()
     want = sorted(((r[0], len(data.plain(r[1])), " ".join(x)) for r, x in zip(rows, data.repeats(rows))), key=str)
