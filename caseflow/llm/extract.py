@@ -21,8 +21,7 @@ page before and after it whose lines differ from those at its edge. A task holds
 lines of a run once, and of its copies the id and URL.
 
 Defined results: null html is an empty page; a null or odd URL is a page of
-the host ""; neighbours with the very same lines (copies) are passed over; the
-k-th occurrence of a line aligns only with the k-th in the other page; a p, li,
+the host ""; neighbours with the very same lines (copies) are passed over; a p, li,
 dt, dd, table part or head without an end tag ends where HTML ends it, other tags
 that are never closed end with their parent; a page cut off inside a tag ends
 there; an empty table gives an empty result.
@@ -49,6 +48,8 @@ from .arrow import map_texts, quoted, schema_of
 RANGES, PAGES_PER_RANGE = 2048, 2000
 #: Rows and characters of text in a batch of results.
 BATCH_ROWS, BATCH_CHARS = 500, 2_000_000
+#: Pairs of equal lines per line of two pages, above which they are halved.
+PAIRS = 16
 TEMPLATE, PLAIN, ARTICLE = 0, 1, 2
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
@@ -173,32 +174,51 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     return out
 
 
+def _lengths(a: Sequence, b: Sequence) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` and ``b[:j]`` for every j (bit-parallel)."""
+    places: dict = {}
+    for j, x in enumerate(b):
+        places.setdefault(x, []).append(j)
+    masks = {}
+    for x in set(a) & places.keys():
+        bits = np.zeros(len(b), np.uint8)
+        bits[places[x]] = 1
+        masks[x] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    ones = (1 << len(b)) - 1
+    v = ones
+    for x in a:
+        if x in masks:
+            u = v & masks[x]
+            v = ((v + u) | (v - u)) & ones
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(b)]
+    return np.r_[0, np.cumsum(1 - bits.astype(np.int64))]
+
+
 def aligned(a: Sequence, b: Sequence) -> set[int]:
-    """Positions of ``a`` in a longest common subsequence with ``b``, when
-    the k-th occurrence of a line may meet the k-th only."""
-    def numbered(x):
-        seen: dict = {}
-        for item in x:
-            seen[item] = seen.get(item, 0) + 1
-            yield item, seen[item]
-
-    place = {x: k for k, x in enumerate(numbered(b))}
-    pairs = [(k, place[x]) for k, x in enumerate(numbered(a)) if x in place]
+    """Positions of ``a`` in a longest common subsequence with ``b``: every line
+    meets every occurrence in the other page (Hunt-Szymanski); where these pairs
+    are many, ``a`` is halved at the best place of ``b`` first (Hirschberg)."""
+    places: dict = {}
+    for j, x in enumerate(b):
+        places.setdefault(x, []).append(j)
+    if len(a) > 1 and sum(len(places.get(x, ())) for x in a) > PAIRS * (len(a) + len(b)):
+        mid = len(a) // 2
+        at = int(np.argmax(_lengths(a[:mid], b) + _lengths(a[mid:][::-1], b[::-1])[::-1]))
+        return aligned(a[:mid], b[:at]) | {mid + k for k in aligned(a[mid:], b[at:])}
     tails: list[int] = []  # smallest last position of a subsequence of each length
-    last: list[int] = []
-    before = [-1] * len(pairs)
-    for n, (_, j) in enumerate(pairs):
-        k = bisect.bisect_left(tails, j)
-        before[n] = last[k - 1] if k else -1
-        if k == len(tails):
-            tails.append(j)
-            last.append(n)
-        else:
-            tails[k], last[k] = j, n
-    out, n = set(), last[-1] if last else -1
-    while n >= 0:
-        out.add(pairs[n][0])
-        n = before[n]
+    last: list[tuple] = []  # and its chain: (position in a, chain before)
+    for k, x in enumerate(a):
+        for j in reversed(places.get(x, ())):
+            n = bisect.bisect_left(tails, j)
+            if n == len(tails):
+                tails.append(j)
+                last.append((k, last[n - 1] if n else None))
+            elif tails[n] != j:
+                tails[n], last[n] = j, (k, last[n - 1] if n else None)
+    out, chain = set(), last[-1] if last else None
+    while chain:
+        out.add(chain[0])
+        chain = chain[1]
     return out
 
 

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -64,6 +65,26 @@ def test_alignment_is_a_common_subsequence():
     assert extract.aligned("", "a") == set() and extract.aligned("aaa", "aa") == {0, 1}
 
 
+@pytest.mark.parametrize("pairs", [16, 0.1])
+def test_alignment_is_the_longest(monkeypatch, pairs):
+    monkeypatch.setattr(extract, "PAIRS", pairs)
+    assert extract.aligned(["m", "A", "m", "B"], ["A", "m", "B"]) == {1, 2, 3}
+    rng = random.Random(1)
+    for _ in range(500):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 14))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        got = [a[k] for k in sorted(extract.aligned(a, b))]
+        rest = iter(b)
+        assert len(got) == best[-1][-1] and all(x in rest for x in got)
+
+
+def test_long_pages_of_one_line_align():
+    assert len(extract.aligned(["m"] * 5000 + ["A", "m"], ["m"] * 4000 + ["B", "m"])) == 4001
+
+
 def test_extracted_text(pages):
     got = {r.page_id: r for r in extract.extract_text(pages).collect()}
     assert len(got) == len(PAGES)
