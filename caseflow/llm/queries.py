@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, jaccard, language, packing, quality, rules, substring, toxicity, warc
+from . import (chat, decontaminate, extract, hardneg, jaccard, language, packing, quality, rules, spelling, substring,
+               toxicity, warc)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -51,6 +52,18 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_report(table(spark, sf, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hardneg.hard_negatives_report(table(spark, sf, "embeddings"))
+
+
+def op12_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.chat_report(table(spark, sf, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_report(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontaminate": op2_decontaminate,
@@ -62,10 +75,15 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language": op10_language,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_chat_format": op12_chat_format,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {
     "op2_decontaminate": decontaminate.REPORT_SQL,
     "op3_substring_dedup": substring.REPORT_SQL,
     "op7_warc": warc.REPORT_SQL,
+    "op11_hard_negatives": hardneg.REPORT_SQL,
+    "op12_chat_format": chat.REPORT_SQL,
 }
