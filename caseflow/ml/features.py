@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import TRAIN_FRACTION
 from ..names import as_list, col, quote
-from ..operators.vocab import Vocabulary, encode
+from ..operators.vocab import DEFAULT_BROADCAST_LIMIT, numbered_rows, relation_bytes, row_codes
 from ..session import cut_lineage
 
 LABEL = "label"
@@ -35,74 +35,113 @@ def encoded_name(name: str) -> str:
 _ROW_BITS = 33  # layout of monotonically_increasing_id
 
 
-def frequency_index(df: DataFrame, columns: Sequence[str]) -> dict[str, Vocabulary]:
-    """Per column, its values numbered 1..N by falling frequency, ties by text.
-
-    No value reaches the driver: (column, value) counts are range-sorted and
-    checkpointed, a value's number is its place in its partition plus the
-    places of its column in the partitions before.
-    """
-    cols = as_list(columns)
-    texts = df.select(*[col(c).cast("string").alias(f"v{i}") for i, c in enumerate(cols)])
-    long = texts.unpivot([], [f"v{i}" for i in range(len(cols))], "column", "value").where(F.col("value").isNotNull())
-    ordered = cut_lineage(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-                          .orderBy("column", F.desc("n"), "value"))
-    mid = F.monotonically_increasing_id()
-    placed = ordered.select("column", "value", F.shiftright(mid, _ROW_BITS).alias("part"),
-                            mid.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("pos"))
-    # at most one row per partition and column
-    sizes = placed.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"),
-                                                 F.sum(F.octet_length("value")).alias("bytes"))
-    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")) \
-        .select("column", "part", "offset")
-    numbered = placed.join(F.broadcast(offsets), ["column", "part"]) \
-        .select("column", "value", (F.col("offset") + F.col("pos") + 1).cast("int").alias("code"))
-    stats = {r["column"]: r for r in sizes.groupBy("column").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).collect()}
-    out = {}
-    for i, c in enumerate(cols):
-        r = stats.get(f"v{i}")
-        out[c] = Vocabulary(numbered.where(F.col("column") == f"v{i}").select("value", "code"),
-                            int(r["n"]) if r else 0, int(r["bytes"]) if r else 0)
-    return out
+@dataclass(frozen=True)
+class IndexedColumn:
+    """A column's part of an index: its tag there, how many values, their UTF-8 bytes."""
+
+    tag: str
+    size: int
+    text_bytes: int
 
 
 @dataclass
 class IndexModel:
-    """Fitted M1: adds ``indexed<Name>`` (0 = most frequent) for every column
-    and removes rows with a NULL or unseen value in any of them."""
+    """Fitted M1 over several columns: ``dictionary`` (column, value, code)
+    numbers each column's values 1..N by falling frequency. ``indexed<Name>``
+    columns count from 0 (most frequent)."""
+
+    dictionary: DataFrame
+    columns: dict[str, IndexedColumn]
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT
 
-    vocabularies: dict[str, Vocabulary]
+    def subset(self, columns: Sequence[str]) -> IndexModel:
+        """The same index for some of its columns."""
+        return IndexModel(self.dictionary, {c: self.columns[c] for c in columns}, self.broadcast_limit)
 
     def labels(self, column: str) -> list[str]:
         """The values of one column in index order, on the driver: for the label
         (as many as the model has classes)."""
-        return [r["value"] for r in self.vocabularies[column].table.orderBy("code").collect()]
+        own = self.dictionary.where(F.col("column") == self.columns[column].tag)
+        return [r["value"] for r in own.orderBy("code").collect()]
+
+    def codes(self, df: DataFrame) -> DataFrame:
+        """``df`` with every ``indexed<Name>``; NULL where the value is NULL or unseen.
+
+        An index of a checked small size: one broadcast hash join a column.
+        A larger one: all columns through one dictionary join (``row_codes``),
+        for one written copy of the rows however many columns there are.
+        """
+        names = {c: indexed_name(c) for c in self.columns}
+        kept = [col(c) for c in df.columns if c not in names.values()]
+        if sum(relation_bytes(x.size, x.text_bytes) for x in self.columns.values()) <= self.broadcast_limit:
+            out, found = df, {}
+            for i, (c, about) in enumerate(self.columns.items()):
+                side = self.dictionary.where(F.col("column") == about.tag) \
+                    .select(F.col("value").alias(f"__v{i}"), F.col("code").alias(f"__c{i}"))
+                out = out.join(F.broadcast(side), col(c).cast("string") == F.col(f"__v{i}"), "left")
+                found[c] = f"__c{i}"
+        else:
+            numbered = numbered_rows(df)
+            wide, found = row_codes(numbered, list(self.columns), self.dictionary,
+                                    [x.tag for x in self.columns.values()])
+            out = numbered.join(wide, "__row", "left")
+        code = {c: F.when(F.col(x) > 0, F.col(x) - 1).cast("double") for c, x in found.items()}
+        return out.select(*kept, *[code[c].alias(n) for c, n in names.items()])
+
+    def known(self, coded: DataFrame) -> DataFrame:
+        """Rows of ``codes`` with a known value in each of this index's columns,
+        which are marked as nominal for the model stages."""
+        about = {indexed_name(c): {"ml_attr": {"type": "nominal", "name": indexed_name(c), "num_vals": x.size}}
+                 for c, x in self.columns.items()}
+        for name in about:
+            coded = coded.where(col(name).isNotNull())
+        return coded.select(*[col(c).alias(c, metadata=about[c]) if c in about else col(c) for c in coded.columns])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for c, vocabulary in self.vocabularies.items():
-            name = indexed_name(c)
-            coded = encode(out.withColumn(name, col(c)), vocabulary, [name]).where(F.col(quote(name)) > 0)
-            about = {"ml_attr": {"type": "nominal", "name": name, "num_vals": vocabulary.size}}
-            out = coded.select(*[col(x) for x in df.columns], *[col(indexed_name(x)) for x in self.vocabularies
-                                                               if indexed_name(x) in coded.columns and x != c],
-                               (F.col(quote(name)) - 1).cast("double").alias(name, metadata=about))
-        return out
+        """Adds ``indexed<Name>`` for every column and removes rows with a NULL
+        or unseen value in any of them."""
+        return self.known(self.codes(df))
 
 
 @dataclass
 class IndexCategories:
     columns: list[str]
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT
 
     def fit(self, df: DataFrame) -> IndexModel:
-        return IndexModel(frequency_index(df, self.columns))
-
-
-def index_categories(columns: Sequence[str]) -> IndexCategories:
+        """Per column, its values numbered 1..N by falling frequency, ties by text.
+
+        No value reaches the driver: (column, value) counts are range-sorted and
+        checkpointed, a value's number is its place in its partition plus the
+        places of its column in the partitions before.
+        """
+        tags = {f"v{i}": c for i, c in enumerate(self.columns)}
+        texts = df.select(*[col(c).cast("string").alias(t) for t, c in tags.items()])
+        long = texts.unpivot([], list(tags), "column", "value").where(F.col("value").isNotNull())
+        ordered = cut_lineage(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+                              .orderBy("column", F.desc("n"), "value"))
+        mid = F.monotonically_increasing_id()
+        placed = ordered.select("column", "value", F.shiftright(mid, _ROW_BITS).alias("part"),
+                                mid.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("pos"))
+        # at most one row per partition and column
+        sizes = placed.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"),
+                                                     F.sum(F.octet_length("value")).alias("bytes"))
+        before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")) \
+            .select("column", "part", "offset")
+        dictionary = placed.join(F.broadcast(offsets), ["column", "part"]) \
+            .select("column", "value", (F.col("offset") + F.col("pos") + 1).cast("int").alias("code"))
+        seen = {r["column"]: r for r in sizes.groupBy("column").agg(
+            F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).collect()}
+        return IndexModel(dictionary, {
+            c: IndexedColumn(t, int(seen[t]["n"]), int(seen[t]["bytes"])) if t in seen else IndexedColumn(t, 0, 0)
+            for t, c in tags.items()}, self.broadcast_limit)
+
+
+def index_categories(columns: Sequence[str], broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> IndexCategories:
     """M1: indexer of several columns, outputs ``indexed<Name>``; order by
     frequency descending, ties by text."""
-    return IndexCategories(as_list(columns))
+    return IndexCategories(as_list(columns), broadcast_limit)
 
 
 def one_hot(indexed: Sequence[str]) -> OneHotEncoder:

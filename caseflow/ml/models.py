@@ -76,44 +76,57 @@ def feature_roles(columns: Sequence[str], kind: str, numeric: Sequence[str],
     return nums, [c for c in inputs if c not in nums]
 
 
-def train_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str],
-                seed: int = 42, num_classes: int | None = None) -> TrainedModel:
-    """Fit indexers, (one-hot), assembler and classifier on ``train``.
+ONE_HOT = ("logistic_regression", "naive_bayes")
+
 
-    A categorical column with one value in the training part would break the
+def _usable(kind: str, categorical: Sequence[str], index: IndexModel) -> list[str]:
+    """A categorical column with one value in the training part would break the
     one-hot encoder; where there is one, it is left out (Q11) and not indexed
-    either, so a test row with another value there is still scored.
-    """
-    numeric, categorical = as_list(numeric), as_list(categorical)
-    if kind == "multilayer_perceptron" and numeric:
-        # numeric inputs as double, as the original MLP script cast them
-        types = {f.name: f.dataType for f in train.schema.fields}
-        train = train.select(*[to_double(col(c), types[c]).alias(c) if c in numeric else col(c)
-                               for c in train.columns])
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    either, so a test row with another value there is still scored."""
+    return [c for c in categorical if kind not in ONE_HOT or index.columns[c].size > 1]
+
+
+def _numbers(df: DataFrame, kind: str, numeric: Sequence[str]) -> DataFrame:
+    """Numeric inputs as double for the MLP, as the original script cast them."""
+    if kind != "multilayer_perceptron" or not numeric:
+        return df
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[to_double(col(c), types[c]).alias(c) if c in numeric else col(c) for c in df.columns])
+
+
+def _fit(indexed: DataFrame, kind: str, numeric: Sequence[str], used: Sequence[str], n_classes: int,
+         seed: int) -> tuple[PipelineModel, list[str]]:
+    """(One-hot), assembler and classifier on indexed rows."""
+    stages: list = []
+    if kind in ONE_HOT:
+        if used:
+            stages.append(one_hot([indexed_name(c) for c in used]))
+        feats = [*numeric, *[encoded_name(c) for c in used]]
+    else:
+        feats = [*numeric, *[indexed_name(c) for c in used]]
+    if not feats:
+        raise ValueError("no usable input columns")
+    stages += [assemble(feats), _classifier(kind, len(feats), n_classes, seed)]
+    indexed = indexed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        used = categorical
-        if kind in ("logistic_regression", "naive_bayes") and categorical:
-            varied = train.agg(*[(F.min(col(c)) != F.max(col(c))).alias(f"v{i}") for i, c in enumerate(categorical)]).first()
-            used = [c for c, v in zip(categorical, varied) if v]
-        indexer = index_categories(used + [LABEL]).fit(train)
-        label_values = indexer.labels(LABEL)
-        indexed = indexer.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-        stages: list = []
-        if kind in ("logistic_regression", "naive_bayes"):
-            if used:
-                stages.append(one_hot([indexed_name(c) for c in used]))
-            feats = numeric + [encoded_name(c) for c in used]
-        else:
-            feats = numeric + [indexed_name(c) for c in used]
-        if not feats:
-            raise ValueError("no usable input columns")
-        stages += [assemble(feats), _classifier(kind, len(feats), num_classes or len(label_values), seed)]
-        model = Pipeline(stages=stages).fit(indexed)
+        return Pipeline(stages=stages).fit(indexed), feats
+    finally:
         indexed.unpersist()
+
+
+def train_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str],
+                seed: int = 42, num_classes: int | None = None) -> TrainedModel:
+    """Fit indexers, (one-hot), assembler and classifier on ``train``."""
+    numeric, categorical = as_list(numeric), as_list(categorical)
+    train = _numbers(train, kind, numeric).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        index = index_categories(categorical + [LABEL]).fit(train)
+        used = _usable(kind, categorical, index)
+        own, values = index.subset(used + [LABEL]), index.labels(LABEL)
+        model, feats = _fit(own.transform(train), kind, numeric, used, num_classes or len(values), seed)
     finally:
         train.unpersist()
-    return TrainedModel(kind, indexer, model, feats, label_values)
+    return TrainedModel(kind, own, model, feats, values)
 
 
 def score(model: TrainedModel, test: DataFrame) -> DataFrame:
@@ -141,15 +154,35 @@ class Evaluation:
     histogram: DataFrame
 
 
-def _evaluate(frame: DataFrame, label: str, kind: str, key: str, numeric: Sequence[str], num_classes: int,
+@dataclass
+class _LabelFrame:
+    """A label's model frame, written once with the codes of one index; the
+    index is fitted on the training part and serves every model kind."""
+
+    frame: DataFrame
+    coded: DataFrame
+    index: IndexModel
+    label_values: list[str]
+
+
+def _label_frame(frame: DataFrame, categorical: Sequence[str], key: str, train_fraction: float) -> _LabelFrame:
+    frame = cut_lineage(frame)
+    index = index_categories([*categorical, LABEL]).fit(split_by_key(frame, key, train_fraction)[0])
+    return _LabelFrame(frame, cut_lineage(index.codes(frame)), index, index.labels(LABEL))
+
+
+def _evaluate(data: _LabelFrame, label: str, kind: str, key: str, numeric: Sequence[str], num_classes: int | None,
               train_fraction: float, seed: int) -> Evaluation:
-    """Train and score on a written frame; one aggregation of the predictions
+    """Train and score on written, coded rows; one aggregation of the predictions
     (a row per attempt number at most twice) feeds accuracy and histogram."""
-    nums, cats = feature_roles(frame.columns, kind, numeric, exclude=[key])
-    train, test = split_by_key(frame, key, train_fraction)
-    trained = train_model(train, kind, nums, cats, seed=seed, num_classes=num_classes)
-    pred = score(trained, test)
-    summary = cut_lineage(summarise(test, pred))
+    nums, cats = feature_roles(data.frame.columns, kind, numeric, exclude=[key])
+    used = _usable(kind, cats, data.index)
+    own = data.index.subset([*used, LABEL])
+    train, test = split_by_key(_numbers(own.known(data.coded), kind, nums), key, train_fraction)
+    model, feats = _fit(train, kind, nums, used, num_classes or len(data.label_values), seed)
+    trained = TrainedModel(kind, own, model, feats, data.label_values)
+    pred = model.transform(test)
+    summary = cut_lineage(summarise(split_by_key(data.frame, key, train_fraction)[1], pred))
     metrics = summary_metrics(summary).select(F.lit(label).alias("label_name"), F.lit(kind).alias("model"),
                                               "accuracy", "n_scored", "n_skipped")
     return Evaluation(label, kind, trained, pred, metrics, summary_histogram(summary))
@@ -167,15 +200,17 @@ def evaluate_labels(table: DataFrame, labels: Sequence[str], kinds: Sequence[str
                     numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = TRAIN_FRACTION,
                     seed: int = 42, all_labels: Sequence[str] | None = None) -> tuple[DataFrame, list[Evaluation]]:
     """Every label x every model kind; metrics as one DataFrame. The
-    model frame of a label is written once and serves all kinds; the label
+    model frame of a label is written once, indexed once and serves all kinds; the label
     count (the MLP's output width, over the whole set, Q19) is taken from it."""
     runs = []
     for label in as_list(labels):
-        frame = cut_lineage(model_frame(table, label, all_labels or labels, drop, key))
+        frame = model_frame(table, label, all_labels or labels, drop, key)
+        roles = [feature_roles(frame.columns, kind, numeric, exclude=[key])[1] for kind in as_list(kinds)]
+        data = _label_frame(frame, list(dict.fromkeys(c for cats in roles for c in cats)), key, train_fraction)
         num_classes = None
         for kind in as_list(kinds):
             if kind == "multilayer_perceptron" and num_classes is None:
-                num_classes = frame.select(col(LABEL)).distinct().count()
-            runs.append(_evaluate(frame, label, kind, key, numeric,
+                num_classes = data.frame.select(col(LABEL)).distinct().count()
+            runs.append(_evaluate(data, label, kind, key, numeric,
                                   num_classes if kind == "multilayer_perceptron" else None, train_fraction, seed))
     return reduce(DataFrame.unionByName, [r.metrics for r in runs]), runs

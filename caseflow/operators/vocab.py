@@ -27,6 +27,11 @@ DEFAULT_BROADCAST_LIMIT = 128 * 1024 * 1024
 FREQUENT_PARTS = 1000  # a value with a thousandth of all cells is frequent
 
 
+def relation_bytes(size: int, text_bytes: int) -> int:
+    """Upper estimate of a broadcast hash relation from ``size`` values to codes."""
+    return 2 * text_bytes + size * _ENTRY_OVERHEAD
+
+
 @dataclass
 class Vocabulary:
     """``table`` has columns ``value`` (string) and ``code`` (int)."""
@@ -38,7 +43,7 @@ class Vocabulary:
     @property
     def estimated_bytes(self) -> int:
         """Upper estimate of the broadcast hash relation built from ``table``."""
-        return 2 * self.text_bytes + self.size * _ENTRY_OVERHEAD
+        return relation_bytes(self.size, self.text_bytes)
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -100,24 +105,43 @@ def _encode_broadcast(df: DataFrame, vocab: Vocabulary, cols: list[str]) -> Data
                         for c in df.columns])
 
 
-def _encode_shuffle(df: DataFrame, vocab: Vocabulary, cols: list[str]) -> DataFrame:
-    numbered = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
-    names = [f"__e{i}" for i in range(len(cols))]
-    long = (numbered.select("__row", *[col(c).cast("string").alias(n) for c, n in zip(cols, names)])
-            .unpivot(["__row"], names, "__column", "value").where(F.col("value").isNotNull()))
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """``df`` and a number ``__row`` a row, written so that numbers never change."""
+    return cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
+
+
+def row_codes(numbered: DataFrame, columns: Sequence[str], dictionary: DataFrame,
+              tags: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """The codes of all cells of ``columns`` by row number: a table of ``__row``
+    and one column for each, and the names of these.
+
+    ``dictionary`` is (value, code), or with ``tags`` (column, value, code) where
+    a tag names each column's own part of it. All columns go through one join:
+    their cells become ``(row, column, value)`` and come back by one exchange on
+    the row number. NULL stays NULL, an unknown value is 0.
+    """
+    names = list(tags) if tags else [f"__e{i}" for i in range(len(columns))]
+    keys = ["column", "value"] if tags else ["value"]
+    long = (numbered.select("__row", *[col(c).cast("string").alias(n) for c, n in zip(columns, names)])
+            .unpivot(["__row"], names, "column", "value").where(F.col("value").isNotNull()))
     # A value that holds a large part of all cells would be one join key: there are at most
     # FREQUENT_PARTS such values, so these few are broadcast and only the others are shuffled.
-    counts = long.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    total = numbered.count() * len(cols)
-    frequent = counts.where(F.col("n") * FREQUENT_PARTS >= total).join(vocab.table, "value", "left") \
-        .select("value", F.coalesce("code", F.lit(0)).alias("code"))
-    often = long.join(F.broadcast(frequent), "value").select("__row", "__column", "code")
-    rare = long.join(F.broadcast(frequent.select("value")), "value", "left_anti") \
-        .join(vocab.table, "value", "left").select("__row", "__column", F.coalesce("code", F.lit(0)).alias("code"))
+    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    total = numbered.count() * len(columns)
+    frequent = counts.where(F.col("n") * FREQUENT_PARTS >= total).join(dictionary, keys, "left") \
+        .select(*keys, F.coalesce("code", F.lit(0)).alias("code"))
+    often = long.join(F.broadcast(frequent), keys).select("__row", "column", "code")
+    rare = long.join(F.broadcast(frequent.select(*keys)), keys, "left_anti") \
+        .join(dictionary, keys, "left").select("__row", "column", F.coalesce("code", F.lit(0)).alias("code"))
     # back to one row per row number: one conditional max per column (a single hash
     # aggregation with one exchange; ``pivot`` would plan two)
     wide = often.unionByName(rare).groupBy("__row").agg(
-        *[F.max(F.when(F.col("__column") == n, F.col("code"))).alias(n) for n in names])
-    index = dict(zip(cols, names))
+        *[F.max(F.when(F.col("column") == n, F.col("code"))).alias(n) for n in names])
+    return wide, dict(zip(columns, names))
+
+
+def _encode_shuffle(df: DataFrame, vocab: Vocabulary, cols: list[str]) -> DataFrame:
+    numbered = numbered_rows(df)
+    wide, index = row_codes(numbered, cols, vocab.table)
     return numbered.join(wide, "__row", "left").select(
         *[F.col(index[c]).alias(c) if c in index else col(c) for c in df.columns])
