@@ -7,6 +7,8 @@ sides; every computed column has the same alias in Spark and in SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,6 +188,13 @@ def q_string_index(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("id", *[c for c in out.columns if c.startswith("indexed")])
 
 
+def q_string_index_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The one-join path: no index is small enough for a limit of 0; one customer in eight is unseen."""
+    t = _large(spark, sf)
+    model = index_categories(LARGE, broadcast_limit=0).fit(t.where(F.col("customer").substr(-1, 1) != "7"))
+    return model.transform(t).drop(*LARGE)
+
+
 def _nb_orders(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     return o.select("o_orderkey", "o_orderstatus",
@@ -272,6 +281,31 @@ def q_e1_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics
 
 
+def q_e1_scored_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the models cannot change: held-out rows that are scored, skipped, and in the histogram."""
+    _, runs = evaluate_labels(_model_table(spark, sf), S.labels, KINDS, S.id_col, numeric=S.numeric,
+                              drop=S.not_relevant)
+    rows = [x for run in runs for x in (
+        run.metrics.select("label_name", "model", "n_scored", "n_skipped"),
+        run.histogram.agg(F.sum("count").alias("n_counted"))
+        .select(F.lit(run.label).alias("label_name"), F.lit(run.kind).alias("model"), "n_counted"))]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return both.groupBy("label_name", "model").agg(*[F.max(c).alias(c) for c in ("n_scored", "n_skipped", "n_counted")])
+
+
+def q_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 without a schema: types and day-first times are inferred."""
+    day_first = "dd/MM/yyyy HH:mm:ss"
+    path = scratch_path(spark, "csv-inferred")
+    write_table(tickets(spark, sf).withColumn("ts", F.date_format("ts", day_first)), path, fmt="csv", sep=";")
+    log = read_event_log(spark, path, timestamp_format=day_first)
+    types = {f.name: f.dataType.simpleString() for f in log.schema.fields}
+    return log.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).select(
+        "id", "ts", "l_linenumber", "l_quantity", "sparse", "priority",
+        *[F.lit(types[c].replace("timestamp_ntz", "timestamp")).alias(f"{c}_type")
+          for c in ("id", "ts", "l_quantity", "sparse", "priority")])
+
+
 def q_encoded_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The encoded table written as CSV and read back with its own types."""
     path = scratch_path(spark, "encoded")
@@ -317,6 +351,7 @@ QUERIES = {
     "attempts_histogram": q_attempts_histogram,
     "split_by_key": q_split_by_key,
     "string_index": q_string_index,
+    "string_index_large": q_string_index_large,
     "naive_bayes_score": q_naive_bayes_score,
     "naive_bayes_metrics": q_naive_bayes_metrics,
     "logreg_attempts": _separable_query("logistic_regression"),
@@ -331,6 +366,8 @@ QUERIES = {
     "e1_forest_attempts": _attempts_query("random_forest"),
     "e1_mlp_attempts": _attempts_query("multilayer_perceptron"),
     "e1_model_metrics": q_e1_model_metrics,
+    "e1_scored_counts": q_e1_scored_counts,
+    "csv_inferred": q_csv_inferred,
     "encoded_roundtrip": q_encoded_roundtrip,
     "report_roundtrip": q_report_roundtrip,
     "to_double": q_to_double,
@@ -511,6 +548,12 @@ STRING_INDEX_SQL = (CONSOLIDATE_SQL.replace("\nSELECT f.id,", ",\nc AS (SELECT f
                                                     for c in STRING_INDEX_COLS)
                     + " FROM c " + " ".join(f"JOIN ix_{c} ON c.{c} = ix_{c}.v" for c in STRING_INDEX_COLS))
 
+STRING_INDEX_LARGE_SQL = (
+    f"WITH {_LARGE_SQL}, known AS (SELECT * FROM l WHERE right(customer, 1) <> '7'),\n"
+    + ",\n".join(_rank_sql(c, "known") for c in LARGE)
+    + "\nSELECT l.id, " + ", ".join(f"ix_{c}.idx AS indexed{c[:1].upper()}{c[1:]}" for c in LARGE)
+    + " FROM l " + " ".join(f"JOIN ix_{c} ON l.{c} = ix_{c}.v" for c in LARGE))
+
 # Multinomial naive Bayes on one-hot inputs in closed form (smoothing 1):
 #   pi_y = ln(n_y + 1) - ln(N + C);  theta_yj = ln(n_yj + 1) - ln(sum_j n_yj + F)
 # with F the one-hot width (last category dropped). Prediction = best score,
@@ -592,6 +635,23 @@ best AS (SELECT ostatus, status, grp AS predicted FROM (  -- equal counts: the l
            FROM e JOIN tot USING (grp) WHERE tr GROUP BY ostatus, status, grp) WHERE r = 1)
 SELECT e.id, e.grp AS label, best.predicted FROM e JOIN best USING (ostatus, status) WHERE NOT e.tr"""
 
+# Rows with an unseen value are skipped; one-valued inputs only count where they are not one-hot encoded (Q11).
+_SEEN = {c: f"{c} IN (SELECT {c} FROM tr)" for c in ("ostatus", "status", "grp")}
+_SEEN_OR_CONSTANT = {c: f"({_SEEN[c]} OR (SELECT count(DISTINCT {c}) FROM tr) = 1)" for c in ("ostatus", "status")}
+_SCORED_IF = {
+    **dict.fromkeys(("logistic_regression", "naive_bayes"), [*_SEEN_OR_CONSTANT.values(), _SEEN["grp"]]),
+    **dict.fromkeys(("decision_tree", "random_forest"), [_SEEN["grp"]]),
+    "multilayer_perceptron": list(_SEEN.values())}
+SCORED_COUNTS_SQL = f"""WITH e AS (SELECT *, {_in_train('id')} AS t FROM ({FULL_FLOW_SQL}) ff
+           WHERE ostatus IS NOT NULL AND status IS NOT NULL AND grp IS NOT NULL),
+tr AS (SELECT * FROM e WHERE t), te AS (SELECT * FROM e WHERE NOT t)
+SELECT 'grp' AS label_name, model, n_scored, (SELECT count(*) FROM te) - n_scored AS n_skipped, n_scored AS n_counted
+FROM (""" + " UNION ALL ".join(
+    f"SELECT '{k}' AS model, (SELECT count(*) FROM te WHERE {' AND '.join(c)}) AS n_scored" for k, c in _SCORED_IF.items()) + ") m"
+CSV_INFERRED_SQL = (f"{T}\nSELECT id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, l_linenumber, l_quantity, "
+                    "CAST(sparse AS INTEGER) AS sparse, priority, 'int' AS id_type, 'timestamp' AS ts_type, "
+                    "'double' AS l_quantity_type, 'int' AS sparse_type, 'string' AS priority_type FROM tickets")
+
 
 def _to_double_sql(c: str) -> str:
     return f"TRY_CAST({c} AS DOUBLE) AS {c}_double"
@@ -607,6 +667,8 @@ ORACLES = {
     "model_metrics": SEPARABLE_METRICS_SQL,
     "saturated_logreg_attempts": SATURATED_SQL,
     "tree_predictions": TREE_SQL,
+    "e1_scored_counts": SCORED_COUNTS_SQL,
+    "csv_inferred": CSV_INFERRED_SQL,
     "encoded_roundtrip": ENCODE_SQL,
     "report_roundtrip": HISTOGRAM_SQL,
     "to_double": TO_DOUBLE_SQL,
@@ -640,6 +702,7 @@ FROM tickets""",
 SELECT o_orderkey, k, CASE WHEN {_in_train('k')} THEN 'train' ELSE 'test' END AS part FROM o
 UNION ALL SELECT o_orderkey, k, CASE WHEN {_in_train('k', 0.95)} THEN 'train95' ELSE 'test95' END FROM o""",
     "string_index": STRING_INDEX_SQL,
+    "string_index_large": STRING_INDEX_LARGE_SQL,
     "naive_bayes_score": NAIVE_BAYES_SQL,
     "naive_bayes_attempts": (f"SELECT Groups_assigned, count(*) AS count FROM ({TICKET_NB_SQL}) nb "
                              "GROUP BY Groups_assigned ORDER BY Groups_assigned"),

@@ -42,6 +42,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 _LOCAL = ("file:", "/")
+_ENDING: set[tuple[str, str]] = set()
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Make the folder, and remove it with all it holds when the application's
+    JVM ends, on whatever store it is."""
+    sc = spark.sparkContext
+    if (sc.applicationId, path) in _ENDING:
+        return
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(sc._jsc.hadoopConfiguration())
+    store.mkdirs(place)
+    store.deleteOnExit(place)
+    _ENDING.add((sc.applicationId, path))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -53,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     set. On any other master a folder that this process made up, or one below
     the machine's temporary folder that no setting names, is an error: it does
     not survive the loss of an executor.
+
+    The folder of an application (Spark makes a new one below the named folder)
+    holds nothing that outlives it, so it goes when the application ends.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -63,19 +80,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not local and not configured and current.startswith(_LOCAL) and own.startswith(tempfile.gettempdir()):
             raise RuntimeError(f"the checkpoint folder {current} is local to one machine; "
                                "name a shared folder in spark.checkpoint.dir")
+        remove_at_end(spark, current)
         return current
     if configured:
         sc.setCheckpointDir(configured)
+        remove_at_end(spark, sc.getCheckpointDir())
         return sc.getCheckpointDir()
     if not local:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="caseflow-ckpt-"))
+    own = tempfile.mkdtemp(prefix="caseflow-ckpt-")
+    sc.setCheckpointDir(own)
+    remove_at_end(spark, own)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+    """A fresh sub-folder of the shared checkpoint folder for written tables; it
+    goes with that folder when the application ends, or earlier by :func:`drop_path`."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     if not base:
         raise RuntimeError("no checkpoint folder")

@@ -29,7 +29,9 @@ def read_event_log(spark: SparkSession, path: str, fmt: str = "csv", sep: str =
         if schema is None:
             reader = reader.option("inferSchema", True)
         if timestamp_format:
-            reader = reader.option("timestampFormat", timestamp_format).option("dateFormat", timestamp_format)
+            reader = reader.option("timestampFormat", timestamp_format)
+            if not set(timestamp_format) & set("HhKkmsS"):  # with a time of day, a column read as dates would lose it
+                reader = reader.option("dateFormat", timestamp_format)
     return reader.format(fmt).load(path)
 
 
