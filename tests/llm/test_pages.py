@@ -1,6 +1,8 @@
 import gzip
 import hashlib
+import html as entities
 import random
+import re
 
 import pytest
 
@@ -60,6 +62,71 @@ def test_left_out_end_tags(page):
     assert [x for x, r in lines if r] == ["text"] and {x for x, r in lines if not r} <= {"buy"}
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<form id=f><article><p>Main text", "Main text"), ('<div class="page has-sidebar"><article><p>Main text', "Main text"),
+    ('<div class="no-comments"><p>Main text', "Main text"), ('<div class="elementor-widget-text">Main text', "Main text"),
+    ("<section id=widget-area-2><h1>T</h1><p>Main text", "T|Main text"), ('<div class="notice"><main>text', "text"),
+    ("<article><p>Before</p><svg class=i /><p>After</p>", "Before|After"),
+    ("<article><p>a</p><svg><svg><text>x</text></svg><text>y</text></svg><p>b", "a|b"),
+    ("<template><p>no<template>n</template></p></template><p>yes", "yes"),
+    ("<a title=Bob's href=x>link</a> main text don't drop</p>", "link main text don't drop"),
+    ("<!--> <p>Main</p> <!-- x -->", "Main"), ("<!---> <p>Main</p>", "Main"), ("<p>a<!-- <p>b --!><p>c", "a|c"),
+    ("<form action=/x><h1>T</h1><p>long main text</p><label>Name</label><button>go</button></form>", "T|long main text"),
+    ("<p a=\"x>y\" b='x>y' c=>text<p d='>z", "text"), ("<p =a>text", "text"), ("<p/class=ad/>buy<p>text", "text")])
+def test_the_main_text_is_kept(page, text):
+    assert "|".join(x for x, r in extract.lines_of(page) if r) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<article>text<form>Search: <p>q</form>", '<div class="comments"><article>c</article></div><article>text',
+    '<div class="comments-area"><article class="comment">c</article></div><article>text',
+    '<article>text<section class="user-comments">a much longer reader comment</section>',
+    '<div class="sidebar-left">li</div><p>text',
+    '<form>Search: <input><label>a long label</label></form><p>text', "<article>text<div class=ad-slot>buy this now</div>"])
+def test_what_goes_beside_the_main_text(page):
+    assert [x for x, r in extract.lines_of(page) if r] == ["text"]
+
+
+def article_of(html):
+    """The article of a given page, read without the operator."""
+    inner = re.search(r"<article>(.*?)</article>", html, re.S)[1].replace("<br>", " ")
+    blocks = (entities.unescape(re.sub(r"<[^>]+>", "", x)) for x in re.split(r"</?(?:p|h1)>", inner))
+    return "\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
+
+
+def test_articles_of_the_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: (r.text, r.n_chars) for r in extract.extract_report(pages).collect()}
+    want = {r.page_id: article_of(r.html) for r in pages.collect()}
+    assert got == {k: (v, len(v)) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("per_range", [2000, 5])
+def test_pages_without_marks_lose_what_neighbours_share(spark, monkeypatch, per_range):
+    """Nothing but differencing tells template and text apart here."""
+    monkeypatch.setattr(extract, "PAGES_PER_RANGE", per_range)
+    rng, rows = random.Random(5), []
+    for k in range(120):
+        host = rng.choice("abc")
+        own = [f"own {k} {j}" for j in range(rng.randint(0, 4))]
+        top, foot = [f"{host} top {j}" for j in range(3)], [f"{host} foot {j}" for j in range(rng.choice([2, 2, 0]))]
+        rows.append((k, f"http://{host}.com/s{rng.randint(0, 3)}/{k:03}", [*top, *own, *foot]))
+        if k % 9 == 0:
+            rows.append((1000 + k, rows[-1][1], rows[-1][2]))  # a copy
+    table = [(i, u, "<body>" + "".join(f"<div>{x}</div>" for x in lines)) for i, u, lines in rows]
+    got = {r.page_id: r.text for r in extract.extract_text(spark.createDataFrame(table, SCHEMA)).collect()}
+    order = sorted(rows, key=lambda r: (r[1], f"{r[0]:020}"))
+    for at, (i, url, lines) in enumerate(order):
+        shared = set()
+        for step in (-1, 1):
+            k = at + step
+            while 0 <= k < len(order) and order[k][1][:12] == url[:12] and order[k][2] == lines:
+                k += step
+            if 0 <= k < len(order) and order[k][1][:12] == url[:12]:
+                shared |= set(order[k][2])
+        assert got[i] == "\n".join(x for x in lines if x not in shared), url
+
+
 def test_alignment_is_a_common_subsequence():
     assert extract.aligned("abcab", "xacbab") == {0, 2, 3, 4}
     assert extract.aligned("", "a") == set() and extract.aligned("aaa", "aa") == {0, 1}
