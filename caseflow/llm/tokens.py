@@ -3,13 +3,17 @@
 For a tokenizer whose pieces never cross white space and that marks the end of
 a word, a text's ids are those of its words one after the other. The words of
 a slice are looked up in a bounded table; only unseen words go through the
-tokenizer, many at a time. Any other tokenizer encodes whole texts.
+tokenizer, many at a time. A word that holds the string of a special token goes
+through it alone, so that it is split there as the tokenizer does. Any other
+tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+import re
 import unicodedata
 
 import numpy as np
@@ -24,14 +28,14 @@ _GROUP = 2000
 
 
 class WordEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = specials_as_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         kinds = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
@@ -39,6 +43,9 @@ class WordEncoder:
         suffix = spec["model"].get("end_of_word_suffix")
         self.by_word = bool(suffix) and kinds == ["NFC", "Replace", "Lowercase"] and bool(steps) \
             and steps[0].get("type") == "Split" and bool(steps[0].get("invert"))
+        added = [] if specials_as_text else spec.get("added_tokens") or []
+        self.by_word &= not any(re.search(r"\s", x["content"]) or x["normalized"] or x["single_word"] for x in added)
+        self.special = re.compile(b"|".join(re.escape(x["content"].encode()) for x in added)) if added else None
         if self.by_word:
             self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
             vocab = self.tokenizer.get_vocab()
@@ -69,11 +76,18 @@ class WordEncoder:
             sizes.append(size)
         return np.concatenate(parts), np.concatenate(sizes).astype(np.int64)
 
-    def _learn(self, w: flat.Words, at: np.ndarray) -> None:
+    def _learn(self, w: flat.Words, at: np.ndarray, alone: bool) -> None:
         keys, first = np.unique(w.hash[at], return_index=True)
+        if not len(keys):
+            return
         at = at[first]
         raw = w.raw.tobytes()
-        ids, size = self._encode_words([raw[s:e].decode() for s, e in zip(w.start[at].tolist(), w.end[at].tolist())])
+        words = [raw[s:e].decode() for s, e in zip(w.start[at].tolist(), w.end[at].tolist())]
+        if alone:
+            each = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in words]
+            ids, size = np.array([i for x in each for i in x], dtype=np.uint32), np.array([len(x) for x in each], dtype=np.int64)
+        else:
+            ids, size = self._encode_words(words)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[self.used:self.used + len(ids)] = ids
@@ -82,6 +96,19 @@ class WordEncoder:
         self.length = np.concatenate([self.length, size])
         self.used += len(ids)
 
+    def _with_specials(self, w: flat.Words) -> np.ndarray:
+        """Which words hold a special token's string; these are told apart by
+        their own bytes, not by the lower-cased ones."""
+        odd = np.zeros(len(w.hash), dtype=bool)
+        raw = w.raw.tobytes() if self.special else b""
+        at = [m.start() for m in self.special.finditer(raw)] if self.special else []
+        if at:
+            odd[np.searchsorted(w.start, at, "right") - 1] = True
+            for k in np.flatnonzero(odd).tolist():
+                own = hashlib.blake2b(raw[w.start[k]:w.end[k]], digest_size=8, person=b"special").digest()
+                w.hash[k] = int.from_bytes(own, "little")
+        return odd
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and each text's offset (one more than texts)."""
         if not self.by_word:
@@ -90,23 +117,33 @@ class WordEncoder:
             return (np.array([i for x in each for i in x], dtype=np.uint32),
                     np.r_[0, np.cumsum([len(x) for x in each])].astype(np.int64))
         w = flat.words(texts, _LOWER)
+        odd = self._with_specials(w)
         number = self.index.get(w.hash)
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            if self.index.full(len(new)):
+        new = number < 0
+        if new.any():
+            if self.index.full(int(new.sum())):
                 self.clear()
-                new = np.arange(len(w.hash))
-            self._learn(w, new)
+                new[:] = True
+            self._learn(w, np.flatnonzero(new & ~odd), False)
+            self._learn(w, np.flatnonzero(new & odd), True)
             number = self.index.get(w.hash)
         size = self.length[number]
         return self.ids[flat.expand(size, self.start[number])], np.r_[0, np.cumsum(size)][w.first]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+def default_path() -> str:
+    """The tokenizer file that packing takes unless another one is named."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+_ENCODERS: dict[str | None, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """This worker's encoder of a tokenizer file."""
+def encoder(path: str | None = None) -> WordEncoder:
+    """This worker's encoder of a tokenizer file; of the default one, wherever
+    this machine has it."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = WordEncoder(path or default_path())
     return _ENCODERS[path]

@@ -227,19 +227,44 @@ def test_language_held_out_and_switches(spark):
     assert [(got[k].lang_pred, got[k].score) for k in (2, 3, 4)] == [("und", 0.0)] * 3
 
 
-def test_tokens_are_the_tokenizers_own():
+SPECIALS = ["a <|endoftext|> b", "a<|endoftext|>b", "<|ENDOFTEXT|>", "x<|startoftext|><|endoftext|>Y", "<|endoftext|", " <|endoftext|>",
+            "ab<|EndOfText|>cd <|endoftext|>!\n<|startoftext|>", "<|endoftext|>" * 50]
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_tokens_are_the_tokenizers_own(as_text):
     tokenizers = pytest.importorskip("tokenizers")
-    texts = [r[1] for r in data.documents()] + ["it's <|endoftext|> DON'T İ ΣΑΣ", "a\u0085b\x1cc", "café ½"]
-    plain = tokenizers.Tokenizer.from_file(packing.TOKENIZER)
-    plain.encode_special_tokens = True
-    ids, at = tokens.WordEncoder(packing.TOKENIZER).encode(pa.array(texts))
-    for i, t in enumerate(texts):
-        assert ids[at[i]:at[i + 1]].tolist() == plain.encode(t or "", add_special_tokens=False).ids
+    texts = [r[1] for r in data.documents()] + ["it's <|endoftext|> DON'T İ ΣΑΣ", "a\u0085b\x1cc", "café ½", *SPECIALS, *SPECIALS]
+    plain = tokenizers.Tokenizer.from_file(tokens.default_path())
+    plain.encode_special_tokens = as_text
+    own = tokens.WordEncoder(tokens.default_path(), specials_as_text=as_text)
+    for part in (texts, SPECIALS[::-1]):
+        ids, at = own.encode(pa.array(part))
+        for i, t in enumerate(part):
+            assert ids[at[i]:at[i + 1]].tolist() == plain.encode(t or "", add_special_tokens=False).ids
+
+
+def test_packed_ids_are_those_of_the_plain_tokenizer(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    plain = tokenizers.Tokenizer.from_file(tokens.default_path())
+    docs = spark.createDataFrame(list(enumerate(SPECIALS)), "doc_id long, text string")
+    got = {r.doc_id: r for r in packing.pack_report(docs).collect()}
+    for i, t in enumerate(SPECIALS):
+        ids = np.array(plain.encode(t, add_special_tokens=False).ids + [2], "<u4")
+        assert (got[i].doc_tokens, got[i].length, got[i].ids_crc32) == (len(ids), len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_short_texts_are_packed_with_little_padding(spark):
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN NULL ELSE repeat('a ', 2 + CAST(id % 6 AS INT)) END AS text")
+    out = packing.pack_report(docs)
+    r = out.agg(F.sum("length").alias("n"), F.countDistinct("sequence_id").alias("s"), F.count(F.lit(1)).alias("rows")).first()
+    assert r.rows == 12_000 and r.n > 0.95 * 4096 * r.s
+    assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").isEmpty()
 
 
 def test_packing_round_trip(docs):
     out = packing.pack_documents(docs, with_ids=True).toPandas()
-    encoder = tokens.WordEncoder(packing.TOKENIZER)
+    encoder = tokens.WordEncoder(tokens.default_path())
     rows = data.documents()
     ids, at = encoder.encode(pa.array([r[1] for r in rows]))
     want = sorted((str(r[0]), tuple(ids[at[i]:at[i + 1]].tolist()) + (2,)) for i, r in enumerate(rows))
