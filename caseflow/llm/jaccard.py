@@ -363,9 +363,10 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
                             F.col("rk"))).alias("one")).select("one.id", "one.rk")
     alone = classes.where(F.col("class_key").isNull()).select(F.col(quoted(doc_id)).alias("id"), "rk")
     chosen = first.unionByName(alone.distinct()).select(F.col("id").alias("__id"), F.col("rk").alias("__rk"))
-    rows = docs.withColumn("__key", F.xxhash64(F.col(quoted(text))))
-    kept = rows.join(chosen, (F.col("__key") == F.col("__rk")) & rows[doc_id].eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates([doc_id, "__key"]).select(*[quoted(c) for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"),
+                       F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("rk"))
+    kept = rows.join(chosen, (F.col("rk") == F.col("__rk")) & F.col("id").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates(["id", "rk"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def join_report(docs: DataFrame) -> DataFrame:

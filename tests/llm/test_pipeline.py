@@ -1,5 +1,8 @@
+import glob
+
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from . import data
 
@@ -40,3 +43,31 @@ def test_no_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).isEmpty()
+
+
+def test_columns_of_any_name_stay_as_they_are(spark, folder):
+    """Names that stages compute or use inside, with a dot, of other types."""
+    names = ["n_words", "n_removed", "n_hit", "spans", "kept", "items", "rejected", "p_toxic", "p_mention", "__key", "__rest",
+             "__row", "row", "id", "rk", "a.b", "whole", "at", "class_id", "__text", "bucket", "key", "uid"]
+    base = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", F.col("n_chars").cast("int"), "lang")
+    wide = base.select(*base.columns, *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names],
+                       F.array(F.struct(F.col("doc_id").alias("x.y"))).alias("nested"), F.lit(True).alias("c0"))
+    before = {r["doc_id"]: r for r in wide.where("doc_id IS NOT NULL").collect()}
+    docs = wide
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, folder)
+        assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in wide.schema], name
+        docs = spark.createDataFrame(out.collect(), wide.schema)
+    rows = [r for r in docs.collect() if r["doc_id"] is not None]
+    assert len(rows) > 8
+    for r in rows:
+        old = before[r["doc_id"]]
+        assert all(r[c] == old[c] for c in wide.columns if c not in ("text", "n_chars"))
+        assert r["text"] == old["text"] or r["n_chars"] == len(r["text"]) < old["n_chars"]
+
+
+def test_run_leaves_only_its_result(spark, folder):
+    before = set(glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/pipeline-*"))
+    assert corpus_pipeline.run(spark, folder).count() > 0
+    after = glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/pipeline-*")
+    assert ["packing" in x for x in set(after) - before] == [True]
