@@ -9,13 +9,18 @@ with the largest sum over all its words, its score that sum's share.
 
 A chain is a line of text, cut every ``CHAIN`` words; all chains of a slice
 advance together. Training takes at most ``SAMPLE`` documents with a language
-that are not held out, and mixes pieces of different languages into its
+that are not held out, as many of each language (and the bytes that ``samples``
+allows; of more than ``SAMPLE`` languages, the most frequent ones), and mixes pieces of different languages into its
 chains, so switches are learned. Scoring reads every text whole, in place,
-without a shuffle; the model has a fixed size per language and is broadcast.
+without a shuffle; the model is broadcast. Its tables have ``BITS`` bits of slots up
+to ``DENSE`` languages, and half as many whenever there are twice as many, so
+its size is bounded for any number of them.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; without any labelled row every text is; ties go to the first language by
-name; repeated rows score alike; an empty table gives an empty result.
+name; repeated rows score alike, and are one document in training (a document of several
+languages has the first by name); with one language learned, every text with a letter has it; a very
+long text is whole in its task; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,30 +29,37 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import flat
 from .arrow import map_texts, quoted
-from .samples import held_out
+from .samples import held_out, in_order, texts_of
 
 SAMPLE, BITS, CHAIN, STEPS = 1200, 16, 96, 240
-#: At most so many languages: the model's size is proportional to them.
-LANGUAGES = 200
+#: So many languages have tables of ``BITS`` bits.
+DENSE = 64
+#: Parts of a language whose ids are ranked apart first, so that no task ranks a whole one.
+PARTS = 64
 AFFIXES = (1, 2, 3)
 _LETTERS = flat.folded_table()
 _LETTERS[0x30:0x3A] = 0
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+def bits_for(n_languages: int) -> int:
+    """Slots of a table, as a power of two: languages times slots is bounded."""
+    return max(BITS - max(n_languages - 1, 0).bit_length() + DENSE.bit_length() - 1, 4) if n_languages > DENSE else BITS
 
 
 class Evidence:
     """Inputs of all words of a slice: ``tables[k]`` holds one slot a word for
     the k-th feature table; trigrams have a slot a byte and a range a word."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, bits: int = BITS):
+        def _slot(h: np.ndarray) -> np.ndarray:
+            return (h >> np.uint64(64 - bits)).astype(np.int64)
+
         w = self.words = flat.words(texts, _LETTERS)
         self.tables = [_slot(flat.mix(w.hash, 70))]
         for n in AFFIXES:
@@ -115,8 +127,8 @@ def forward_backward(log: np.ndarray, begin: np.ndarray, size: np.ndarray,
             y = back[on + 1] * e[on + 1]
             x[:len(on)] = y @ a.T
             if pairs:
-                joint = forth[on][:, :, None] * a[None] * y[:, None, :]
-                expected += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+                from_here = forth[on] / ((forth[on] @ a) * y).sum(axis=1, keepdims=True)
+                expected += a * (from_here.T @ y)
         back[at] = x / x.sum(axis=1, keepdims=True)
     post = forth * back
     return post / post.sum(axis=1, keepdims=True), expected
@@ -152,13 +164,13 @@ def fit(texts: list[str], labels: np.ndarray, n_languages: int, steps: int = STE
     """Maximum conditional likelihood by AdaGrad over batches of chains."""
     rng = np.random.default_rng(0)
     chains, targets = _mixed(texts, labels, rng)
-    n_tables = 2 + 2 * len(AFFIXES)
-    weights = np.zeros((n_tables, 1 << BITS, n_languages))
+    n_tables, bits = 2 + 2 * len(AFFIXES), bits_for(n_languages)
+    weights = np.zeros((n_tables, 1 << bits, n_languages))
     seen = np.full_like(weights, 1e-6)
     move, moved = np.zeros((n_languages, n_languages)), np.full((n_languages, n_languages), 1e-6)
-    for _ in range(steps):
+    for _ in range(steps if chains else 0):
         pick = rng.integers(len(chains), size=min(batch, len(chains)))
-        x = Evidence(pa.array([chains[k] for k in pick]))
+        x = Evidence(pa.array([chains[k] for k in pick]), bits)
         gold = np.concatenate([targets[k] for k in pick])
         if len(gold) != len(x.words.start):
             raise ValueError("a training word was cut differently")
@@ -185,21 +197,24 @@ def fit(texts: list[str], labels: np.ndarray, n_languages: int, steps: int = STE
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
           sample: int = SAMPLE) -> dict | None:
-    rows = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(lang)).cast("string").alias("lang"),
-                       F.col(quoted(text)).cast("string").alias("text")) \
-        .where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-    names = sorted(r["lang"] for r in rows.select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages; raise LANGUAGES")
+    """The model; None without a labelled row. One pass over the ids and
+    languages, one over the texts of the sample."""
+    ids = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(lang)).cast("string").alias("lang")) \
+        .where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
+    ids = cut_lineage(ids.groupBy("id").agg(F.min("lang").alias("lang")))
+    frequent = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample)
+    names = sorted(r["lang"] for r in frequent.collect())
     if not names:
         return None
-    share = max(1, sample // len(names))
-    picked = None
-    for name in names:  # so many of each, lowest hashes first
-        own = rows.where(F.col("lang") == name).select("id", "lang").orderBy(F.xxhash64("id"), "id").limit(share)
-        picked = own if picked is None else picked.unionByName(own)
-    chosen = rows.select("id", "text").join(F.broadcast(picked.dropDuplicates(["id"])), "id") \
-        .orderBy(F.xxhash64("id"), "id", "text").collect()
+    # so many of each, lowest hashes first: of every part of a language, then of the language
+    chosen = ids.join(F.broadcast(frequent.select("lang")), "lang").withColumn("part", F.pmod(F.hash("id"), F.lit(PARTS)))
+    for keys in (("lang", "part"), ("lang",)):
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*in_order()))
+        chosen = chosen.withColumn("nth", nth).where(F.col("nth") <= max(1, sample // len(names)))
+    chosen = chosen.select("id", "lang")
+    chosen = texts_of(docs.where(F.col(quoted(text)).isNotNull()), chosen, doc_id, text).orderBy(*in_order()).collect()
+    if not chosen:
+        return None
     number = {x: k for k, x in enumerate(names)}
     texts, labels = [r["text"] for r in chosen], np.array([number[r["lang"]] for r in chosen], dtype=np.int64)
     return {"names": names, **fit(texts, labels, len(names))}
@@ -217,7 +232,7 @@ def identify(docs: DataFrame, model: dict | None, text: str = "text", keep: Sequ
             names, best, share = ["und"], np.zeros(n, np.int64), np.zeros(n)
             word, first = np.empty(0, np.int64), np.zeros(n + 1, np.int64)
         else:
-            x = Evidence(texts)
+            x = Evidence(texts, bits_for(len(model["names"])))
             post, _ = forward_backward(x.emissions(model["weights"]), *x.chains(), model["move"])
             first = x.words.first
             total = np.zeros((len(post) + 1, post.shape[1]))

@@ -8,13 +8,14 @@ and binned metadata (its length in bytes). Pairwise interactions have rank
 ``sum((sum v x)^2 - sum (v x)^2) / 2``. Labels, language, source and id are
 never inputs.
 
-Training takes at most ``SAMPLE`` labelled documents whose id is not held out
-(Adam on the whole sample); scoring reads every text whole, in place, without
+Training takes at most ``SAMPLE`` labelled documents whose id is not held out,
+and the bytes that ``samples`` allows (Adam on the whole sample); scoring reads every text whole, in place, without
 a shuffle. The model has a fixed size and is broadcast.
 
 Defined results: a null or empty text is scored from its (empty) statistics;
 without labels of both kinds every score is the share of label 1, or 0.5;
-repeated rows score alike; an empty table gives an empty result.
+repeated rows score alike, and are one document in training; a very long text is
+whole in its task; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import flat
 from .arrow import lists, map_texts
-from .samples import held_out, labelled
+from .samples import held_out, in_order, labelled
 
 SAMPLE, BITS, RANK = 4000, 16, 8
 THRESHOLD = 0.7
@@ -161,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
 
     rows = map_texts(labelled(docs, labels, ["quality"], sample, doc_id, text), "text", ["id", "quality"],
                      "columns array<int>, values array<float>", features) \
-        .orderBy(F.xxhash64("id"), "id").toArrow().combine_chunks()
+        .orderBy(*in_order()).toArrow().combine_chunks()
     y = rows.column("quality").to_numpy().astype(float) if rows.num_rows else np.empty(0)
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if len(y) else 0.5

@@ -9,13 +9,15 @@ are out-of-fold: a document's come from models that did not see it. The labels
 have one category, so the first three are derived from it: indicative terms
 are those far more frequent in toxic training documents.
 
-Training takes at most ``SAMPLE`` labelled documents; scoring reads every text
+Training takes at most ``SAMPLE`` labelled documents (and the bytes that
+``samples`` allows); scoring reads every text
 whole, in place, without a shuffle. The model (``FEATURES`` terms at most) is
 broadcast.
 
 Defined results: a null or empty text scores as a text without terms; without
 labels of both kinds every probability is 0 and nothing is rejected; repeated
-rows score alike; an empty table gives an empty result.
+rows score alike, and are one document in training; a very long text is whole in
+its task; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from . import flat
 from .arrow import lists, map_texts
-from .samples import held_out, labelled
+from .samples import held_out, in_order, labelled
 
 SAMPLE, FEATURES, FOLDS = 6000, 4096, 3
 CATEGORIES = ("mention", "persistent", "severe", "toxic")
@@ -92,9 +94,9 @@ def predict(model: dict, x: Sparse, dense: np.ndarray) -> np.ndarray:
     return _sigmoid(x.dot(model["terms"]) + dense @ model["dense"] + model["bias"])
 
 
-def fit_chain(x: Sparse, y: np.ndarray, folds: int = FOLDS) -> list[dict]:
-    """One model a category (the columns of ``y``, in order). The probabilities
-    that later models learn from are out-of-fold."""
+def fit_chain(x: Sparse, y: np.ndarray, folds: int = FOLDS) -> tuple[list[dict], np.ndarray]:
+    """One model a category (the columns of ``y``, in order), and the out-of-fold
+    probabilities that later models learn from."""
     seen, models = np.zeros((x.n_rows, 0)), []
     fold = np.arange(x.n_rows) % folds
     for c in range(y.shape[1]):
@@ -105,7 +107,7 @@ def fit_chain(x: Sparse, y: np.ndarray, folds: int = FOLDS) -> list[dict]:
             part = fit_linear(x.take(~own), seen[~own], y[~own, c])
             out[own] = predict(part, x.take(own), seen[own])
         seen = np.c_[seen, out]
-    return models
+    return models, seen
 
 
 def run_chain(models: Sequence[dict], x: Sparse) -> np.ndarray:
@@ -157,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(pa.array(at[hit], pa.int32()), ends)],
                                              names=["toxic", "n_words", "places"])
 
-    got = rows.orderBy(F.xxhash64("id"), "id").select(F.col("toxic").cast("int").alias("toxic"), "n_words", "terms") \
+    got = rows.orderBy(*in_order()).select(F.col("toxic").cast("int").alias("toxic"), "n_words", "terms") \
         .mapInArrow(places, "toxic int, n_words long, places array<int>").toArrow().combine_chunks()
     y, n_words = got.column("toxic").to_numpy().astype(float), got.column("n_words").to_numpy()
     column = got.column("places").combine_chunks()
@@ -169,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     per_word = hits / np.maximum(n_words, 1)
     usual = np.median(per_word[(y > 0) & (hits > 0)]) if ((y > 0) & (hits > 0)).any() else np.inf
     targets = np.c_[hits > 0, (hits >= 3) & (y > 0), (per_word >= usual) & (y > 0) & (hits > 0), y].astype(float)
-    return {"terms": known, "models": fit_chain(x, targets)}
+    return {"terms": known, "models": fit_chain(x, targets)[0]}
 
 
 def score(docs: DataFrame, model: dict | None, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
