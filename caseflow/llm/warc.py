@@ -13,14 +13,23 @@ writers, so any store that Spark knows will do. The text writer ends each row
 with its separator; a member is written without its last byte, which the
 separator (NUL) puts back: the top byte of a member's length field is zero
 below 16 MB, and a longer record is followed by an empty member, which ends
-in one. A file holds at most ``RECORDS_PER_FILE`` records, the memory bound of
-a task; a record is whole in memory, a file is only in its compressed form.
+in one. A file holds at most about ``FILE_BYTES`` of records (or one longer one), the
+memory bound of a task; a record is whole in memory, a file is only in its compressed form.
+
+Equal payloads meet by digest, ids and addresses alone. Their table goes to the
+pages by broadcast while it is known to be small; otherwise the few digests of
+many pages do, and pages are joined with the others by digest.
+
+Revisit records have the profile of identical payloads and name the response by
+its record id, address and date; ``X-`` fields hold the page ids. A record id
+comes from page id, address and payload, so that a repeated task writes it again.
 
 Defined results: null html is an empty payload; a null url or id leaves the
 header out; line breaks in a header become blanks; repeated rows are separate
-records; of equal payloads of at least ``MIN_REVISIT`` bytes, rows with the
-largest page_id (a null one counts as smallest) are responses; an empty table
-gives empty archives and an empty index.
+records (of one record id); of equal payloads of at least ``MIN_REVISIT`` bytes, rows with the
+largest page_id (a null one counts as smallest) are responses; very long payloads
+get files of their own; extra columns are left out; an empty table gives empty
+archives and an empty index.
 """
 
 from __future__ import annotations
@@ -34,16 +43,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from .arrow import bound_batches, quoted, schema_of, ship
 
 MIN_REVISIT = 1000
-RECORDS_PER_FILE = 10_000
+FILE_BYTES, LEAST_CLASS = 64 << 20, 14
+#: Repeated payloads that a broadcast may hold (about 200 bytes each), and the
+#: share of all of them that makes a payload frequent.
+BROADCAST_PAYLOADS, FREQUENT_PARTS = 200_000, 1000
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 STEP = 1 << 18
 END = b"\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 INDEX = ("archive string, offset long, length long, record_type string, page_id string, url string, "
-         "refers_to string, payload_bytes long, payload_digest string")
+         "refers_to string, payload_bytes long, payload_digest string, record_id string, refers_to_record string")
 
 
 def _line(name: str, value: Column) -> Column:
@@ -51,35 +64,65 @@ def _line(name: str, value: Column) -> Column:
     return F.when(value.isNull(), "").otherwise(F.concat(F.lit(f"{name}: "), clean, F.lit("\r\n")))
 
 
+def _record_id(page_id: Column, url: Column, digest: Column) -> Column:
+    """A name-based UUID of what makes the record."""
+    h = F.md5(F.concat_ws("\u0001", *[F.coalesce(x.cast("string"), F.lit("\u0002")) for x in (page_id, url, digest)]))
+    parts = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("3"), F.substring(h, 14, 3)),
+             F.concat(F.lit("8"), F.substring(h, 18, 3)), F.substring(h, 21, 12)]
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
+
+
+def with_responses(p: DataFrame, least: int, broadcast_payloads: int = BROADCAST_PAYLOADS) -> DataFrame:
+    """Pages (id, url, bytes, digest, ...) with ``first``: id and address of the
+    response of a payload that occurs twice or more, else null."""
+    first = cut_lineage(p.where(F.col("bytes") >= least).groupBy("digest")
+                        .agg(F.max(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    n, pages = first.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if n <= broadcast_payloads:
+        return p.join(F.broadcast(first.drop("n")), "digest", "left")
+    often = first.where(F.col("n") * FREQUENT_PARTS >= pages).drop("n")
+    rare = first.where(F.col("n") * FREQUENT_PARTS < pages).select("digest", F.col("first").alias("other"))
+    p = p.join(F.broadcast(often), "digest", "left")
+    alone = F.col("first").isNotNull() | (F.col("bytes") < least)
+    joined = p.where(~alone).join(rare, "digest", "left").withColumn("first", F.coalesce("first", "other")).drop("other")
+    return p.where(alone).unionByName(joined)
+
+
 def to_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-               least: int = MIN_REVISIT) -> DataFrame:
-    """One WARC record per row, as text without the final blank lines. Equal
-    payloads meet by digest in a combined aggregation; only digests that occur
-    twice or more come back to the pages."""
-    p = pages.select(F.col(quoted(page_id)).alias("id"), F.col(quoted(url)).alias("url"),
+               least: int = MIN_REVISIT, date: Column | None = None, **options) -> DataFrame:
+    """One WARC record per row, as text (``value``) without the final blank lines, and its ``bytes``."""
+    p = pages.select(F.col(quoted(page_id)).alias("id"), F.col(quoted(url)).cast("string").alias("url"),
                      F.coalesce(F.col(quoted(html)).cast("string"), F.lit("")).alias("payload"))
     p = p.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload"))
-    first = p.where(F.col("bytes") >= least).groupBy("digest") \
-        .agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
-    p = p.join(first, "digest", "left")
-    again = (F.col("bytes") >= least) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
+    p = with_responses(p, least, **options)
+    again = (F.col("bytes") >= least) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first.id"))
+    when = F.date_format(F.current_timestamp() if date is None else date, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     body = F.when(again, F.lit(HTTP)).otherwise(F.concat(F.lit(HTTP), "payload"))
+    original = _record_id(F.col("first.id"), F.col("first.url"), F.col("digest"))
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"), F.lit("\r\n"),
-        F.lit("WARC-Record-ID: <urn:uuid:"), F.uuid(), F.lit(">\r\nWARC-Date: 2024-01-01T00:00:00Z\r\n"),
+        _line("WARC-Record-ID", _record_id(F.col("id"), F.col("url"), F.col("digest"))), _line("WARC-Date", when),
         _line("WARC-Target-URI", F.col("url")), _line("X-Page-Id", F.col("id")),
-        _line("WARC-Refers-To", F.when(again, F.col("first"))),
+        _line("WARC-Profile", F.when(again, F.lit(PROFILE))), _line("WARC-Refers-To", F.when(again, original)),
+        _line("WARC-Refers-To-Target-URI", F.when(again, F.col("first.url"))),
+        _line("WARC-Refers-To-Date", F.when(again, when)), _line("X-Refers-To-Page-Id", F.when(again, F.col("first.id"))),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
         _line("X-Payload-Length", F.col("bytes")),
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
-    return p.select(F.concat(head, body).alias("value"))
-
-
-def write_monolithic(records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> str:
-    """Whole-file gzip streams of records."""
-    records.write.option("lineSep", END.decode()).option("compression", "gzip") \
-        .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records_per_file).text(path)
+    value = F.concat(head, body)
+    return p.select(value.alias("value"), F.octet_length(value).alias("bytes"))
+
+
+def write_monolithic(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> str:
+    """Whole-file gzip streams of records. Records of up to 2 ** c bytes share files of
+    at most ``file_bytes`` / 2 ** c of them: each so many rows of a task are one file."""
+    size = F.greatest(F.lit(LEAST_CLASS), F.ceil(F.log2(F.greatest(F.col("bytes"), F.lit(1)))))
+    each = F.greatest(F.lit(1), F.floor(F.lit(float(file_bytes)) / F.pow(F.lit(2.0), size)))
+    nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its place in the task
+    records.select("value", F.concat_ws("-", size.cast("int"), F.floor(nth / each)).alias("file")) \
+        .write.partitionBy("file").option("lineSep", END.decode()).option("compression", "gzip") \
+        .option("zlib.compress.level", "BEST_SPEED").text(path)
     return path
 
 
@@ -193,7 +236,8 @@ def describe(record: bytes) -> dict:
         payload = body.split(END, 1)[1]
         size, digest = len(payload), hashlib.sha1(payload).hexdigest()
     return {"record_type": fields["warc-type"], "page_id": fields.get("x-page-id"),
-            "url": fields.get("warc-target-uri"), "refers_to": fields.get("warc-refers-to"),
+            "url": fields.get("warc-target-uri"), "refers_to": fields.get("x-refers-to-page-id"),
+            "record_id": fields.get("warc-record-id"), "refers_to_record": fields.get("warc-refers-to"),
             "payload_bytes": size, "payload_digest": digest}
 
 

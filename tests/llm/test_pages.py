@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseflow.llm import extract, warc
 from caseflow.session import scratch_path
@@ -208,6 +209,42 @@ def test_archives_round_trip(spark, pages):
     assert warc.warc_report(pages.limit(0)).isEmpty()
 
 
+def test_revisits_name_their_response(spark, pages):
+    index = warc.archive_pages(pages, scratch_path(spark, "warc-ids")).collect()
+    ids = {r.record_id: r for r in index}
+    assert len(ids) == len(index) and all(re.fullmatch("<urn:uuid:[0-9a-f-]{36}>", x) for x in ids)
+    twin = next(r for r in index if r.record_type == "revisit")
+    assert ids[twin.refers_to_record].page_id == twin.refers_to == "8"
+    raw = warc.to_records(pages, date=F.lit("2020-02-03 04:05:06").cast("timestamp")).where("value LIKE '%revisit%'").first().value
+    head = dict(x.split(": ", 1) for x in raw.split("\r\n\r\n")[0].split("\r\n")[1:])
+    assert head["WARC-Profile"] == warc.PROFILE and head["WARC-Refers-To-Target-URI"] == "http://c.com/2"
+    assert head["WARC-Date"] == head["WARC-Refers-To-Date"] == "2020-02-03T04:05:06Z" and head["X-Refers-To-Page-Id"] == "8"
+
+
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_hot_payloads(spark, broadcast):
+    """A third of all pages is one payload; either way of joining gives the same."""
+    rows = spark.range(3000).selectExpr("id AS page_id", "concat('http://h.com/', id) AS url",
+                                        "repeat(CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('u', id) "
+                                        "ELSE concat('t', id DIV 6) END, 600) AS html")
+    out = warc.to_records(rows, broadcast_payloads=broadcast)
+    got = {d["page_id"]: d["refers_to"] for d in (warc.describe(r.value.encode() + warc.END) for r in out.collect())}
+    last = {}
+    for i in range(3000):
+        last["hot" if i % 3 == 0 else f"u{i}" if i % 3 == 1 else f"t{i // 6}"] = str(i)
+    want = {str(i): last["hot" if i % 3 == 0 else f"u{i}" if i % 3 == 1 else f"t{i // 6}"] for i in range(3000)}
+    assert got == {i: None if i == x else x for i, x in want.items()}
+
+
+def test_files_are_bounded_by_bytes(spark):
+    folder = scratch_path(spark, "warc-files")
+    rows = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "concat(id, repeat('x', IF(id % 50 = 0, 900000, 20000))) AS html").coalesce(2)
+    warc.write_monolithic(warc.to_records(rows), folder, file_bytes=1 << 20)
+    sizes = [sum(len(x) for x in warc.inflate(bytes(r.content))) for r in
+             spark.read.format("binaryFile").load(folder).collect()]
+    assert max(sizes) <= 1 << 20 and len(sizes) < 40 and sum(sizes) > 400 * 20_000
+
+
 def test_long_record_and_cut_streams():
     big = b"WARC/1.1\r\nContent-Length: 17000000\r\n\r\n" + b"q" * 17_000_000 + b"\r\n\r\n"
     data = warc.member(big) + warc.member(b"x")
