@@ -51,6 +51,8 @@ from ..session import scratch_path
 from .arrow import map_texts, quoted, schema_of
 
 PAGES_PER_RANGE = 2000
+#: How hard lines are packed (zlib): they are written once and exchanged once.
+PACKING = 6
 #: Rows and characters of text in a batch of results.
 BATCH_ROWS, BATCH_CHARS = 500, 2_000_000
 #: Pairs of equal lines per line of two pages, above which they are halved.
@@ -428,7 +430,7 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
         for page in texts.to_pylist():
             found = lines_of(page or "")
             whole = "\n".join(x for x, _ in found).encode("utf-8", "surrogatepass")
-            lines.append(zlib.compress(whole, 1))
+            lines.append(zlib.compress(whole, PACKING))
             region.append(bytes(r for _, r in found))
             digest.append(hashlib.blake2b(whole, digest_size=16).digest())
         return {"digest": digest, "lines": lines, "region": region}
@@ -436,7 +438,7 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     keyed = _keyed(pages, page_id, url, html)
     path = scratch_path(spark, "page-lines")  # parsed once; the ranges and their edges read a few of its columns
     map_texts(keyed, "html", ["row", "host", "place"], "digest binary, lines binary, region binary", parse) \
-        .write.parquet(path)
+        .write.option("compression", "zstd").parquet(path)
     parsed = spark.read.parquet(path)
     lows = _ranges(parsed)
     ordered = _dealt(parsed, lows, _guests(_edges(parsed, lows)) if len(lows) > 1 else {})
