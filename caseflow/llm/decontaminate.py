@@ -10,14 +10,18 @@ Every text is cut into lanes that overlap by a window, and all lanes of a
 slice move together, so no position is looked at that the table rules out.
 
 Texts are searched where they are: the only shuffle is that of the item
-windows. Patterns reach the tasks by broadcast, at most ``patterns_per_pass``
-at a time; more patterns mean more passes over the texts, never fewer
-patterns.
+windows. Windows are numbered, and reach the tasks by broadcast, at most
+``patterns_per_pass`` at a time; more windows mean more passes over the texts,
+never fewer windows. Which items a window belongs to goes along while these
+pairs are known to be few; otherwise texts are found with the numbers of their
+windows, and the distinct lists of numbers are joined with the items afterwards,
+so that a window that very many items share is one number until then.
 
 Defined results: a null or empty text has no words and is clean; a null item
 text has no windows; a null item_id is left out of the item list (its
 occurrences still count as hits); repeated rows of either table give repeated
-rows, or count once as an item; extra input columns are ignored unless kept.
+rows, or count once as an item; a very long text is whole in its task; extra input
+columns are ignored unless kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,9 +40,11 @@ from .arrow import map_texts, quoted
 N = 10
 #: Broadcast bound: so many patterns (about 150 bytes each) go to a task at once.
 PATTERNS_PER_PASS = 200_000
+#: So many (window, item) pairs may go along with the windows of all passes.
+PAIRS_ALONG = 400_000
 LANE = 512
 TABLE_BITS = 18
-FIELDS = "n_words long, n_hit long, spans array<struct<start:int,end:int>>, items array<string>"
+FIELDS = "n_words long, n_hit long, spans array<struct<start:int,end:int>>, numbers array<long>, items array<string>"
 
 
 def item_windows(items: DataFrame, n: int = N, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -139,20 +145,19 @@ def _covered(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _scan(docs: DataFrame, text: str, keep: Sequence[str], rows: list, more: bool) -> DataFrame:
-    """One pass: the patterns of ``rows``; ``more``: add to an earlier pass."""
-    by_window: dict[str, list[str]] = {}
-    for r in rows:
-        by_window.setdefault(r["window"], []).extend([] if r["item"] is None else [r["item"]])
-    names = sorted(by_window)
-    items = [by_window[x] for x in names]
+    """One pass: the windows of ``rows`` (window, number, items); ``more``: add to an earlier pass."""
+    rows = sorted(rows, key=lambda r: r["window"])
+    names = [r["window"] for r in rows]
+    items = [r["items"] or [] for r in rows]
+    own = [r["number"] for r in rows]
     by_length: dict[int, list[int]] = {}
     for k, x in enumerate(names):
         by_length.setdefault(x.count(" ") + 1, []).append(k)
     tables = [Patterns([names[k] for k in ks], ks) for ks in by_length.values()]
-    sent = docs.sparkSession.sparkContext.broadcast((tables, items))
+    sent = docs.sparkSession.sparkContext.broadcast((tables, items, own))
 
     def run(rows, texts):
-        tables, items = sent.value
+        tables, items, own = sent.value
         w = flat.words(texts)
         folded = flat.FOLDED[w.raw].tobytes()
         hits = [t.search(w, folded) for t in tables]
@@ -164,45 +169,65 @@ def _scan(docs: DataFrame, text: str, keep: Sequence[str], rows: list, more: boo
         at, length, number, doc = at[order], length[order], number[order], doc[order]
         edge = np.searchsorted(doc, np.arange(len(rows) + 1))
         before = rows.column(rows.schema.get_field_index("__found")).to_pylist() if more else None
-        spans, found = [], []
+        spans, found, numbers = [], [], []
         for i in range(len(rows)):
             lo, hi = edge[i], edge[i + 1]
             s, e = at[lo:hi] - w.first[i], at[lo:hi] + length[lo:hi] - w.first[i]
-            got = {x for p in set(number[lo:hi].tolist()) for x in items[p]}
+            which = set(number[lo:hi].tolist())
+            got, known = {x for p in which for x in items[p]}, {own[p] for p in which}
             if before:
                 s = np.r_[s, [x["start"] for x in before[i]["spans"]]].astype(np.int64)
                 e = np.r_[e, [x["end"] for x in before[i]["spans"]]].astype(np.int64)
                 got |= set(before[i]["items"])
+                known |= set(before[i]["numbers"])
             spans.append(_covered(s, e) if len(s) else [])
             found.append(sorted(got))
+            numbers.append(sorted(known))
         return {"n_words": w.counts(), "n_hit": [sum(e - s for s, e in x) for x in spans],
-                "spans": [[{"start": s, "end": e} for s, e in x] for x in spans], "items": found}
+                "spans": [[{"start": s, "end": e} for s, e in x] for x in spans], "numbers": numbers, "items": found}
 
     return map_texts(docs, text, keep, FIELDS, run, aside=["__found"] if more else [])
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",),
                   n: int = N, item_id: str = "item_id", item_text: str = "text",
-                  patterns_per_pass: int = PATTERNS_PER_PASS) -> DataFrame:
+                  patterns_per_pass: int = PATTERNS_PER_PASS, pairs_along: int = PAIRS_ALONG) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``n_hit`` (words inside any
     occurrence of a window), ``spans`` (merged word ranges that are hit) and
     ``items`` (sorted ids of the items with occurring windows)."""
-    windows = cut_lineage(item_windows(items, n, item_id, item_text))
-    total = windows.count()
-    passes = max(1, -(-total // patterns_per_pass))
+    pairs = cut_lineage(item_windows(items, n, item_id, item_text))
+    windows = cut_lineage(pairs.select("window").distinct().withColumn("number", F.monotonically_increasing_id()))
+    along = pairs.count() <= pairs_along
+    listed = windows.withColumn("items", F.lit(None).cast("array<string>"))
+    if along:
+        listed = windows.join(pairs, "window").groupBy("window", "number").agg(F.collect_list("item").alias("items"))
+    passes = max(1, -(-windows.count() // patterns_per_pass))
     names = list(dict.fromkeys([*keep, text]))
     out = docs.select(*[F.col(quoted(c)) for c in names])
     for k in range(passes):
-        part = windows.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == k).collect()
+        part = listed.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == k).collect()
         if k:
             out = cut_lineage(out)
         out = _scan(out, text, names if k < passes - 1 else list(keep), part, more=k > 0)
         if k < passes - 1:
-            out = out.select(*names, F.struct("spans", "items").alias("__found"))
-    kept = [c for c in keep if c not in ("n_words", "n_hit", "spans", "items")]
+            out = out.select(*names, F.struct("spans", "numbers", "items").alias("__found"))
+    if not along:
+        out = _with_items(out, pairs.join(windows, "window").select("number", "item"))
+    kept = [quoted(c) for c in keep if c not in ("n_words", "n_hit", "spans", "numbers", "items")]
     return out.select(*kept, "n_words", "n_hit", "spans", "items")
 
 
+def _with_items(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The items of every row's window numbers: equal lists of numbers are looked
+    up once, and rows without a hit stay where they are."""
+    hit = F.size("numbers") > 0
+    lists = found.where(hit).select("numbers").distinct()
+    looked = lists.select("numbers", F.explode("numbers").alias("number")).join(pairs, "number", "left") \
+        .groupBy("numbers").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    joined = found.where(hit).drop("items").join(looked, "numbers").select(*[quoted(c) for c in found.columns])
+    return found.where(~hit).unionByName(joined)
+
+
 def contamination_report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The digest columns of ``op2_decontaminate``."""
     found = decontaminate(docs, items, keep=["doc_id"], **options)

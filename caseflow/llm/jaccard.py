@@ -21,7 +21,8 @@ out as pairs, and tie the classes together.
 Defined results: words are lower-cased (A-Z) runs without ASCII punctuation; a
 text of one to four words is one shingle; a null or empty text has no shingle,
 no link and a class of its own; repeated rows count as copies; a class without
-a non-null id has a null class id; an empty table gives an empty result.
+a non-null id has a null class id; a very long text is whole in its task; extra
+columns are left out (``one_of_each`` keeps them); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -131,9 +132,11 @@ def set_table(docs: DataFrame, doc_id: str, text: str, threshold: float, runs: i
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Buckets (column bucket) of two or more different sets, each set once, with their sizes."""
+    """Buckets (column bucket) of two or more different sets, each set once, with their sizes.
+    Sets are told apart by (bucket, key) and counted in parts, so no task gathers a large
+    bucket; the joins by bucket may be split where one is skewed."""
     sizes = members.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi")
-    kept = members.join(sizes.select("bucket"), "bucket").dropDuplicates(["bucket", "key"])
+    kept = members.join(sizes.select("bucket"), "bucket").repartition("bucket", "key").dropDuplicates(["bucket", "key"])
     kept = cut_lineage(kept)
     return kept.join(kept.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
 
@@ -249,7 +252,8 @@ def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, thresho
     rows = docs.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("rk"),
                        F.col(quoted(text)).cast("string").alias("text"))
     named = groups.withColumnsRenamed({"id": "__id", "rk": "__rk"})
-    rows = rows.join(named, (F.col("rk") == F.col("__rk")) & F.col("id").eqNullSafe(F.col("__id")))
+    rows = rows.join(named, (F.col("rk") == F.col("__rk")) & F.col("id").eqNullSafe(F.col("__id"))) \
+        .select("root", "key", "weight", "total", "text").distinct()  # rows that repeat id and text
 
     def cut(rows, texts):
         h, at = shingles(flat.words(texts))
@@ -268,9 +272,6 @@ def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, thresho
                 yield from compare(some.slice(lo, hi - lo).combine_chunks())
 
     def compare(rows):
-        once = {k: i for i, k in enumerate(rows.column("key").to_pylist())}  # rows that repeat id and text
-        if len(once) < rows.num_rows:
-            rows = rows.take(pa.array(sorted(once.values()))).combine_chunks()
         side, weight = rows.column("mine").to_numpy(), rows.column("weight").to_numpy()
         column = rows.column("hashes").chunk(0)
         values, size = column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())

@@ -231,6 +231,29 @@ SPECIALS = ["a <|endoftext|> b", "a<|endoftext|>b", "<|ENDOFTEXT|>", "x<|startof
             "ab<|EndOfText|>cd <|endoftext|>!\n<|startoftext|>", "<|endoftext|>" * 50]
 
 
+def test_a_window_of_very_many_items(spark):
+    """3,000 items share a window: as one number it fits any pass; the items come by a join."""
+    shared = data.prose(70, 12)
+    items = spark.range(3000).selectExpr("id AS item_id", f"concat('{shared} tail', id) AS text")
+    docs = spark.createDataFrame([(1, shared), (2, "x " + shared), (3, shared + " tail7 end"), (4, "clean text"), (5, None), (1, shared)],
+                                 "doc_id long, text string").selectExpr("*", "0 AS numbers", "1 AS number", "2 AS item")
+    rows = [sorted(map(tuple, decontaminate.decontaminate(docs, items, keep=["doc_id", "item"], patterns_per_pass=p, pairs_along=a)
+                       .select("doc_id", "item", "n_words", "n_hit", "spans", "items").collect()), key=str)
+            for p, a in ((200_000, 400_000), (200_000, 0), (700, 0), (700, 400_000))]
+    assert rows[0] == rows[1] == rows[2] == rows[3]
+    got = {r[0]: r for r in rows[0]}
+    assert [len(got[i][-1]) for i in (1, 2, 3, 4, 5)] == [3000, 3000, 3000, 0, 0] and got[3][3] == 13
+
+
+def test_rows_that_repeat_id_and_text_are_compared_once(spark):
+    base = data.prose(71, 60).split()
+    near = list(base)
+    near[30] = "other"
+    rows = [(1, " ".join(base))] * 400 + [(2, " ".join(near))] * 300 + [(3, data.prose(72, 60))]
+    got = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).distinct().collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == {1: (1, 699), 2: (1, 699), 3: (3, 0)}
+
+
 @pytest.mark.parametrize("as_text", [False, True])
 def test_tokens_are_the_tokenizers_own(as_text):
     tokenizers = pytest.importorskip("tokenizers")
