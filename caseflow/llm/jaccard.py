@@ -253,11 +253,17 @@ def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, thresho
                        F.col(quoted(text)).cast("string").alias("text"))
     named = groups.withColumnsRenamed({"id": "__id", "rk": "__rk"})
     rows = rows.join(named, (F.col("rk") == F.col("__rk")) & F.col("id").eqNullSafe(F.col("__id"))) \
-        .select("root", "key", "weight", "total", "text").distinct()  # rows that repeat id and text
+        .select("root", "key", "weight", "total", "text")
+    last = [None]
 
     def cut(rows, texts):
-        h, at = shingles(flat.words(texts))
-        return {"hashes": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))}
+        keys = rows.column(rows.schema.get_field_index("key")).to_pylist()
+        # the join's rows come by id and text: those that repeat both follow one another and go on once
+        new = [k for k, x in enumerate(keys) if x != (keys[k - 1] if k else last[0])]
+        last[0] = keys[-1]
+        h, at = shingles(flat.words(texts.take(pa.array(new, pa.int64()))))
+        return {None: np.array(new, np.int64),
+                "hashes": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))}
 
     sets = map_texts(rows, "text", ["root", "key", "weight", "total"], "hashes array<long>", cut)
     parts = _in_blocks(sets, "root", F.ceil(F.col("total") / BLOCK_SHINGLES), "key") \
@@ -272,6 +278,9 @@ def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, thresho
                 yield from compare(some.slice(lo, hi - lo).combine_chunks())
 
     def compare(rows):
+        once = {k: i for i, k in enumerate(rows.column("key").to_pylist())}  # where the join was split or unordered
+        if len(once) < rows.num_rows:
+            rows = rows.take(pa.array(sorted(once.values()))).combine_chunks()
         side, weight = rows.column("mine").to_numpy(), rows.column("weight").to_numpy()
         column = rows.column("hashes").chunk(0)
         values, size = column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
@@ -363,11 +372,15 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
         .agg(F.min(F.struct(F.col(quoted(doc_id)).isNull().alias("last"), F.col(quoted(doc_id)).alias("id"),
                             F.col("rk"))).alias("one")).select("one.id", "one.rk")
     alone = classes.where(F.col("class_key").isNull()).select(F.col(quoted(doc_id)).alias("id"), "rk")
-    chosen = first.unionByName(alone.distinct()).select(F.col("id").alias("__id"), F.col("rk").alias("__rk"))
+    def named(rows: DataFrame) -> DataFrame:
+        """Plain keys: the join and the removal of repeated rows then share one exchange."""
+        return rows.withColumn("none", F.col("id").isNull()).withColumn("id", F.coalesce(F.col("id").cast("string"), F.lit("")))
+
+    keys = ["id", "none", "rk"]
     rows = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"),
                        F.col(quoted(doc_id)).alias("id"), F.xxhash64(F.col(quoted(text))).alias("rk"))
-    kept = rows.join(chosen, (F.col("rk") == F.col("__rk")) & F.col("id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["id", "rk"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    kept = named(rows).join(named(first.unionByName(alone.distinct())), keys, "left_semi").dropDuplicates(keys)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def join_report(docs: DataFrame) -> DataFrame:

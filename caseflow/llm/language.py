@@ -41,7 +41,7 @@ SAMPLE, BITS, CHAIN, STEPS = 1200, 16, 96, 240
 #: So many languages have tables of ``BITS`` bits.
 DENSE = 64
 #: Parts of a language whose ids are ranked apart first, so that no task ranks a whole one.
-PARTS = 64
+PARTS = 16
 AFFIXES = (1, 2, 3)
 _LETTERS = flat.folded_table()
 _LETTERS[0x30:0x3A] = 0
