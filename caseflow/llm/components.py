@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+def forget_shuffles(df: DataFrame) -> None:
+    """Shuffle files of steps that nothing refers to any more go when the driver's
+    JVM collects its garbage. After a step was written to the checkpoint folder
+    this asks for it, so that disks need not hold the files of all steps at once."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(v, root) for every end of ``edges`` (columns a, b): root is the smallest
     vertex of v's component. Every round takes the smallest label around each
@@ -27,6 +34,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             "v", "old", F.least("root", F.coalesce("far", "root")).alias("root"))
         step = cut_lineage(step)
         if step.where("root != old").isEmpty():
+            forget_shuffles(step)
             return labels
         labels = step.select("v", "root")
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -38,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..session import cut_lineage
 from . import flat
 from .arrow import bound_batches, map_texts, quoted, schema_of, ship
-from .components import components
+from .components import components, forget_shuffles
 
 WORDS, THRESHOLD, RECALL, LEVELS = 5, 0.8, 0.9999, 3
 #: Sets of a small bucket; of a block of a large one; shingles of a block of texts.
@@ -138,6 +138,7 @@ def _sized(members: DataFrame) -> DataFrame:
     sizes = members.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi")
     kept = members.join(sizes.select("bucket"), "bucket").repartition("bucket", "key").dropDuplicates(["bucket", "key"])
     kept = cut_lineage(kept)
+    forget_shuffles(kept)
     return kept.join(kept.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
 
 
@@ -347,6 +348,7 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     totals = grouped.groupBy("root").agg(F.sum("one.n").alias("total"))
     grouped = grouped.join(totals, "root").select("root", "key", "weight", "total", "one.id", "one.rk")
     found = cut_lineage(verified(docs, grouped, doc_id, text, threshold))
+    forget_shuffles(found)
     counts = found.where(F.col("other").isNull()).groupBy("key").agg(F.sum("docs").alias("links"))
     tied = components(found.where(F.col("other").isNotNull()).select(F.col("key").alias("a"), F.col("other").alias("b")))
     own = copies.select("key", "copy_id", "weight").join(counts, "key", "left") \
