@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from ..session import scratch_path
 from .flat import CHUNK_BYTES, chunks
 
 TEXT = "__text"
@@ -33,6 +34,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df``, written once as a table in the shared folder and read again, so a
+    lost executor does not repeat what made it. Unlike a checkpoint it is computed
+    once, not twice, and later steps read only the columns they use; unlike one, it
+    keeps neither partitions nor order."""
+    path = path or scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the tasks this package, once per application: a driver that found
     it through its own path says nothing of the executors' path."""

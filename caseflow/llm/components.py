@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import drop_path, scratch_path
+from .arrow import stored
 
 
 def forget_shuffles(df: DataFrame) -> None:
@@ -15,26 +16,32 @@ def forget_shuffles(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(v, root) for every end of ``edges`` (columns a, b): root is the smallest
     vertex of v's component. Every round takes the smallest label around each
     vertex and then the label's own label, so long chains halve; each round is
-    written to the checkpoint folder. Only counts reach the driver."""
+    written to the shared folder, and the one before it removed. A label only ever
+    falls, so rounds end by themselves. Only counts reach the driver."""
+    spark = edges.sparkSession
     both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(
         edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).where("v != u").distinct()
-    both = cut_lineage(both)
-    labels = cut_lineage(both.groupBy("v").agg(F.min("u").alias("m"))
-                         .select("v", F.least("v", "m").alias("root")))
-    for _ in range(rounds):
+    sides = scratch_path(spark, "edges")
+    both = stored(both, sides)
+    path = scratch_path(spark, "labels")
+    labels = stored(both.groupBy("v").agg(F.min("u").alias("m"))
+                    .select("v", F.least("v", "m").alias("root")), path)
+    while True:
         near = both.join(labels.select(F.col("v").alias("u"), F.col("root").alias("r")), "u") \
             .groupBy("v").agg(F.min("r").alias("r"))
         step = labels.join(near, "v").select("v", F.col("root").alias("old"), F.least("root", "r").alias("root"))
         far = labels.select(F.col("v").alias("root"), F.col("root").alias("far"))
         step = step.join(far, "root", "left").select(
             "v", "old", F.least("root", F.coalesce("far", "root")).alias("root"))
-        step = cut_lineage(step)
+        last, path = path, scratch_path(spark, "labels")
+        step = stored(step, path)
+        drop_path(spark, last)
+        labels = step.select("v", "root")
         if step.where("root != old").isEmpty():
+            drop_path(spark, sides)
             forget_shuffles(step)
             return labels
-        labels = step.select("v", "root")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

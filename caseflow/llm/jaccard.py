@@ -6,8 +6,8 @@ probability 1 / (threshold * size), decided by a hash of the shingle alone, so
 similar sets take the same ones. A bucket is a path of taken shingles: sets
 that share a bucket of at most ``SMALL`` sets are compared by brute force, a
 larger bucket is split by a second, and then a third shingle. A bucket that
-is still large is compared by brute force all the same, in blocks, so no
-bucket is capped. A pair misses a run with probability at most ``1 - q ** 3``
+is still large is compared all the same, first within blocks and then what these
+left untied across blocks, so no bucket is capped. A pair misses a run with probability at most ``1 - q ** 3``
 (q: chance to share a taken shingle); ``runs_for`` repeats runs until the
 target recall for a pair right at the threshold. More similar pairs are missed
 less.
@@ -35,9 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import cut_lineage
 from . import flat
-from .arrow import bound_batches, map_texts, quoted, schema_of, ship
+from .arrow import bound_batches, map_texts, quoted, schema_of, ship, stored
 from .components import components, forget_shuffles
 
 WORDS, THRESHOLD, RECALL, LEVELS = 5, 0.8, 0.9999, 3
@@ -132,31 +131,28 @@ def set_table(docs: DataFrame, doc_id: str, text: str, threshold: float, runs: i
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Buckets (column bucket) of two or more different sets, each set once, with their sizes."""
-    sizes = members.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi")
-    kept = members.join(sizes.select("bucket"), "bucket").dropDuplicates(["bucket", "key"])
-    kept = cut_lineage(kept)
-    forget_shuffles(kept)
-    return kept.join(kept.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
+    """Members (bucket, uid, ...) of buckets of two or more sets, with the sizes. A set is
+    in a bucket once, so sizes are plain counts, added up before the exchange, and the join
+    with them may split a hot bucket."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rows = stored(members.join(sizes, "bucket"))
+    forget_shuffles(rows)
+    return rows
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """Leaf buckets of all runs: (bucket, key, uid, size)."""
-    level = _sized(sets.select("uid", "key", F.explode("c1").alias("bucket")))
-    leaves = level.where(F.col("size") <= SMALL).select("bucket", "key", "uid", "size")
-    large = level.where(F.col("size") > SMALL)
-    large = large.join(sets.select("uid", "c2", "c3"), "uid") \
-        .withColumn("run", F.shiftright("bucket", 32))
-    for k, column in enumerate(("c2", "c3")):
-        own = F.filter(column, lambda x: F.shiftright(x, 32) == F.col("run"))
-        split = large.select("uid", "key", "run", *(["c3"] if k == 0 else []), "bucket",
-                             F.explode(own).alias("taken")) \
-            .withColumn("bucket", F.xxhash64("bucket", "taken")).drop("taken")
-        level = _sized(split)
-        done = F.lit(True) if k == 1 else F.col("size") <= SMALL
-        leaves = leaves.unionByName(level.where(done).select("bucket", "key", "uid", "size"))
-        large = level.where(~done)
-    return leaves
+    """Leaf buckets of all runs, (bucket, uid, size), of different sets (uid, c1, c2, c3)."""
+    level = _sized(sets.select("uid", F.explode("c1").alias("bucket")))
+    leaves = level.where(F.col("size") <= SMALL).select("bucket", "uid", "size")
+    own = [F.filter(c, lambda x: F.shiftright(x, 32) == F.shiftright("bucket", 32)).alias(c) for c in ("c2", "c3")]
+    large = level.where(F.col("size") > SMALL).select("bucket", "uid") \
+        .join(sets.select("uid", "c2", "c3"), "uid").select("bucket", "uid", *own)
+    deeper = F.xxhash64("bucket", "taken").alias("bucket")
+    second = stored(large.select("bucket", "uid", "c3", F.explode("c2").alias("taken")).select(deeper, "uid", "c3"))
+    level = _sized(second)
+    leaves = leaves.unionByName(level.where(F.col("size") <= SMALL).select("bucket", "uid", "size"))
+    third = level.where(F.col("size") > SMALL).select("bucket", "uid", F.explode("c3").alias("taken"))
+    return leaves.unionByName(_sized(third.select(deeper, "uid")).select("bucket", "uid", "size"))
 
 
 def _in_blocks(rows: DataFrame, group: str, blocks, salt: str) -> DataFrame:
@@ -217,32 +213,70 @@ def _run_pairs(group: np.ndarray, side: np.ndarray):
         d += 1
 
 
-def candidate_edges(leaves: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Edges (a, b) that tie sets whose sketches agree in some leaf bucket."""
-    rows = leaves.join(sets.select("uid", "sketch"), "uid")
-    rows = _in_blocks(rows, "bucket", F.ceil(F.col("size") / BLOCK), "key").select("part", "mine", "key", "sketch")
-    schema = schema_of("a binary, b binary")
+def _alike_edges(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) that tie sets of a part whose sketches agree; rows: (part, mine, uid)."""
+    rows = rows.join(sets.select("uid", "sketch"), "uid").select("part", "mine", "uid", "sketch")
+    schema = schema_of("a long, b long")
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for rows in _by_group(batches, "part"):
             group, side = rows.column("part").to_numpy(), rows.column("mine").to_numpy()
             marks = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-            a, b = [], []
+            start = np.r_[0, np.flatnonzero(np.diff(group)) + 1]
+            first = np.repeat(start, np.diff(np.r_[start, len(group)]))
+            close = _alike(marks, marks[first], threshold - MARGIN)  # tied by the first of their part
+            a, b = [first[close]], [np.flatnonzero(close)]
             for i, j in _run_pairs(group, side):
+                open_ = ~(close[i] & close[j])
+                i, j = i[open_], j[open_]
                 ok = _alike(marks[i], marks[j], threshold - MARGIN)
                 a.append(i[ok])
                 b.append(j[ok])
-            if a:
-                root = _tied(len(group), np.concatenate(a), np.concatenate(b))
-                away = np.flatnonzero(root != np.arange(len(root)))
-                keys = rows.column("key")
-                yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(root[away])).combine_chunks().cast(pa.binary()),
-                     keys.take(pa.array(away)).combine_chunks().cast(pa.binary())], schema=arrow)
-
-    # by key within a part: buckets of one group then tie to the same few smallest keys
-    return rows.repartition("part").sortWithinPartitions("part", "key").mapInArrow(run, schema).distinct()
+            root = _tied(len(group), np.concatenate(a), np.concatenate(b))
+            away = np.flatnonzero(root != np.arange(len(root)))
+            uid = rows.column("uid").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(uid[root[away]]), pa.array(uid[away])], schema=arrow)
+
+    # by uid within a part: buckets of one group then tie to the same few smallest sets
+    return rows.repartition("part").sortWithinPartitions("part", "uid").mapInArrow(run, schema).distinct()
+
+
+def candidate_groups(leaves: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(v, root): the groups that sets with like sketches in a common leaf bucket form.
+
+    Only what is tied matters here, not each pair. So every block of a large bucket is
+    compared within itself first. Two sets of different blocks that are tied by then, in
+    this bucket or another, need no comparison; in a bucket that is not one group yet,
+    all sets outside its largest group (strays) meet all sets, in pairs of blocks."""
+    nb = F.ceil(F.col("size") / BLOCK).cast("long")
+    own = F.pmod(F.xxhash64("uid", "bucket"), nb)
+    rows = leaves.select("uid", "bucket", F.lit(0).alias("mine"),
+                         F.when(nb > 1, F.xxhash64("bucket", own)).otherwise(F.col("bucket")).alias("part"))
+    edges = stored(_alike_edges(rows, sets, threshold))
+    near = components(edges)
+    wide = leaves.where(nb > 1).join(near.withColumnRenamed("v", "uid"), "uid", "left") \
+        .withColumn("root", F.coalesce("root", "uid"))
+    wide = stored(wide)
+    kinds = wide.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket") \
+        .agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    kinds = stored(kinds.where("kinds > 1").select("bucket", F.col("most.root").alias("main"), F.col("most.n").alias("n_main"),
+                                                   (F.col("all") - F.col("most.n")).alias("n_stray")))
+    if kinds.isEmpty():
+        return near
+    wide = wide.join(kinds, "bucket").select("bucket", "uid", "n_main", "n_stray", (F.col("root") != F.col("main")).alias("stray"))
+    blocks = {c: F.ceil(F.col(c) / BLOCK).cast("long") for c in ("n_main", "n_stray")}
+    strays = _in_blocks(wide.where("stray"), "bucket", blocks["n_stray"], "uid").select("uid", "part", "mine")
+
+    def across(rows: DataFrame, mine: int, ours: str, theirs: str) -> DataFrame:
+        rows = rows.withColumn(ours, F.pmod(F.xxhash64("uid", "bucket"), blocks[ours])) \
+            .withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), blocks[theirs] - 1)))
+        return rows.select("uid", F.xxhash64("bucket", "n_main", "n_stray", F.lit("across")).alias("part"),
+                           F.lit(mine).alias("mine"))
+
+    rows = strays.unionByName(across(wide.where("stray"), 1, "n_stray", "n_main")) \
+        .unionByName(across(wide.where("not stray"), 2, "n_main", "n_stray"))
+    return components(edges.unionByName(_alike_edges(rows, sets, threshold)))
 
 
 def verified(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
@@ -335,17 +369,16 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     id of the class that links tie together; ``n_links``: other documents with
     similarity >= threshold, copies included. ``rk`` is xxhash64 of the text."""
     base = set_table(docs, doc_id, text, threshold, runs_for(threshold, recall))
-    base = cut_lineage(base.withColumn("uid", F.monotonically_increasing_id()))
+    base = stored(base.withColumn("uid", F.monotonically_increasing_id()))
     full = base.where("n > 0")
-    copies = cut_lineage(full.groupBy("key").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("weight"),
-                                                 F.min_by(F.struct("uid", "id", "rk", "n"), "uid").alias("one")))
-    leaves = buckets(full)
-    edges = candidate_edges(leaves, full, threshold)
-    near = components(edges)
-    grouped = near.select(F.col("v").alias("key"), "root").join(copies, "key")
+    copies = stored(full.groupBy("key").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("weight"),
+                                            F.min_by(F.struct("uid", "id", "rk", "n"), "uid").alias("one")))
+    sets = stored(full.join(copies.select("one.uid"), "uid", "left_semi").select("uid", "sketch", "c1", "c2", "c3"))
+    near = candidate_groups(buckets(sets), sets, threshold)
+    grouped = near.join(copies, near["v"] == copies["one.uid"])
     totals = grouped.groupBy("root").agg(F.sum("one.n").alias("total"))
     grouped = grouped.join(totals, "root").select("root", "key", "weight", "total", "one.id", "one.rk")
-    found = cut_lineage(verified(docs, grouped, doc_id, text, threshold))
+    found = stored(verified(docs, grouped, doc_id, text, threshold))
     forget_shuffles(found)
     counts = found.where(F.col("other").isNull()).groupBy("key").agg(F.sum("docs").alias("links"))
     tied = components(found.where(F.col("other").isNotNull()).select(F.col("key").alias("a"), F.col("other").alias("b")))

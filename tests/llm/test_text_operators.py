@@ -65,6 +65,40 @@ def test_large_buckets_and_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.class_id, r.n_links) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("change", [14, 60])
+def test_candidate_groups_against_all_pairs(spark, monkeypatch, change):
+    """Buckets of several blocks whose sets form one chain, several groups or none: blocks and strays
+    tie what all pairs of a bucket tie."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = np.random.default_rng(change)
+    marks = rng.integers(1, 256, (150, jaccard.SKETCH), dtype=np.uint8)
+    for i in range(1, 120):
+        if i % 40:  # three chains of 40 sets, the others are alone
+            marks[i] = marks[i - 1]
+            marks[i, rng.permutation(jaccard.SKETCH)[:change if i % 7 else 14]] = rng.integers(1, 256)
+    uid = rng.permutation(1000)[:150]
+    members = {b: sorted(rng.permutation(150)[:n].tolist()) for b, n in ((1, 150), (2, 60), (3, 10), (4, 2))}
+    root = {int(u): int(u) for u in uid}
+
+    def top(u):
+        while root[u] != u:
+            u = root[u]
+        return u
+
+    for inside in members.values():
+        for x, i in enumerate(inside):
+            for j in inside[x + 1:]:
+                if jaccard._alike(marks[[i]], marks[[j]], jaccard.THRESHOLD - jaccard.MARGIN)[0]:
+                    a, b = sorted((top(int(uid[i])), top(int(uid[j]))))
+                    root[b] = a
+    leaves = spark.createDataFrame([(b, int(uid[i]), len(inside)) for b, inside in members.items() for i in inside],
+                                   "bucket long, uid long, size long")
+    sets = spark.createDataFrame([(int(u), bytearray(m.tobytes())) for u, m in zip(uid, marks)], "uid long, sketch binary")
+    got = {r.v: r.root for r in jaccard.candidate_groups(leaves, sets, jaccard.THRESHOLD).collect()}
+    assert {u: got.get(u, u) for u in root} == {u: top(u) for u in root}
+    assert len(set(map(top, root))) > 3
+
+
 def test_runs_find_truncated_copies(spark):
     """Sets of 50 shingles and their first 40 (J = 0.8) that share a path of all three levels in no run."""
     assert (1 - (1 - np.exp(-1)) ** jaccard.LEVELS) ** jaccard.runs_for() <= 1 - jaccard.RECALL
