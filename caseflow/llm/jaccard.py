@@ -131,28 +131,29 @@ def set_table(docs: DataFrame, doc_id: str, text: str, threshold: float, runs: i
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Members (bucket, uid, ...) of buckets of two or more sets, with the sizes. A set is
-    in a bucket once, so sizes are plain counts, added up before the exchange, and the join
-    with them may split a hot bucket."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    """Members (bucket, uid, ...) of buckets of two or more sets, with the sizes and smallest
+    uids. A set is in a bucket once, so sizes are plain counts, added up before the exchange,
+    and the join with them may split a hot bucket."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("uid").alias("least")).where("size > 1")
     rows = stored(members.join(sizes, "bucket"))
     forget_shuffles(rows)
     return rows
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """Leaf buckets of all runs, (bucket, uid, size), of different sets (uid, c1, c2, c3)."""
+    """Leaf buckets of all runs, (bucket, uid, size, least), of different sets (uid, c1, c2, c3)."""
+    leaf = ["bucket", "uid", "size", "least"]
     level = _sized(sets.select("uid", F.explode("c1").alias("bucket")))
-    leaves = level.where(F.col("size") <= SMALL).select("bucket", "uid", "size")
+    leaves = level.where(F.col("size") <= SMALL).select(*leaf)
     own = [F.filter(c, lambda x: F.shiftright(x, 32) == F.shiftright("bucket", 32)).alias(c) for c in ("c2", "c3")]
     large = level.where(F.col("size") > SMALL).select("bucket", "uid") \
         .join(sets.select("uid", "c2", "c3"), "uid").select("bucket", "uid", *own)
     deeper = F.xxhash64("bucket", "taken").alias("bucket")
     second = stored(large.select("bucket", "uid", "c3", F.explode("c2").alias("taken")).select(deeper, "uid", "c3"))
     level = _sized(second)
-    leaves = leaves.unionByName(level.where(F.col("size") <= SMALL).select("bucket", "uid", "size"))
+    leaves = leaves.unionByName(level.where(F.col("size") <= SMALL).select(*leaf))
     third = level.where(F.col("size") > SMALL).select("bucket", "uid", F.explode("c3").alias("taken"))
-    return leaves.unionByName(_sized(third.select(deeper, "uid")).select("bucket", "uid", "size"))
+    return leaves.unionByName(_sized(third.select(deeper, "uid")).select(*leaf))
 
 
 def _in_blocks(rows: DataFrame, group: str, blocks, salt: str) -> DataFrame:
@@ -246,13 +247,15 @@ def candidate_groups(leaves: DataFrame, sets: DataFrame, threshold: float) -> Da
     """(v, root): the groups that sets with like sketches in a common leaf bucket form.
 
     Only what is tied matters here, not each pair. So every block of a large bucket is
-    compared within itself first. Two sets of different blocks that are tied by then, in
+    compared within itself first, and with the bucket's smallest set, to which like ones
+    tie whatever their block. Two sets of different blocks that are tied by then, in
     this bucket or another, need no comparison; in a bucket that is not one group yet,
     all sets outside its largest group (strays) meet all sets, in pairs of blocks."""
     nb = F.ceil(F.col("size") / BLOCK).cast("long")
-    own = F.pmod(F.xxhash64("uid", "bucket"), nb)
-    rows = leaves.select("uid", "bucket", F.lit(0).alias("mine"),
-                         F.when(nb > 1, F.xxhash64("bucket", own)).otherwise(F.col("bucket")).alias("part"))
+    own = F.when(F.col("uid") == F.col("least"), F.sequence(F.lit(0).cast("long"), nb - 1)) \
+        .otherwise(F.array(F.pmod(F.xxhash64("uid"), nb)))
+    rows = leaves.select("uid", "bucket", F.explode(own).alias("block"), F.lit(0).alias("mine")) \
+        .withColumn("part", F.xxhash64("bucket", "block"))
     edges = stored(_alike_edges(rows, sets, threshold))
     near = components(edges)
     wide = leaves.where(nb > 1).join(near.withColumnRenamed("v", "uid"), "uid", "left") \

@@ -91,8 +91,8 @@ def test_candidate_groups_against_all_pairs(spark, monkeypatch, change):
                 if jaccard._alike(marks[[i]], marks[[j]], jaccard.THRESHOLD - jaccard.MARGIN)[0]:
                     a, b = sorted((top(int(uid[i])), top(int(uid[j]))))
                     root[b] = a
-    leaves = spark.createDataFrame([(b, int(uid[i]), len(inside)) for b, inside in members.items() for i in inside],
-                                   "bucket long, uid long, size long")
+    leaves = spark.createDataFrame([(b, int(uid[i]), len(inside), int(min(uid[inside]))) for b, inside in members.items()
+                                    for i in inside], "bucket long, uid long, size long, least long")
     sets = spark.createDataFrame([(int(u), bytearray(m.tobytes())) for u, m in zip(uid, marks)], "uid long, sketch binary")
     got = {r.v: r.root for r in jaccard.candidate_groups(leaves, sets, jaccard.THRESHOLD).collect()}
     assert {u: got.get(u, u) for u in root} == {u: top(u) for u in root}
