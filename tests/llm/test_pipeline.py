@@ -1,9 +1,14 @@
 import glob
+import random
+import zlib
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from caseflow.llm import tokens
+
 from . import data
 
 
@@ -71,3 +76,72 @@ def test_run_leaves_only_its_result(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 0
     after = glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/pipeline-*")
     assert ["packing" in x for x in set(after) - before] == [True]
+
+
+def corpus():
+    """(rows, toxic ids, labels, benchmark items): the awkward rows of ``data`` and planted cases."""
+    rng = random.Random(11)
+    rude = ["zorgul", "brakken", "vexmort", "snarvig"]
+    clean = {i: data.prose(1000 + i, rng.randint(60, 160)) for i in range(200, 400)}
+    toxic = {}
+    for i in range(100, 200):
+        w = data.prose(1000 + i, 80).split()
+        for _ in range(8):
+            w.insert(rng.randrange(len(w)), rng.choice(rude))
+        toxic[i] = " ".join(w)
+    item = data.prose(5000, 25)
+    more = {}
+    for i in range(400, 420):  # one word of a clean text changed
+        w = clean[i - 200].split()
+        w[len(w) // 2] = "changed"
+        more[i] = " ".join(w)
+    for i in range(420, 440):  # 55 words of a clean text inside another one
+        more[i] = f"{data.prose(1000 + i, 70)} {' '.join(clean[i - 200].split()[:55])} {data.prose(3000 + i, 70)}"
+    for i in range(440, 450):  # a window of the benchmark
+        more[i] = f"{data.prose(1000 + i, 60)} {' '.join(item.split()[i - 440:i - 430])} {data.prose(3000 + i, 30)}"
+    more[450] = " ".join(clean[210].split()[:50])  # a text that is another's passage as a whole
+    usual = data.documents()
+    rows = usual + [(i, t, "en", "s", len(t), 1, 2, 3, 4) for i, t in {**clean, **toxic, **more}.items()]
+    labels = [(i, 1, int(i in toxic)) for i in [*range(100, 190), *range(200, 380)]]
+    return rows, set(toxic), labels, [(1, item), (2, None), (3, "")]
+
+
+def wanted(rows, toxic, items):
+    """The documents (id, text) that go into sequences, by plain Python."""
+    rows = [r for r in rows if r[0] not in toxic]
+    kept, seen = [], set()
+    for r, (least, _) in zip(rows, data.similarity(rows)):
+        name = ("class", least) if data.folded(r[1]) else r[:2]
+        if name not in seen and (r[0] == least or not data.folded(r[1])):
+            seen.add(name)
+            kept.append(r)
+    cut = []
+    for r, words in zip(kept, data.repeats(kept)):
+        n = len(data.plain(r[1]))
+        if len(words) == n or words:
+            cut.append((r[0], r[1] if len(words) == n else " ".join(words)))
+    return [r for r, (hit, _) in zip(cut, data.leaks(cut, items)) if not hit]
+
+
+def test_run_against_brute_force(spark, tmp_path):
+    rows, toxic, labels, items = corpus()
+    for name, part, schema in (("documents", rows, data.SCHEMA), ("labels", labels, "doc_id long, quality int, toxic int"),
+                               ("benchmark", items, "item_id long, text string")):
+        spark.createDataFrame(part, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    want = wanted(rows, toxic, items)
+    ids = {i for i, _ in want}
+    assert not ids & {*toxic, *range(400, 420), *range(440, 451)} and ids > {*range(220, 400), *range(420, 440)}
+    tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(tokens.default_path())
+    full = [(i, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")) for i, t in want]
+    got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    pieces = [(None if p.doc_id != p.doc_id else int(p.doc_id), p.doc_tokens, p.start, p.length, p.ids_crc32)
+              for p in got.itertuples()]
+    starts = {i: sorted(p[2:4] for p in pieces if p[0] == i) for i, _ in full}
+    assert sorted(pieces, key=str) == sorted(((i, len(x), a, n, zlib.crc32(x[a:a + n].tobytes()))
+                                              for i, x in full for a, n in starts[i]), key=str)
+    for i, x in full:
+        assert starts[i][0][0] == 0 and sum(n for _, n in starts[i]) == len(x)
+        assert all(a + n == b for (a, n), (b, _) in zip(starts[i], starts[i][1:]))
+    got = got.sort_values(["sequence_id", "offset"])
+    total = got.groupby("sequence_id").length.cumsum()
+    assert (got.offset == total - got.length).all() and total.max() <= 4096
