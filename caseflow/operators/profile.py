@@ -14,8 +14,9 @@ Both are computed for all columns at once instead of one job per column.
 Values are compared through a 64-bit hash (xxhash64), so every column costs
 two fixed-width slots of a hash aggregation: two different values of one
 entity are taken as equal if their hashes are (about 2**-64 per pair).
-``exact=True`` compares the values themselves, at the price of a sort-based
-aggregation for text.
+A hash can only make a column look more constant than it is, so ``exact=True``
+compares the values themselves (a sort-based aggregation for text) of those
+columns alone that the hashes call constant enough to matter.
 """
 
 from __future__ import annotations
@@ -96,13 +97,18 @@ def _sql_missing(q: str, tokens: Sequence[str], dtype: DataType | None = None) -
     return f"({q} IS NULL OR coalesce(CAST({q} AS STRING) IN ({', '.join(map(literal, tokens))}), false))"
 
 
+def fingerprint(q: str) -> str:
+    """What stands for a value of ``q`` in the hashed comparison."""
+    return f"xxhash64({q})"
+
+
 def _sql_constant_flag(q: str, exact: bool) -> str:
     """Per entity: one distinct value of ``q`` (NULL included). Aggregate
     expression, result 0/1 as bigint. A hash has no NULL (NULL hashes to a
     value of its own), so its smallest and largest are all that is shuffled."""
     if exact:
         return (f"CAST(count({q}) = 0 OR (count({q}) = count(1) AND coalesce(min({q}) = max({q}), false)) AS BIGINT)")
-    return f"CAST(min(xxhash64({q})) = max(xxhash64({q})) AS BIGINT)"
+    return f"CAST(min({fingerprint(q)}) = max({fingerprint(q)}) AS BIGINT)"
 
 
 def _empty(df: DataFrame, schema: str) -> DataFrame:
@@ -120,21 +126,37 @@ def _rows(cols: list[str], fields) -> str:
 def constancy(df: DataFrame, id_col: str, status_col: str,
               closed: Sequence[str] = DEFAULT_CLOSED_STATUSES,
               columns: Sequence[str] | None = None, skip: Sequence[str] = (),
-              exact: bool = False) -> DataFrame:
+              exact: bool = False, exact_from: float = 0.0) -> DataFrame:
     """A5: ``(column_name, constancy)`` over open records.
 
     Zero open entities gives NULL (the original produced NaN and kept the
     column; here it is rejected by :func:`select_inputs`).
+
+    With ``exact`` the hashed figures are computed first (one row reaches the
+    driver), and the values of the columns that reach ``exact_from`` by them are
+    compared themselves. A column below it stays with its hashed figure, which
+    its exact one cannot exceed.
     """
     cols = as_list(columns) if columns is not None else profiled_columns(df, id_col, skip)
     if not cols:
         return _empty(df, "column_name string, constancy double")
     needed = [id_col] + [c for c in dict.fromkeys([status_col] + cols) if c != id_col]
     opened = open_records(df.select(*[col(c) for c in needed]), status_col, closed)
-    per_id = opened.groupBy(col(id_col)).agg(
-        *[F.expr(_sql_constant_flag(quote(c), exact)).alias(f"k{i}") for i, c in enumerate(cols)])
-    totals = per_id.agg(F.count(F.lit(1)).alias("ids"),
-                        *[F.sum(f"k{i}").alias(f"k{i}") for i in range(len(cols))])
+
+    def constant_entities(places: Sequence[int], by_value: bool) -> DataFrame:
+        """One row: the open entities, and how many of them hold one value of each column."""
+        per_id = opened.groupBy(col(id_col)).agg(
+            *[F.expr(_sql_constant_flag(quote(cols[i]), by_value)).alias(f"k{i}") for i in places])
+        return per_id.agg(F.count(F.lit(1)).alias("ids"), *[F.sum(f"k{i}").alias(f"k{i}") for i in places])
+
+    totals = constant_entities(range(len(cols)), False)
+    if exact:
+        hashed = totals.first()
+        unsure = [i for i in range(len(cols)) if hashed[f"k{i}"] and hashed[f"k{i}"] / hashed["ids"] >= exact_from]
+        if unsure:
+            totals = constant_entities(unsure, True).select("ids", *[
+                F.col(f"k{i}") if i in unsure else F.lit(hashed[f"k{i}"]).cast("long").alias(f"k{i}")
+                for i in range(len(cols))])
     return totals.selectExpr(_rows(cols, lambda i, c: [
         ("column_name", literal(c)),
         ("constancy", f"try_divide(CAST(k{i} AS DOUBLE), CAST(ids AS DOUBLE))")]))
@@ -159,7 +181,7 @@ def profile_columns(df: DataFrame, id_col: str, status_col: str,
                     closed: Sequence[str] = DEFAULT_CLOSED_STATUSES,
                     tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
                     skip: Sequence[str] = (), columns: Sequence[str] | None = None,
-                    exact: bool = False) -> DataFrame:
+                    exact: bool = False, exact_from: float = 0.0) -> DataFrame:
     """``(column_name, position, constancy, null_ratio)``.
 
     Two aggregates: the missing-value counts over all rows leave one row per
@@ -172,7 +194,7 @@ def profile_columns(df: DataFrame, id_col: str, status_col: str,
         return _empty(df, "column_name string, position int, constancy double, null_ratio double")
     position = {c: i + 1 for i, c in enumerate(df.columns)}
     place = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(position.get(c)).cast("int"))])
-    same = constancy(df, id_col, status_col, closed, columns=cols, exact=exact)
+    same = constancy(df, id_col, status_col, closed, columns=cols, exact=exact, exact_from=exact_from)
     return same.join(F.broadcast(null_ratio(df, cols, tokens)), "column_name") \
         .select("column_name", place[F.col("column_name")].alias("position"),
                 F.col("constancy"), "null_ratio")

@@ -60,7 +60,7 @@ def prepare_model_table(df: DataFrame, spec: LogSpec, min_constancy: float = DEF
     if isinstance(df.schema[spec.order_by[0]].dataType, StringType) and not text_order:
         raise ValueError(f"{spec.order_by[0]!r} is text: give a schema or a timestamp format, or set text_order")
     profile = profile_columns(df, spec.id_col, spec.status_col, spec.closed, spec.null_tokens,
-                              skip=spec.skip, exact=exact_profile)
+                              skip=spec.skip, exact=exact_profile, exact_from=min_constancy)
     if inputs is None:
         # one row per column: keep the result as a local relation so that looking
         # at the profile or the selection later does not scan the log again

@@ -67,6 +67,12 @@ def q_column_profile(spark: SparkSession, sf: str) -> DataFrame:
     return _round(_profile(spark, sf), "constancy", "null_ratio")
 
 
+def q_column_profile_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Constancy by the values themselves wherever the hashes see a constant entity."""
+    profile = profile_columns(tickets(spark, sf), S.id_col, S.status_col, S.closed, S.null_tokens, skip=S.skip, exact=True)
+    return _round(profile, "constancy", "null_ratio")
+
+
 def q_selected_inputs(spark: SparkSession, sf: str) -> DataFrame:
     return select_inputs(_profile(spark, sf), S.labels)
 
@@ -333,6 +339,7 @@ QUERIES = {
     "column_constancy": q_column_constancy,
     "column_null_ratio": q_column_null_ratio,
     "column_profile": q_column_profile,
+    "column_profile_exact": q_column_profile_exact,
     "selected_inputs": q_selected_inputs,
     "consolidate_first_last": q_consolidate_first_last,
     "consolidate_by_time": q_consolidate_by_time,
@@ -681,6 +688,7 @@ FROM tickets""",
     "column_constancy": CONSTANCY_SQL,
     "column_null_ratio": NULL_RATIO_SQL,
     "column_profile": PROFILE_SQL,
+    "column_profile_exact": PROFILE_SQL,
     "selected_inputs": SELECTED_SQL,
     "consolidate_first_last": CONSOLIDATE_SQL,
     "consolidate_by_time": CONSOLIDATE_BY_TIME_SQL,

@@ -1,7 +1,9 @@
 """Golden micro-tables for profiling and selection."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from caseflow.operators import profile
 from caseflow.operators import (chosen_inputs, constancy, entity_counts, null_ratio, open_records,
                                 profile_columns, select_inputs)
 
@@ -128,6 +130,31 @@ def test_fingerprint_and_exact_agree(spark):
     assert "SortAggregate" not in plan
 
 
+def test_exact_compares_what_the_hashes_call_constant(spark, monkeypatch):
+    """With a fingerprint that collides (a text's length), only the values tell
+    columns apart, and only columns that reach ``exact_from`` are compared."""
+    monkeypatch.setattr(profile, "fingerprint", lambda q: f"coalesce(length(CAST({q} AS STRING)), 0)")
+    rows = [(i % 40, "Open", f"v{i % 80 // 40}", "same", "x" * (1 + i % 40 % 3 * (i // 40)) + str(i // 40 % 10),
+             None if i % 80 < 40 and i % 4 else "" if i % 4 else "t") for i in range(400)]
+    df = spark.createDataFrame(rows, "ID int, Status string, collide string, constant string, varies string, blank string")
+
+    def figures(**options):
+        return as_dict(constancy(df, "ID", "Status", CLOSED, **options), "constancy")
+
+    want = {c: sum(len({r[k] for r in rows if r[0] == i}) == 1 for i in range(40)) / 40
+            for k, c in enumerate(df.columns) if c != "ID"}
+    hashed = figures()
+    assert hashed["collide"] == 1.0 and want["collide"] == 0.0 and want["blank"] < hashed["blank"]
+    assert figures(exact=True) == want
+    assert 0 < hashed["varies"] < 0.8
+    part = figures(exact=True, exact_from=0.8)
+    assert part == {**want, "varies": hashed["varies"]}
+    plan = constancy(df, "ID", "Status", CLOSED, exact=True, exact_from=0.8)._jdf.queryExecution().executedPlan().toString()
+    assert "min(varies" not in plan and "min(collide" in plan
+    closed = df.withColumn("Status", F.lit(CLOSED[0]))
+    assert set(as_dict(constancy(closed, "ID", "Status", CLOSED, exact=True), "constancy").values()) == {None}
+
+
 def test_no_candidate_columns(spark):
     df = spark.createDataFrame([(1, "Open")], "ID int, Status string")
     p = profile_columns(df, "ID", "Status", CLOSED, [TOKEN], skip=["Status"])
