@@ -16,17 +16,31 @@ def forget_shuffles(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
+def _starred(down: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges that tie the same components as ``down`` (v, u), u below v: ``least`` has each
+    v's smallest u, to which v and all its u are tied. Where many vertices share their few
+    smallest neighbours, few edges a vertex are left, however many there were."""
+    return down.join(least, "v").select(F.col("u").alias("a"), F.col("m").alias("b")).unionByName(
+        least.select(F.col("v").alias("a"), F.col("m").alias("b")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, root) for every end of ``edges`` (columns a, b): root is the smallest
-    vertex of v's component. Every round takes the smallest label around each
-    vertex and then the label's own label, so long chains halve; each round is
-    written to the shared folder, and the one before it removed. A label only ever
-    falls, so rounds end by themselves. Only counts reach the driver."""
+    vertex of v's component. Edges are thinned out once (``_starred``). Every round
+    takes the smallest label around each vertex and then the label's own label, so
+    long chains halve; each round is written to the shared folder, and the one before
+    it removed. A label only ever falls, so rounds end by themselves. Only counts
+    reach the driver."""
     spark = edges.sparkSession
-    both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(
-        edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).where("v != u").distinct()
-    sides = scratch_path(spark, "edges")
-    both = stored(both, sides)
+    whole, ends, sides = (scratch_path(spark, name) for name in ("edges", "least", "edges"))
+    down = stored(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("v != u").distinct(), whole)
+    # written, so that the join may split a vertex of many edges
+    least = stored(down.groupBy("v").agg(F.min("u").alias("m")), ends)
+    few = _starred(down, least)
+    both = stored(few.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(
+        few.select(F.col("b").alias("v"), F.col("a").alias("u"))).where("v != u").distinct(), sides)
+    for path in (whole, ends):
+        drop_path(spark, path)
     path = scratch_path(spark, "labels")
     labels = stored(both.groupBy("v").agg(F.min("u").alias("m"))
                     .select("v", F.least("v", "m").alias("root")), path)

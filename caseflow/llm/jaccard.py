@@ -31,10 +31,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import drop_path, scratch_path
 from . import flat
 from .arrow import bound_batches, map_texts, quoted, schema_of, ship, stored
 from .components import components, forget_shuffles
@@ -130,30 +131,48 @@ def set_table(docs: DataFrame, doc_id: str, text: str, threshold: float, runs: i
                      "c2 array<long>, c3 array<long>", build)
 
 
+class _Tables:
+    """Tables written under a name, which go as soon as no later step reads them:
+    disks then hold what a step needs, not what all steps made."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def put(self, name: str, rows: DataFrame) -> DataFrame:
+        self.paths[name] = scratch_path(self.spark, name)
+        rows = stored(rows, self.paths[name])
+        forget_shuffles(rows)
+        return rows
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            drop_path(self.spark, self.paths.pop(name))
+
+
 def _sized(members: DataFrame) -> DataFrame:
     """Members (bucket, uid, ...) of buckets of two or more sets, with the sizes and smallest
     uids. A set is in a bucket once, so sizes are plain counts, added up before the exchange,
     and the join with them may split a hot bucket."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("uid").alias("least")).where("size > 1")
-    rows = stored(members.join(sizes, "bucket"))
-    forget_shuffles(rows)
-    return rows
+    return members.join(sizes, "bucket")
 
 
-def buckets(sets: DataFrame) -> DataFrame:
+def buckets(sets: DataFrame, tables: _Tables) -> DataFrame:
     """Leaf buckets of all runs, (bucket, uid, size, least), of different sets (uid, c1, c2, c3)."""
-    leaf = ["bucket", "uid", "size", "least"]
-    level = _sized(sets.select("uid", F.explode("c1").alias("bucket")))
-    leaves = level.where(F.col("size") <= SMALL).select(*leaf)
+    leaf, small = ["bucket", "uid", "size", "least"], F.col("size") <= SMALL
+    first = tables.put("level1", _sized(sets.select("uid", F.explode("c1").alias("bucket"))))
     own = [F.filter(c, lambda x: F.shiftright(x, 32) == F.shiftright("bucket", 32)).alias(c) for c in ("c2", "c3")]
-    large = level.where(F.col("size") > SMALL).select("bucket", "uid") \
-        .join(sets.select("uid", "c2", "c3"), "uid").select("bucket", "uid", *own)
+    large = first.where(~small).select("bucket", "uid").join(sets.select("uid", "c2", "c3"), "uid").select("bucket", "uid", *own)
     deeper = F.xxhash64("bucket", "taken").alias("bucket")
-    second = stored(large.select("bucket", "uid", "c3", F.explode("c2").alias("taken")).select(deeper, "uid", "c3"))
-    level = _sized(second)
-    leaves = leaves.unionByName(level.where(F.col("size") <= SMALL).select(*leaf))
-    third = level.where(F.col("size") > SMALL).select("bucket", "uid", F.explode("c3").alias("taken"))
-    return leaves.unionByName(_sized(third.select(deeper, "uid")).select(*leaf))
+    taken = tables.put("taken2", large.select("bucket", "uid", "c3", F.explode("c2").alias("taken")).select(deeper, "uid", "c3"))
+    second = tables.put("level2", _sized(taken))
+    tables.drop("taken2")
+    taken = second.where(~small).select("bucket", "uid", F.explode("c3").alias("taken"))
+    third = _sized(taken.select(deeper, "uid"))
+    leaves = tables.put("leaves", first.where(small).select(*leaf).unionByName(second.where(small).select(*leaf))
+                        .unionByName(third.select(*leaf)))
+    tables.drop("level1", "level2")
+    return leaves
 
 
 def _in_blocks(rows: DataFrame, group: str, blocks, salt: str) -> DataFrame:
@@ -372,17 +391,23 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     id of the class that links tie together; ``n_links``: other documents with
     similarity >= threshold, copies included. ``rk`` is xxhash64 of the text."""
     base = set_table(docs, doc_id, text, threshold, runs_for(threshold, recall))
-    base = stored(base.withColumn("uid", F.monotonically_increasing_id()))
-    full = base.where("n > 0")
-    copies = stored(full.groupBy("key").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("weight"),
-                                            F.min_by(F.struct("uid", "id", "rk", "n"), "uid").alias("one")))
-    sets = stored(full.join(copies.select("one.uid"), "uid", "left_semi").select("uid", "sketch", "c1", "c2", "c3"))
-    near = candidate_groups(buckets(sets), sets, threshold)
+    tables = _Tables(docs.sparkSession)
+    wide = tables.put("base", base.withColumn("uid", F.monotonically_increasing_id()))
+    full = wide.where("n > 0")
+    copies = tables.put("copies", full.groupBy("key").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("weight"),
+                                                           F.min_by(F.struct("uid", "id", "rk", "n"), "uid").alias("one")))
+    sets = tables.put("sets", full.join(copies.select("one.uid"), "uid", "left_semi").select("uid", "sketch", "c1", "c2", "c3"))
+    base = tables.put("rows", wide.select("id", "rk", "n", "key", "uid"))
+    tables.drop("base")
+    leaves = buckets(sets, tables)
+    prints = tables.put("prints", sets.select("uid", "sketch"))
+    tables.drop("sets")
+    near = candidate_groups(leaves, prints, threshold)
+    tables.drop("leaves", "prints")
     grouped = near.join(copies, near["v"] == copies["one.uid"])
     totals = grouped.groupBy("root").agg(F.sum("one.n").alias("total"))
     grouped = grouped.join(totals, "root").select("root", "key", "weight", "total", "one.id", "one.rk")
-    found = stored(verified(docs, grouped, doc_id, text, threshold))
-    forget_shuffles(found)
+    found = tables.put("found", verified(docs, grouped, doc_id, text, threshold))
     counts = found.where(F.col("other").isNull()).groupBy("key").agg(F.sum("docs").alias("links"))
     tied = components(found.where(F.col("other").isNotNull()).select(F.col("key").alias("a"), F.col("other").alias("b")))
     own = copies.select("key", "copy_id", "weight").join(counts, "key", "left") \

@@ -357,3 +357,31 @@ def test_cutting_stock_covers_demand_with_little_padding():
 def test_digests(spark):
     docs = spark.createDataFrame([(1, "b  a")], "doc_id long, text string")
     assert substring.dedup_report(docs).first().kept_sha256 == hashlib.sha256(b"b a").hexdigest()
+
+
+def test_components_thin_out_edges(spark, monkeypatch):
+    """Many vertices that share their smallest neighbours keep few edges, and a chain its ends."""
+    from caseflow.llm import components as module
+    sizes, stored = [], module.stored
+
+    def kept(df, path=None):
+        rows = stored(df, path)
+        if rows.columns == ["v", "u"]:
+            sizes.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(module, "stored", kept)
+    pairs = [(a, 100 + b) for a in range(20) for b in range(300)] + [(1000 + i, 1001 + i) for i in range(30)]
+    got = {r.v: r.root for r in module.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**{v: 0 for v in [*range(20), *range(100, 400)]}, **{1000 + i: 1000 for i in range(31)}}
+    assert sizes[-1] < 4 * len(got) < sizes[0]
+
+
+def test_similarity_classes_leave_no_step_behind(spark):
+    import os
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    rows = spark.createDataFrame([(i, f"a b c d e f g h i {i % 5}") for i in range(40)], "doc_id long, text string")
+    before = set(os.listdir(folder))
+    assert jaccard.similarity_classes(rows).count() == 40
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left and not left & {"base", "sets", "prints", "level1", "taken2", "level2", "leaves"}
