@@ -23,7 +23,7 @@ from ..operators.profile import (constancy, entity_counts, null_ratio, open_reco
                                  profiled_columns, select_inputs)
 from ..operators.reassign import group_count_histogram
 from ..operators.vocab import build_vocabulary, encode
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 from ..sources.io import read_encoded, read_event_log, write_report, write_table
 from .fixtures import TICKETS, TICKETS_SQL, table, tickets
 from .flow import prepare_model_table
@@ -155,8 +155,18 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_event_log(spark, path, fmt="csv", sep=";", schema=t.schema)
 
 
+def _model_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The model-ready table. The flow reads the log three times, so the join that
+    stands for it is made once and written; the written log goes when the flow is done."""
+    log, path = tickets(spark, sf), scratch_path(spark, "tickets")
+    write_table(log, path)
+    table = prepare_model_table(spark.read.schema(log.schema).parquet(path), S).table
+    drop_path(spark, path)
+    return table
+
+
 def q_full_flow(spark: SparkSession, sf: str) -> DataFrame:
-    return prepare_model_table(tickets(spark, sf), S).table
+    return _model_table(spark, sf)
 
 
 # ------------------------------------------------------------ ML queries
@@ -222,10 +232,6 @@ def q_naive_bayes_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return ev.metrics.withColumn("accuracy", F.round("accuracy", 6))
 
 
-def _model_table(spark: SparkSession, sf: str) -> DataFrame:
-    return prepare_model_table(tickets(spark, sf), S).table
-
-
 def _attempts_query(kind: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         ev = evaluate_model(_model_table(spark, sf), S.labels[0], S.labels, kind, S.id_col,

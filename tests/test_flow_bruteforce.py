@@ -87,3 +87,20 @@ def test_full_flow_matches_brute_force(spark, raw):
     got = {r["ID"]: {c: r[c] for c in r.asDict() if c != "ID"} for r in prepared.table.collect()}
     assert prepared.table.columns == ["ID"] + want_inputs + ["grp"]
     assert got == want
+
+
+def test_queries_join_their_log_once(spark, monkeypatch):
+    """The flow reads its log three times: it gets the written one, not the join."""
+    from caseflow.plans import queries
+    from tests.conftest import SF_SMALL
+    seen = []
+
+    def flow(log, spec):
+        seen.append(log._jdf.queryExecution().optimizedPlan().toString())
+        return prepare_model_table(log, spec)
+
+    monkeypatch.setattr(queries, "prepare_model_table", flow)
+    got = queries.q_full_flow(spark, SF_SMALL)
+    assert len(seen) == 1 and "Join" not in seen[0]
+    want = prepare_model_table(queries.tickets(spark, SF_SMALL), queries.S).table
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
