@@ -55,13 +55,15 @@ def accuracy_metrics(test: DataFrame, predictions: DataFrame, label_col: str = I
 
 
 def summarise(test: DataFrame, predictions: DataFrame, probability_col: str = "probability",
-              label_col: str = INDEXED_LABEL) -> DataFrame:
+              label_col: str = INDEXED_LABEL, count_col: str | None = None) -> DataFrame:
     """``(Groups_assigned, hit, count)`` of the scored rows, and one row with
-    ``n_test`` only: all that accuracy and histogram need, from one scan."""
+    ``n_test`` only: all that accuracy and histogram need, from one scan. With
+    ``count_col`` a row stands for so many."""
+    own = F.lit(1).cast("long") if count_col is None else F.col(count_col)
     scored = predictions.select(prediction_attempts(predictions, probability_col, label_col).alias(ATTEMPTS),
-                                (F.col("prediction") == F.col(label_col)).alias("hit"))
-    total = test.agg(F.count(F.lit(1)).alias("n_test"))
-    return scored.groupBy(ATTEMPTS, "hit").agg(F.count(F.lit(1)).alias("count")) \
+                                (F.col("prediction") == F.col(label_col)).alias("hit"), own.alias("own"))
+    total = test.agg(F.coalesce(F.sum(own), F.lit(0)).alias("n_test"))
+    return scored.groupBy(ATTEMPTS, "hit").agg(F.sum("own").alias("count")) \
         .unionByName(total, allowMissingColumns=True)
 
 

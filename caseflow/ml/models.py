@@ -15,9 +15,9 @@ blocks that are lost are recomputed from a deterministic plan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from ..constants import FOREST_TREES, HIDDEN_UNITS, MODEL_SHORT_NAMES, TRAIN_FRACTION
 from ..functions.scalar import to_double
 from ..names import as_list, col, quote
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_path, scratch_path
+from ..sources.io import write_table
 from .evaluate import summarise, summary_histogram, summary_metrics
 from .features import (FEATURES, INDEXED_LABEL, LABEL, IndexModel, assemble, encoded_name, index_categories,
                        indexed_name, one_hot, split_by_key)
@@ -107,7 +108,8 @@ def _fit(indexed: DataFrame, kind: str, numeric: Sequence[str], used: Sequence[s
     if not feats:
         raise ValueError("no usable input columns")
     stages += [assemble(feats), _classifier(kind, len(feats), n_classes, seed)]
-    indexed = indexed.persist(StorageLevel.MEMORY_AND_DISK)
+    needed = [*numeric, *[indexed_name(c) for c in used], INDEXED_LABEL]
+    indexed = indexed.select(*[col(c) for c in dict.fromkeys(needed)]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=stages).fit(indexed), feats
     finally:
@@ -149,43 +151,88 @@ class Evaluation:
     label: str
     kind: str
     model: TrainedModel
-    predictions: DataFrame
     metrics: DataFrame
     histogram: DataFrame
+    predict: Callable[[], DataFrame]
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """The scored held-out rows, one by one."""
+        return self.predict()
+
+
+CASES = "__cases"  # held-out rows that a case stands for
 
 
 @dataclass
 class _LabelFrame:
-    """A label's model frame, written once with the codes of one index; the
-    index is fitted on the training part and serves every model kind."""
+    """A label's model frame, written once, and what serves every model kind: one
+    index, fitted on the training part, the coded training rows, and the coded
+    cases (the held-out rows without their key, equal ones once with their number:
+    a model gives equal inputs one score)."""
 
     frame: DataFrame
-    coded: DataFrame
+    test: DataFrame
+    train: DataFrame
+    cases: DataFrame
     index: IndexModel
     label_values: list[str]
+    scratch: list[str]
+
+    @cached_property
+    def coded_test(self) -> DataFrame:
+        return self.index.codes(self.test)
+
+    def close(self) -> None:
+        """Remove training rows and cases, once every model is fitted and summarised."""
+        for path in self.scratch:
+            drop_path(self.frame.sparkSession, path)
+
+
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as a table of the shared folder and read again: computed once
+    (a checkpoint computes twice), and later steps read only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _evenly(df: DataFrame) -> DataFrame:
+    """Rows of several partitions spread over as many even ones as the cores work off at
+    once, or a multiple: every step of an iterative fit waits for the largest partition."""
+    n, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df if n == 1 else df.repartition(-(-n // cores) * cores)
 
 
 def _label_frame(frame: DataFrame, categorical: Sequence[str], key: str, train_fraction: float) -> _LabelFrame:
-    frame = cut_lineage(frame)
-    index = index_categories([*categorical, LABEL]).fit(split_by_key(frame, key, train_fraction)[0])
-    return _LabelFrame(frame, cut_lineage(index.codes(frame)), index, index.labels(LABEL))
+    frame, _ = _written(frame, "frame")
+    train, test = split_by_key(frame, key, train_fraction)
+    index = index_categories([*categorical, LABEL]).fit(train)
+    inputs = [col(c) for c in frame.columns if c != key]
+    cases = test.groupBy(*inputs).agg(F.count(F.lit(1)).alias(CASES))
+    (train, trained), (cases, counted) = (_written(_evenly(index.codes(train.select(*inputs))), "train"),
+                                          _written(index.codes(cases), "cases"))
+    return _LabelFrame(frame, test, train, cases, index, index.labels(LABEL), [trained, counted])
 
 
 def _evaluate(data: _LabelFrame, label: str, kind: str, key: str, numeric: Sequence[str], num_classes: int | None,
-              train_fraction: float, seed: int) -> Evaluation:
-    """Train and score on written, coded rows; one aggregation of the predictions
-    (a row per attempt number at most twice) feeds accuracy and histogram."""
+              seed: int) -> Evaluation:
+    """Train on written, coded rows and score the cases; one aggregation of their
+    predictions (a row per attempt number at most twice) feeds accuracy and histogram."""
     nums, cats = feature_roles(data.frame.columns, kind, numeric, exclude=[key])
     used = _usable(kind, cats, data.index)
     own = data.index.subset([*used, LABEL])
-    train, test = split_by_key(_numbers(own.known(data.coded), kind, nums), key, train_fraction)
-    model, feats = _fit(train, kind, nums, used, num_classes or len(data.label_values), seed)
+
+    def ready(coded: DataFrame) -> DataFrame:
+        return _numbers(own.known(coded), kind, nums)
+
+    model, feats = _fit(ready(data.train), kind, nums, used, num_classes or len(data.label_values), seed)
     trained = TrainedModel(kind, own, model, feats, data.label_values)
-    pred = model.transform(test)
-    summary = cut_lineage(summarise(split_by_key(data.frame, key, train_fraction)[1], pred))
+    summary = cut_lineage(summarise(data.cases, model.transform(ready(data.cases)), count_col=CASES))
     metrics = summary_metrics(summary).select(F.lit(label).alias("label_name"), F.lit(kind).alias("model"),
                                               "accuracy", "n_scored", "n_skipped")
-    return Evaluation(label, kind, trained, pred, metrics, summary_histogram(summary))
+    return Evaluation(label, kind, trained, metrics, summary_histogram(summary),
+                      lambda: model.transform(ready(data.coded_test)))
 
 
 def evaluate_model(table: DataFrame, label: str, labels: Sequence[str], kind: str, key: str,
@@ -200,7 +247,7 @@ def evaluate_labels(table: DataFrame, labels: Sequence[str], kinds: Sequence[str
                     numeric: Sequence[str] = (), drop: Sequence[str] = (), train_fraction: float = TRAIN_FRACTION,
                     seed: int = 42, all_labels: Sequence[str] | None = None) -> tuple[DataFrame, list[Evaluation]]:
     """Every label x every model kind; metrics as one DataFrame. The
-    model frame of a label is written once, indexed once and serves all kinds; the label
+    model frame of a label is written, indexed and split once and serves all kinds; the label
     count (the MLP's output width, over the whole set, Q19) is taken from it."""
     runs = []
     for label in as_list(labels):
@@ -212,5 +259,6 @@ def evaluate_labels(table: DataFrame, labels: Sequence[str], kinds: Sequence[str
             if kind == "multilayer_perceptron" and num_classes is None:
                 num_classes = data.frame.select(col(LABEL)).distinct().count()
             runs.append(_evaluate(data, label, kind, key, numeric,
-                                  num_classes if kind == "multilayer_perceptron" else None, train_fraction, seed))
+                                  num_classes if kind == "multilayer_perceptron" else None, seed))
+        data.close()
     return reduce(DataFrame.unionByName, [r.metrics for r in runs]), runs

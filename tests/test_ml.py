@@ -93,3 +93,25 @@ def test_unseen_category_is_skipped_and_counted(spark):
     assert sorted(r.k for r in pred.collect()) == [100, 102]
     r = accuracy_metrics(test, pred).first()
     assert (r.n_scored, r.n_skipped, r.accuracy) == (2, 1, 1.0)
+
+
+def test_held_out_rows_are_scored_by_case(spark, table):
+    """Equal held-out rows are one case, with their number; the figures are those of the rows."""
+    from caseflow.ml import models
+    data = models._label_frame(models.model_frame(table, "grp", ["grp"], key="id").withColumnRenamed("grp", "label"),
+                               ["a", "b", "const"], "id", 0.7)
+    held_out, cases = data.test.count(), data.cases.collect()
+    assert sum(r[models.CASES] for r in cases) == held_out and len(cases) <= 24 < held_out
+    data.close()
+    for run in evaluate_labels(table, ["grp"], KINDS, "id", numeric=["w"])[1]:
+        assert run.histogram.collect() == attempts_histogram(run.predictions).collect()
+        metrics = run.metrics.select("accuracy", "n_scored", "n_skipped").first()
+        assert metrics == accuracy_metrics(data.test, run.predictions).first()
+
+
+def test_training_rows_are_spread_evenly(spark):
+    from caseflow.ml import models
+    uneven = spark.range(100).repartition(3)
+    cores = spark.sparkContext.defaultParallelism
+    assert models._evenly(uneven).rdd.getNumPartitions() % cores == 0
+    assert models._evenly(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 1
