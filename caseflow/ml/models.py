@@ -197,20 +197,13 @@ def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _evenly(df: DataFrame) -> DataFrame:
-    """Rows of several partitions spread over as many even ones as the cores work off at
-    once, or a multiple: every step of an iterative fit waits for the largest partition."""
-    n, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
-    return df if n == 1 else df.repartition(-(-n // cores) * cores)
-
-
 def _label_frame(frame: DataFrame, categorical: Sequence[str], key: str, train_fraction: float) -> _LabelFrame:
     frame, _ = _written(frame, "frame")
     train, test = split_by_key(frame, key, train_fraction)
     index = index_categories([*categorical, LABEL]).fit(train)
     inputs = [col(c) for c in frame.columns if c != key]
     cases = test.groupBy(*inputs).agg(F.count(F.lit(1)).alias(CASES))
-    (train, trained), (cases, counted) = (_written(_evenly(index.codes(train.select(*inputs))), "train"),
+    (train, trained), (cases, counted) = (_written(index.codes(train.select(*inputs)), "train"),
                                           _written(index.codes(cases), "cases"))
     return _LabelFrame(frame, test, train, cases, index, index.labels(LABEL), [trained, counted])
 
